@@ -155,12 +155,76 @@ def placeholder_totals(
 # --- duplicates ------------------------------------------------------------
 
 
-def full_row_duplicates(df: DataFrame) -> DataFrame:
-    """``duplicate_rows``: rows beyond the first of each identical-row group (NULLs compare equal)."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+def _row_fingerprint(columns: list[str]) -> list[Column]:
+    """96 hash bits plus a NULL-position mask: equal rows always get equal fingerprints.
+
+    Spark's row hashes skip NULLs, so ``(NULL, 'a')`` and ``('a', NULL)`` would
+    hash alike; the mask tells them apart.  Columns beyond 63 share mask bits,
+    which only adds candidates, never loses one.
+    """
+    cols = [F.col(c) for c in columns]
+    mask = sum(
+        (F.when(c.isNull(), F.lit(1 << (i % 63))).otherwise(F.lit(0)) for i, c in enumerate(cols)),
+        F.lit(0),
+    )
+    return [F.xxhash64(*cols).alias("_fp1"), F.hash(*cols).alias("_fp2"), mask.cast("long").alias("_fp3")]
+
+
+def _duplicates_by_value(df: DataFrame, group_cols: list[str]) -> DataFrame:
+    groups = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
+def _broadcast_row_bound(spark, bytes_per_row: int) -> int:
+    """Rows of ``bytes_per_row`` that fit the session's broadcast threshold (0 if disabled)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        limit = int(str(raw).lower().rstrip("b"))
+    except ValueError:
+        limit = 10 * 1024 * 1024
+    return max(limit, 0) // bytes_per_row
+
+
+def full_row_duplicates(df: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+    """``duplicate_rows``: rows beyond the first of each identical-row group (NULLs compare equal).
+
+    Grouping by every column shuffles the whole table at full width.  When
+    the session has a checkpoint directory this runs in two phases instead:
+
+    1. count rows per 20-byte fingerprint (a narrow shuffle) and checkpoint
+       the fingerprints seen more than once (eager: one job now);
+    2. if that candidate list is within the broadcast bound (checked by its
+       row count against ``spark.sql.autoBroadcastJoinThreshold``, or
+       ``max_broadcast_rows``), broadcast it, keep only matching rows and
+       group those by every column, so the count stays exact even if two
+       different rows ever share a fingerprint.
+
+    Beyond the bound (many duplicates) it falls back to the exact full
+    groupBy.  A group of copies holding a third of all rows is fine in both
+    paths: partial aggregation collapses it per task before any shuffle.
+    """
+    cols = df.columns
+    spark = df.sparkSession
+    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        return _duplicates_by_value(df, cols)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    fp_cols = ["_fp1", "_fp2", "_fp3"]
+    stamped = df.select(*cols, *_row_fingerprint(cols))
+    candidates = (
+        stamped.groupBy(*fp_cols)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > 1)
+        .select(*fp_cols)
+        .checkpoint(eager=True)
+    )
+    bound = max_broadcast_rows if max_broadcast_rows is not None else _broadcast_row_bound(spark, 64)
+    if candidates.limit(bound + 1).count() > bound:
+        return _duplicates_by_value(df, cols)
+    suspects = stamped.join(F.broadcast(candidates), fp_cols, "left_semi")
+    return _duplicates_by_value(suspects, fp_cols + cols)
+
+
 def duplicate_keys(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """``duplicate_keys``: rows beyond the first per key value (NULL key is one group)."""
     groups = df.groupBy(roles.key).agg(F.count(F.lit(1)).alias("_n"))

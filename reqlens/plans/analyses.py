@@ -33,7 +33,11 @@ from reqlens.functions.exact import from_hundredths, half_up_div, ratio_2dp, sha
 from reqlens.operators.summaries import hours_sum_hundredths, mean_hours, resolved_count
 from reqlens.roles import DEFAULT_ROLES, WEEK_ORDER, WEEKEND_DAYS, Roles
 
-ALL_ROWS = Window.partitionBy()  # only ever applied to aggregated rows
+
+
+def _all_rows() -> Window:
+    """A window over all rows; only ever applied to aggregated rows."""
+    return Window.partitionBy()
 
 
 def _n() -> Column:
@@ -94,8 +98,8 @@ def high_volume_categories(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataF
     per = _resolution_agg(df, [cat], "total_request_count", "resolved_request_count")
     per = per.select(
         "*",
-        _n().over(ALL_ROWS).alias("_categories"),
-        F.sum("total_request_count").over(ALL_ROWS).alias("_all"),
+        _n().over(_all_rows()).alias("_categories"),
+        F.sum("total_request_count").over(_all_rows()).alias("_all"),
     )
     # total > avg(total)  <=>  total * categories > sum(total)  (exact)
     return (
@@ -118,10 +122,10 @@ def handler_workload_speed(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataF
             "avg_resolution_hours"
         )
     )
-    speed = F.rank().over(ALL_ROWS.orderBy(F.asc_nulls_last("avg_resolution_hours")))
+    speed = F.rank().over(_all_rows().orderBy(F.asc_nulls_last("avg_resolution_hours")))
     return per.select(
         "*",
-        F.rank().over(ALL_ROWS.orderBy(F.desc("total_requests"))).alias("workload_rank"),
+        F.rank().over(_all_rows().orderBy(F.desc("total_requests"))).alias("workload_rank"),
         F.when(F.col("avg_resolution_hours").isNotNull(), speed).alias("speed_rank"),
     ).orderBy("workload_rank", F.asc_nulls_first(handler))
 
@@ -147,8 +151,8 @@ def peak_hours(df: DataFrame) -> DataFrame:
     return hourly.select(
         hour_label(F.col("request_hour")).alias("request_hour"),
         "hourly_request_count",
-        F.dense_rank().over(ALL_ROWS.orderBy(F.desc("hourly_request_count"))).alias("request_hour_rank"),
-        share_pct(F.col("hourly_request_count"), F.sum("hourly_request_count").over(ALL_ROWS)).alias(
+        F.dense_rank().over(_all_rows().orderBy(F.desc("hourly_request_count"))).alias("request_hour_rank"),
+        share_pct(F.col("hourly_request_count"), F.sum("hourly_request_count").over(_all_rows())).alias(
             "hour_share_percentage"
         ),
         F.col("request_hour").alias("_h"),
@@ -166,8 +170,8 @@ def weekday_pattern(df: DataFrame, weekend: Iterable[str] = WEEKEND_DAYS) -> Dat
     )
     inner = daily.select(
         "*",
-        F.min("request_date").over(ALL_ROWS).alias("_first"),
-        F.max("request_date").over(ALL_ROWS).alias("_last"),
+        F.min("request_date").over(_all_rows()).alias("_first"),
+        F.max("request_date").over(_all_rows()).alias("_last"),
     ).where((F.col("request_date") > F.col("_first")) & (F.col("request_date") < F.col("_last")))
     inner = inner.withColumn("_day_mean", half_up_div(F.col("_sum_h"), F.col("_n_h")))
     weekly = inner.groupBy("request_day_of_week").agg(
@@ -183,7 +187,7 @@ def weekday_pattern(df: DataFrame, weekend: Iterable[str] = WEEKEND_DAYS) -> Dat
         F.when(F.col("request_day_of_week").isin(list(weekend)), "Weekend").otherwise("Weekday").alias("day_type"),
         ratio_2dp(F.col("_requests"), F.col("_days")).alias("average_requests_per_day"),
         from_hundredths(half_up_div(F.col("_sum_means"), F.col("_n_means"))).alias("average_resolution_hours"),
-        F.rank().over(ALL_ROWS.orderBy(per_day.desc())).alias("day_rank"),
+        F.rank().over(_all_rows().orderBy(per_day.desc())).alias("day_rank"),
         F.try_element_at(order, F.col("request_day_of_week")).alias("_order"),
     ).orderBy(F.asc_nulls_last("_order")).drop("_order")
 
@@ -191,7 +195,7 @@ def weekday_pattern(df: DataFrame, weekend: Iterable[str] = WEEKEND_DAYS) -> Dat
 def daily_spikes(df: DataFrame) -> DataFrame:
     """Each date's requests against the (rounded) average day: % difference and status."""
     daily = df.groupBy("request_date").agg(_n().alias("daily_request_count"))
-    avg_h = half_up_div(F.sum("daily_request_count").over(ALL_ROWS) * 100, _n().over(ALL_ROWS))
+    avg_h = half_up_div(F.sum("daily_request_count").over(_all_rows()) * 100, _n().over(_all_rows()))
     with_avg = daily.withColumn("_avg_h", avg_h)
     scaled = F.col("daily_request_count") * 100
     return with_avg.select(
@@ -210,7 +214,7 @@ def _top_categories(per_category_rows: DataFrame, count_col: str, top_n: int, ca
     """Categories whose RANK by total rows is within ``top_n`` (ties kept), from an aggregate."""
     totals = per_category_rows.groupBy(cat).agg(F.sum(count_col).alias("_total"))
     return (
-        totals.select(cat, F.rank().over(ALL_ROWS.orderBy(F.desc("_total"))).alias("_rank"))
+        totals.select(cat, F.rank().over(_all_rows().orderBy(F.desc("_total"))).alias("_rank"))
         .where(F.col("_rank") <= top_n)
         .select(cat)
     )

@@ -22,6 +22,7 @@ def spark():
         SparkSession.builder.master("local[4]")
         .appName("reqlens-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .getOrCreate()
     )
