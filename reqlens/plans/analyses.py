@@ -210,28 +210,47 @@ def daily_spikes(df: DataFrame) -> DataFrame:
     ).orderBy(F.asc_nulls_first("request_date"))
 
 
-def _top_categories(per_category_rows: DataFrame, count_col: str, top_n: int, cat: str) -> DataFrame:
-    """Categories whose RANK by total rows is within ``top_n`` (ties kept), from an aggregate."""
-    totals = per_category_rows.groupBy(cat).agg(F.sum(count_col).alias("_total"))
-    return (
-        totals.select(cat, F.rank().over(_all_rows().orderBy(F.desc("_total"))).alias("_rank"))
-        .where(F.col("_rank") <= top_n)
-        .select(cat)
+def _with_group_rank(df: DataFrame, group: str, count_col: str, tiebreak: str, name: str) -> DataFrame:
+    """Add ``name`` = RANK of each ``group`` by its total ``count_col`` (desc), on a finer aggregate.
+
+    ``df`` has several rows per group (e.g. one per category and hour).  RANK
+    of a group is 1 + the number of groups with a larger total, so each
+    group's first row is flagged and the flags are summed over a running
+    window ordered by total.  This keeps one scan and one aggregate: a
+    self-join of the aggregate would be planned as a second scan, since the
+    optimizer pushes the join's null filter into one branch only.
+    """
+    by_group = Window.partitionBy(group)
+    flagged = df.select(
+        "*",
+        F.sum(count_col).over(by_group).alias("_group_total"),
+        (F.row_number().over(by_group.orderBy(F.asc_nulls_first(tiebreak))) == 1).cast("long").alias("_first"),
+    )
+    upto = _all_rows().orderBy(F.desc("_group_total")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = flagged.select(
+        "*",
+        F.sum("_first").over(upto).alias("_at_least"),
+        F.sum("_first").over(Window.partitionBy("_group_total")).alias("_equal"),
+    )
+    return ranked.withColumn(name, F.col("_at_least") - F.col("_equal") + 1).drop(
+        "_group_total", "_first", "_at_least", "_equal"
     )
 
 
 def peak_hour_by_category(df: DataFrame, top_n: int = 10, top_hours: int = 3, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """For the ``top_n`` commonest categories, their ``top_hours`` busiest hours (dense rank, ties kept)."""
+    """For the ``top_n`` commonest categories, their ``top_hours`` busiest hours (dense rank, ties kept).
+
+    The top list ranks every category, NULL included (it can take a slot);
+    a NULL category is then never reported, as an equi join would drop it.
+    """
     cat = roles.category
     by_hour = df.groupBy(cat, "request_hour").agg(_n().alias("hourly_request_count"))
-    top = _top_categories(by_hour, "hourly_request_count", top_n, cat)
-    joined = by_hour.join(top, cat)  # equi join: a NULL category never matches
-    ranked = joined.select(
+    ranked = _with_group_rank(by_hour, cat, "hourly_request_count", "request_hour", "_category_rank").select(
         "*",
         F.dense_rank().over(Window.partitionBy(cat).orderBy(F.desc("hourly_request_count"))).alias("hour_rank"),
     )
     return (
-        ranked.where(F.col("hour_rank") <= top_hours)
+        ranked.where((F.col("_category_rank") <= top_n) & F.col(cat).isNotNull() & (F.col("hour_rank") <= top_hours))
         .select(cat, hour_label(F.col("request_hour")).alias("request_hour"), "hourly_request_count", "hour_rank",
                 F.col("request_hour").alias("_h"))
         .orderBy(cat, "hour_rank", F.asc_nulls_first("_h"))
@@ -244,16 +263,18 @@ def category_resolution_by_region(
 ) -> DataFrame:
     """Mean hours of the top categories per region, ranked within each category (slowest first).
 
-    The top list counts all rows; regions are filtered afterwards; groups with
-    fewer than ``min_resolved`` resolved requests are dropped before ranking.
+    The top list counts all rows (every region); regions are filtered
+    afterwards; groups with fewer than ``min_resolved`` resolved requests are
+    dropped before ranking, so ranks are among the survivors.
     """
     cat, region = roles.category, roles.region
     per = _resolution_agg(df, [cat, region], "_total", "resolved_requests")
-    top = _top_categories(per, "_total", top_n, cat)
-    kept = (
-        per.where(F.col(region) != roles.unspecified_region)
-        .join(top, cat)
-        .where(F.col("resolved_requests") >= min_resolved)
+    ranked = _with_group_rank(per, cat, "_total", region, "_category_rank")
+    kept = ranked.where(
+        (F.col("_category_rank") <= top_n)
+        & F.col(cat).isNotNull()
+        & (F.col(region) != roles.unspecified_region)
+        & (F.col("resolved_requests") >= min_resolved)
     )
     mean_exact = F.col("_sum_h") / F.col("resolved_requests")
     return (

@@ -95,3 +95,41 @@ def test_deterministic_under_partitioning(spark, transformed, partitions):
             assert _tuples(fn(transformed.repartition(int(partitions)))) == base[name], name
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_null_category_can_take_a_top_slot(spark):
+    """NULL is the biggest category: it occupies rank 1, so with top_n=2 only one named category is reported."""
+    rows = []
+    key = 0
+    for cat, n in ((None, 9), ("a", 5), ("b", 4), ("c", 3)):
+        for i in range(n):
+            key += 1
+            rows.append((key, cat, "X", i % 3, 1.0 + i))
+    df = spark.createDataFrame(
+        rows, "unique_key long, complaint_type string, borough string, request_hour int, resolution_time_hours double"
+    )
+    dict_rows = [r.asDict() for r in df.collect()]
+    got = _tuples(A.peak_hour_by_category(df, top_n=2))
+    assert {t[0] for t in got} == {"a"}
+    assert got == B.peak_hour_by_complaint(dict_rows, top_n=2)
+    got9 = _tuples(A.category_resolution_by_region(df, top_n=2, min_resolved=1))
+    assert got9 == B.complaint_resolution_by_borough(dict_rows, top_n=2, min_resolved=1)
+    assert {t[0] for t in got9} == {"a"}
+
+
+def test_category_rank_ties(spark):
+    """Two categories tie for first: RANK gives 1, 1, 3 (top_n=2 keeps both tied ones only)."""
+    rows = []
+    key = 0
+    for cat, n in (("a", 4), ("b", 4), ("c", 3), ("d", 1)):
+        for i in range(n):
+            key += 1
+            rows.append((key, cat, "X", i % 2, float(i)))
+    df = spark.createDataFrame(
+        rows, "unique_key long, complaint_type string, borough string, request_hour int, resolution_time_hours double"
+    )
+    dict_rows = [r.asDict() for r in df.collect()]
+    for top_n in (1, 2, 3):
+        got = _tuples(A.peak_hour_by_category(df, top_n=top_n))
+        assert got == B.peak_hour_by_complaint(dict_rows, top_n=top_n), top_n
+    assert {t[0] for t in _tuples(A.peak_hour_by_category(df, top_n=2))} == {"a", "b"}
