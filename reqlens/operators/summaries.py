@@ -58,3 +58,45 @@ def handler_summary(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
 def date_summary(df: DataFrame) -> DataFrame:
     """``request_date, request_count`` ascending by date."""
     return df.groupBy("request_date").agg(F.count(F.lit(1)).alias("request_count")).orderBy("request_date")
+
+
+SUMMARY_KEYS = ("complaints_summary", "borough_summary", "agency_summary", "date_summary")
+
+
+def summary_groups(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+    """All four summaries as one ``GROUPING SETS`` aggregate (one scan, one shuffle).
+
+    Columns: the four keys, ``_g_<key>`` grouping flags (0 = grouped by that
+    key), ``request_count``, ``_sum_h``, ``_n_h``.  The flags tell a NULL key
+    value apart from a key that is not part of the set.  The result is small
+    (one row per key value); :func:`split_summary_groups` turns it back into
+    the four summaries.
+    """
+    keys = [roles.category, roles.region, roles.handler, "request_date"]
+    return df.groupingSets([[k] for k in keys], *keys).agg(
+        *[F.grouping(k).alias(f"_g_{k}") for k in keys],
+        F.count(F.lit(1)).alias("request_count"),
+        hours_sum_hundredths().alias("_sum_h"),
+        resolved_count().alias("_n_h"),
+    )
+
+
+def split_summary_groups(groups: DataFrame, roles: Roles = DEFAULT_ROLES) -> dict[str, DataFrame]:
+    """The four summaries from :func:`summary_groups` output (same columns and order as the one-by-one forms)."""
+
+    def keyed(key: str) -> DataFrame:
+        return (
+            groups.where(F.col(f"_g_{key}") == 0)
+            .select(key, "request_count", mean_hours().alias("avg_resolution_hours"))
+            .orderBy(F.desc("request_count"), F.asc_nulls_first(key))
+        )
+
+    dates = (
+        groups.where(F.col("_g_request_date") == 0).select("request_date", "request_count").orderBy("request_date")
+    )
+    return {
+        "complaints_summary": keyed(roles.category),
+        "borough_summary": keyed(roles.region),
+        "agency_summary": keyed(roles.handler),
+        "date_summary": dates,
+    }

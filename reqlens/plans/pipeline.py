@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reqlens.operators.clean import clean_requests
 from reqlens.operators.features import transform_requests
 from reqlens.operators.gates import check_cleaning, check_transform
-from reqlens.operators.summaries import category_summary, date_summary, handler_summary, region_summary
+from reqlens.operators.summaries import split_summary_groups, summary_groups
 from reqlens.plans.analyses import run_analyses
 from reqlens.roles import CATEGORY_SPELLING, DEFAULT_ROLES, Roles
 from reqlens.sources.files import write_parquet
@@ -54,16 +54,17 @@ def transform_stage(
 
 
 def summary_stage(spark: SparkSession, transformed_path: str, out_dir: str, roles: Roles = DEFAULT_ROLES) -> dict[str, str]:
-    """Write the four summaries (each one aggregate over the transformed table)."""
-    df = spark.read.parquet(transformed_path)
-    summaries = {
-        "complaints_summary": category_summary(df, roles),
-        "borough_summary": region_summary(df, roles),
-        "agency_summary": handler_summary(df, roles),
-        "date_summary": date_summary(df),
-    }
+    """Write the four summaries.
+
+    One ``GROUPING SETS`` aggregate over the transformed table (a single scan
+    instead of four) is written as a small table, then each summary is cut
+    from it; the per-key tables are tiny, so each is written as one file.
+    """
+    groups_path = f"{out_dir}/_summary_groups"
+    write_parquet(summary_groups(spark.read.parquet(transformed_path), roles), groups_path)
+    groups = spark.read.parquet(groups_path)
     paths = {}
-    for name, summary in summaries.items():
+    for name, summary in split_summary_groups(groups, roles).items():
         paths[name] = write_parquet(summary.coalesce(1), f"{out_dir}/{name}")
     return paths
 

@@ -133,3 +133,18 @@ def test_category_rank_ties(spark):
         got = _tuples(A.peak_hour_by_category(df, top_n=top_n))
         assert got == B.peak_hour_by_complaint(dict_rows, top_n=top_n), top_n
     assert {t[0] for t in _tuples(A.peak_hour_by_category(df, top_n=2))} == {"a", "b"}
+
+
+def test_grouping_sets_summaries_equal_one_by_one(transformed):
+    from reqlens.operators.summaries import handler_summary, split_summary_groups, summary_groups
+
+    split = split_summary_groups(summary_groups(transformed))
+    one_by_one = {
+        "complaints_summary": category_summary(transformed),
+        "borough_summary": region_summary(transformed),
+        "agency_summary": handler_summary(transformed),
+        "date_summary": date_summary(transformed),
+    }
+    for name, df in one_by_one.items():
+        assert split[name].columns == df.columns, name
+        assert split[name].collect() == df.collect(), name
