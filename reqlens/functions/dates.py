@@ -19,15 +19,24 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_timestamp(text, pattern: str = RAW_DATE_PATTERN) -> Column:
+# Session zones without DST: a zoned parse cast to timestamp_ntz is exact there.
+FIXED_OFFSET_ZONES = frozenset({"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UCT", "Etc/UCT", "Zulu"})
+
+
+def parse_timestamp(text, pattern: str = RAW_DATE_PATTERN, session_zone: str | None = None) -> Column:
     """Text -> ``timestamp_ntz``; NULL where the text does not match ``pattern``.
 
     ``try_to_timestamp`` tolerates bad input but yields a zoned timestamp, and
     casting that to ``timestamp_ntz`` shifts wall-clock times that fall into a
-    DST gap of the session zone.  So it only guards the zone-free parse.
+    DST gap of the session zone.  In a zone without DST (``session_zone`` in
+    :data:`FIXED_OFFSET_ZONES`) that single parse is exact; otherwise it only
+    guards the zone-free parse (two parses per value).
     """
     c, fmt = _col(text), F.lit(pattern)
-    return F.when(F.try_to_timestamp(c, fmt).isNotNull(), F.to_timestamp_ntz(c, fmt))
+    zoned = F.try_to_timestamp(c, fmt)
+    if session_zone in FIXED_OFFSET_ZONES:
+        return zoned.cast("timestamp_ntz")
+    return F.when(zoned.isNotNull(), F.to_timestamp_ntz(c, fmt))
 
 
 def whole_seconds_between(start, end) -> Column:

@@ -29,10 +29,11 @@ def parse_timestamps(
     """
     types = dict(df.dtypes)
     cols = present(df.columns, columns if columns is not None else roles.date_columns)
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone", None)
     exprs = {}
     for c in cols:
         if types[c] == "string":
-            exprs[c] = parse_timestamp(F.col(c), pattern)
+            exprs[c] = parse_timestamp(F.col(c), pattern, zone)
         elif types[c] == "timestamp":
             exprs[c] = F.col(c).cast(T.TimestampNTZType())
     return df.withColumns(exprs) if exprs else df

@@ -44,8 +44,12 @@ def _count_by(df: DataFrame, key: str, name: str = COUNT) -> DataFrame:
     )
 
 
-def _parsed(c: str, pattern: str) -> Column:
-    return parse_timestamp(F.col(c), pattern)
+def _as_time(df: DataFrame, c: str, pattern: str) -> Column:
+    """A date column as a timestamp: raw text is parsed, typed columns pass through."""
+    if dict(df.dtypes)[c] != "string":
+        return F.col(c)
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone", None)
+    return parse_timestamp(F.col(c), pattern, zone)
 
 
 # --- structure -------------------------------------------------------------
@@ -60,7 +64,7 @@ def structure_profile(df: DataFrame) -> DataFrame:
 
 def date_range(df: DataFrame, pattern: str = RAW_DATE_PATTERN, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Earliest and latest parseable created time, plus how many did not parse."""
-    created = _parsed(roles.created, pattern) if dict(df.dtypes)[roles.created] == "string" else F.col(roles.created)
+    created = _as_time(df, roles.created, pattern)
     return df.select(created.alias("_c"), F.col(roles.created).isNotNull().alias("_present")).agg(
         F.min("_c").alias("earliest_date"),
         F.max("_c").alias("latest_date"),
@@ -259,10 +263,7 @@ def non_closed_closed_by_status(df: DataFrame, roles: Roles = DEFAULT_ROLES) ->
 
 
 def _invalid_order(df: DataFrame, pattern: str, roles: Roles) -> DataFrame:
-    types = dict(df.dtypes)
-    created = _parsed(roles.created, pattern) if types[roles.created] == "string" else F.col(roles.created)
-    closed = _parsed(roles.closed, pattern) if types[roles.closed] == "string" else F.col(roles.closed)
-    return df.where(created > closed)
+    return df.where(_as_time(df, roles.created, pattern) > _as_time(df, roles.closed, pattern))
 
 
 def invalid_date_rows(df: DataFrame, pattern: str = RAW_DATE_PATTERN, roles: Roles = DEFAULT_ROLES) -> DataFrame:
@@ -406,9 +407,7 @@ def category_case_variants(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataF
 
 def quality_counts(df: DataFrame, pattern: str = RAW_DATE_PATTERN, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Headline counts of the profile in one scan (one row)."""
-    types = dict(df.dtypes)
-    created = _parsed(roles.created, pattern) if types[roles.created] == "string" else F.col(roles.created)
-    closed = _parsed(roles.closed, pattern) if types[roles.closed] == "string" else F.col(roles.closed)
+    created, closed = _as_time(df, roles.created, pattern), _as_time(df, roles.closed, pattern)
     closed_present = F.col(roles.closed).isNotNull()
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),

@@ -3,6 +3,7 @@
 from reqlens.sources.files import (
     read_raw_csv,
     read_parquet,
+    register_parquet_view,
     rename_to_roles,
     validate_columns,
     write_parquet,
@@ -17,6 +18,7 @@ __all__ = [
     "load_table",
     "raw_requests",
     "read_parquet",
+    "register_parquet_view",
     "read_raw_csv",
     "rename_to_roles",
     "validate_columns",

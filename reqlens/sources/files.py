@@ -53,14 +53,24 @@ def read_raw_csv(
     numeric_types: Mapping[str, str] = RAW_NUMERIC_TYPES,
     roles: Roles = DEFAULT_ROLES,
     validate: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """Raw request CSV -> role-named DataFrame.
 
     ``schema`` (source header names) may be given; otherwise all columns are
-    text.  Raises ``FileNotFoundError`` for a missing path and ``ValueError``
-    when a required role is absent.
+    text.  Quoting follows RFC 4180 (a quote inside a quoted field is doubled).
+    ``multiline=True`` allows line breaks inside quoted fields, at the price of
+    one task per file (such files cannot be split).  Raises
+    ``FileNotFoundError`` for a missing path and ``ValueError`` when a required
+    role is absent.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = (
+        spark.read.option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multiline)
+    )
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -94,6 +104,13 @@ def ingest_report(df: DataFrame) -> DataFrame:
     )
 
 
+def register_parquet_view(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Temp view over a Parquet table (absolute path), for ``spark.sql`` users."""
+    df = read_parquet(spark, path)
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path)

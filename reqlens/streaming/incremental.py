@@ -68,9 +68,14 @@ def start_incremental_transform(
     out_dir = out_dir.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        check_cleaning(batch, spelling=spelling, roles=roles)
-        check_transform(batch, roles=roles)
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        # one micro-batch is bounded by the trigger; keep it for the gates and the write
+        batch = batch.persist()
+        try:
+            check_cleaning(batch, spelling=spelling, roles=roles)
+            check_transform(batch, roles=roles)
+            batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = (
         transformed.writeStream.queryName(query_name)

@@ -69,3 +69,30 @@ def test_whole_seconds_and_label(spark):
     rows = df.select(whole_seconds_between("a", "b").alias("s"), hour_label(F.col("h")).alias("l")).collect()
     assert rows[0].s == 1 and rows[0].l == "03:00"
     assert rows[1].s is None and rows[1].l is None
+
+
+def test_half_up_div_property(spark):
+    """Random integers (both signs, large magnitudes) against Decimal HALF_UP."""
+    import random
+
+    rng = random.Random(7)
+    pairs = [(rng.randint(-10**12, 10**12), rng.randint(1, 10**7)) for _ in range(3000)]
+    pairs += [(d * k + d // 2, d) for d, k in ((2, 5), (36, 100), (1000, -3))]  # exact halves
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = {(r.n, r.d): r.q for r in df.select("n", "d", half_up_div("n", "d").alias("q")).collect()}
+    for n, d in pairs:
+        assert got[(n, d)] == _half_up(n, d), (n, d)
+
+
+def test_fixed_zone_fast_path_equals_guarded(spark):
+    texts = [f"{m:02d}/{d:02d}/2026 {h:02d}:{mi:02d}:07 {ap}" for m in (1, 3, 11) for d in (1, 8, 31)
+             for h in (12, 1, 2, 11) for mi in (0, 30) for ap in ("AM", "PM")] + ["bad", None, "13/01/2026 01:00:00 AM"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    fast = df.select(parse_timestamp(F.col("t"), session_zone="UTC").alias("p"))
+    guarded = df.select(parse_timestamp(F.col("t")).alias("p"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        assert fast.collect() == guarded.collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -60,3 +60,23 @@ def test_explicit_schema(spark, tmp_path):
     df = read_raw_csv(spark, path, schema=schema)
     assert dict(df.dtypes)["unique_key"] == "string"
     assert df.count() == ROW_COUNT
+
+
+def test_rfc4180_quotes_and_multiline(spark, tmp_path):
+    from tests.fixtures import HEADERS
+
+    header = ",".join(f'"{h}"' if "," in h else h for h in HEADERS)
+    blank = [""] * (len(HEADERS) - 2)
+    row1 = ["1", '"He said ""loud"", then left"'] + blank
+    row2 = ["2", '"line one\nline two"'] + blank
+    order = ["Unique Key", "Resolution Description"] + [h for h in HEADERS if h not in ("Unique Key", "Resolution Description")]
+    text = ",".join(order) + "\n" + ",".join(row1) + "\n" + ",".join(row2) + "\n"
+    path = tmp_path / "q.csv"
+    path.write_text(text)
+    df = read_raw_csv(spark, str(path), multiline=True, validate=False)
+    got = {r.unique_key: r.resolution_description for r in df.collect()}
+    assert got == {1: 'He said "loud", then left', 2: "line one\nline two"}
+    from reqlens.sources.files import register_parquet_view
+
+    register_parquet_view(spark, write_parquet(df, str(tmp_path / "p")), "reqs")
+    assert spark.sql("SELECT COUNT(*) AS n FROM reqs").first().n == 2
