@@ -203,8 +203,9 @@ def full_row_duplicates(df: DataFrame, max_broadcast_rows: int | None = None) ->
        group those by every column, so the count stays exact even if two
        different rows ever share a fingerprint.
 
-    Beyond the bound (many duplicates) it falls back to the exact full
-    groupBy.  A group of copies holding a third of all rows is fine in both
+    No repeated fingerprint means no duplicate, so the common clean case
+    ends after the first pass.  Beyond the bound (many duplicates) it falls
+    back to the exact full groupBy.  A group of copies holding a third of all rows is fine in both
     paths: partial aggregation collapses it per task before any shuffle.
     """
     cols = df.columns
@@ -223,7 +224,11 @@ def full_row_duplicates(df: DataFrame, max_broadcast_rows: int | None = None) ->
         .checkpoint(eager=True)
     )
     bound = max_broadcast_rows if max_broadcast_rows is not None else _broadcast_row_bound(spark, 64)
-    if candidates.limit(bound + 1).count() > bound:
+    seen = candidates.limit(bound + 1).count()
+    if seen == 0:
+        # equal rows always share a fingerprint: no repeated fingerprint, no duplicate
+        return candidates.agg(F.lit(0).cast("long").alias("duplicate_rows"))
+    if seen > bound:
         return _duplicates_by_value(df, cols)
     suspects = stamped.join(F.broadcast(candidates), fp_cols, "left_semi")
     return _duplicates_by_value(suspects, fp_cols + cols)

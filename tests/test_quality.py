@@ -105,3 +105,9 @@ def test_quality_counts_fused(raw):
     r = Q.quality_counts(raw).first()
     assert r.row_count == ROW_COUNT and r.closed_without_closed_date == 1 and r.open_with_closed_date == 1
     assert r.created_after_closed == 1 and r.missing_coordinates == 2 and r.coordinate_mismatches == 1
+
+
+def test_duplicates_none(spark, raw):
+    distinct = raw.dropDuplicates()
+    assert Q.full_row_duplicates(distinct).first().duplicate_rows == 0
+    assert Q.full_row_duplicates(distinct, max_broadcast_rows=0).first().duplicate_rows == 0
