@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -365,14 +365,15 @@ def blank_handlers(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
 
 
 def _variants(pairs: DataFrame, key: str, value: str, n_name: str) -> DataFrame:
-    """Rows of ``pairs`` (distinct key/value) whose key has more than one value.
+    """Rows of ``pairs`` (distinct key/value, aggregated) whose key has more than one value.
 
-    Counts per key with a partially aggregated groupBy and joins the small
-    count table back (null-safe, so a NULL key is a group).  No key's values are
-    ever gathered into one array or one task.
+    The count per key is a window over the already aggregated pairs, so it
+    sees one row per distinct value, never the requests behind it: a key
+    holding a third of all rows is still a handful of rows here.  A self-join
+    of the pairs would be planned as a second scan of the table (the two
+    branches are pruned differently, so the shuffle is not reused).
     """
-    per_key = pairs.groupBy(key).agg(F.count(F.lit(1)).alias(n_name)).where(F.col(n_name) > 1)
-    return pairs.join(per_key.withColumnRenamed(key, "_k"), pairs[key].eqNullSafe(F.col("_k"))).drop("_k")
+    return pairs.withColumn(n_name, F.count(F.lit(1)).over(Window.partitionBy(key))).where(F.col(n_name) > 1)
 
 
 def handler_name_consistency(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:

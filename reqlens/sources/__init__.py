@@ -1,6 +1,7 @@
 """Sources, sinks and the column contract."""
 
 from reqlens.sources.files import (
+    bounded_broadcast,
     read_raw_csv,
     read_parquet,
     register_parquet_view,
@@ -13,6 +14,7 @@ from reqlens.sources.files import (
 from reqlens.sources.testdata import raw_requests, load_table
 
 __all__ = [
+    "bounded_broadcast",
     "cast_identifiers",
     "ingest_report",
     "load_table",

@@ -111,6 +111,16 @@ def register_parquet_view(spark: SparkSession, path: str, name: str) -> DataFram
     return df
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The bound is checked with one small job that reads at most
+    ``max_rows + 1`` rows.  Meant for dimensions whose size does not grow
+    with the data; beyond the bound the optimizer (and AQE) choose the join.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path)

@@ -8,10 +8,11 @@ event / user ids.  The table looks like the raw export: dates are text in
 ``RAW_DATE_PATTERN``.  The same definition exists as DuckDB SQL in
 :mod:`reqlens.oracle` and both engines agree on it value for value.
 
-Joins are left to the optimizer: ``nation`` and ``region`` are fixed-size
-dimensions that Spark broadcasts under its size threshold; ``customer`` grows
-with the data, so it is joined by shuffle unless AQE measures it small at
-runtime, and AQE's skew handling splits a hot ``user_id``.
+Joins: ``nation ⋈ region`` is a fixed-size dimension (25 rows), broadcast
+explicitly after a row-count check, so ``customer`` is never shuffled just
+to meet it.  ``customer`` grows with the data, so ``events ⋈ customer`` is
+left to the optimizer: a shuffle join unless AQE measures a side small at
+runtime, with AQE's skew handling splitting a hot ``user_id``.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reqlens.roles import RAW_DATE_PATTERN
+from reqlens.sources.files import bounded_broadcast
+
+# Largest geography dimension (nation x region) broadcast without a shuffle.
+DIMENSION_MAX_ROWS = 100_000
 
 # Fixed values of the test tables: the event types in ``events``.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -61,7 +66,10 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = load_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = load_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    places = bounded_broadcast(
+        nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name"),
+        DIMENSION_MAX_ROWS,
+    )
     customers = customer.join(places, customer.c_nationkey == places.n_nationkey).select("c_custkey", "c_name", "n_name", "r_name")
     base = events.join(customers, events.user_id == customers.c_custkey)
 
