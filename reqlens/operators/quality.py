@@ -216,13 +216,13 @@ def full_row_duplicates(df: DataFrame, max_broadcast_rows: int | None = None) ->
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
     fp_cols = ["_fp1", "_fp2", "_fp3"]
     stamped = df.select(*cols, *_row_fingerprint(cols))
-    candidates = (
-        stamped.groupBy(*fp_cols)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-        .select(*fp_cols)
-        .checkpoint(eager=True)
+    repeated = (
+        stamped.groupBy(*fp_cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*fp_cols)
     )
+    try:
+        candidates = repeated.checkpoint(eager=True)
+    except Exception:  # checkpoint storage unusable: the exact one-pass plan still works
+        return _duplicates_by_value(df, cols)
     bound = max_broadcast_rows if max_broadcast_rows is not None else _broadcast_row_bound(spark, 64)
     seen = candidates.limit(bound + 1).count()
     if seen == 0:
