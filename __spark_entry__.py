@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 
 from reqlens.operators import clean as C
 from reqlens.operators import gates as G
-from reqlens.operators import quality as Q
 from reqlens.operators import summaries as S
 from reqlens.operators.features import add_date_features, transform_requests
 from reqlens.plans import analyses as A
+from reqlens.plans.pipeline import PROFILE_CHECKS
 from reqlens.sources.files import cast_identifiers
 from reqlens.sources.testdata import CATEGORY_SPELLING, raw_requests
 
@@ -61,39 +61,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # sources / contract
         "identifier_strings": _on_raw(lambda df: cast_identifiers(df).select("unique_key", "incident_zip")),
-        "structure_profile": _on_raw(Q.structure_profile),
-        # quality profile (raw table)
-        "date_range": _on_raw(Q.date_range),
-        "missing_profile": _on_raw(Q.missing_profile),
-        "core_completeness": _on_raw(Q.core_completeness),
-        "placeholder_counts": _on_raw(Q.placeholder_counts),
-        "placeholder_totals": _on_raw(Q.placeholder_totals),
-        "full_row_duplicates": _on_raw(Q.full_row_duplicates),
-        "duplicate_keys": _on_raw(Q.duplicate_keys),
-        "status_counts": _on_raw(Q.status_counts),
-        "missing_closed_by_status": _on_raw(Q.missing_closed_by_status),
-        "closed_missing_closed_date": _on_raw(Q.closed_missing_closed_date),
-        "non_closed_with_closed_date": _on_raw(Q.non_closed_with_closed_date),
-        "non_closed_closed_by_status": _on_raw(Q.non_closed_closed_by_status),
-        "invalid_date_rows": _on_raw(Q.invalid_date_rows),
-        "invalid_date_by_status": _on_raw(Q.invalid_date_by_status),
-        "invalid_date_matching_resolution": _on_raw(Q.invalid_date_matching_resolution),
-        "invalid_date_details": _on_raw(Q.invalid_date_details),
-        "borough_counts": _on_raw(Q.region_counts),
-        "missing_zip_count": _on_raw(Q.missing_zip_count),
-        "missing_zip_by_borough": _on_raw(Q.missing_zip_by_region),
-        "unspecified_borough_rows": _on_raw(Q.unspecified_region_rows),
-        "missing_coords_by_borough": _on_raw(Q.missing_coords_by_region),
-        "missing_coord_rows": _on_raw(Q.missing_coord_rows),
-        "coord_mismatch_rows": _on_raw(Q.coord_mismatch_rows),
-        "distinct_complaints": _on_raw(Q.distinct_categories),
-        "complaint_ranking": _on_raw(Q.category_ranking),
-        "blank_complaints": _on_raw(Q.blank_categories),
-        "distinct_agencies": _on_raw(Q.distinct_handlers),
-        "agency_ranking": _on_raw(Q.handler_ranking),
-        "blank_agencies": _on_raw(Q.blank_handlers),
-        "agency_name_consistency": _on_raw(Q.handler_name_consistency),
-        "complaint_case_variants": _on_raw(Q.category_case_variants),
+        # quality profile (raw table), incl. the fused headline counts
+        **{name: _on_raw(check) for name, check in PROFILE_CHECKS.items()},
         # cleaning
         "parse_timestamps": _on_raw(
             lambda df: C.parse_timestamps(df).select("unique_key", "created_date", "closed_date", "resolution_updated")

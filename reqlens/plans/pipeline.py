@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reqlens.operators import quality as Q
 from reqlens.operators.clean import clean_requests
 from reqlens.operators.features import transform_requests
 from reqlens.operators.gates import check_cleaning, check_transform
@@ -69,6 +70,60 @@ def summary_stage(spark: SparkSession, transformed_path: str, out_dir: str, role
     return paths
 
 
+PROFILE_CHECKS = {
+    "structure_profile": Q.structure_profile,
+    "date_range": Q.date_range,
+    "missing_profile": Q.missing_profile,
+    "core_completeness": Q.core_completeness,
+    "placeholder_counts": Q.placeholder_counts,
+    "placeholder_totals": Q.placeholder_totals,
+    "full_row_duplicates": Q.full_row_duplicates,
+    "duplicate_keys": Q.duplicate_keys,
+    "status_counts": Q.status_counts,
+    "missing_closed_by_status": Q.missing_closed_by_status,
+    "closed_missing_closed_date": Q.closed_missing_closed_date,
+    "non_closed_with_closed_date": Q.non_closed_with_closed_date,
+    "non_closed_closed_by_status": Q.non_closed_closed_by_status,
+    "invalid_date_rows": Q.invalid_date_rows,
+    "invalid_date_by_status": Q.invalid_date_by_status,
+    "invalid_date_matching_resolution": Q.invalid_date_matching_resolution,
+    "invalid_date_details": Q.invalid_date_details,
+    "borough_counts": Q.region_counts,
+    "missing_zip_count": Q.missing_zip_count,
+    "missing_zip_by_borough": Q.missing_zip_by_region,
+    "unspecified_borough_rows": Q.unspecified_region_rows,
+    "missing_coords_by_borough": Q.missing_coords_by_region,
+    "missing_coord_rows": Q.missing_coord_rows,
+    "coord_mismatch_rows": Q.coord_mismatch_rows,
+    "distinct_complaints": Q.distinct_categories,
+    "complaint_ranking": Q.category_ranking,
+    "blank_complaints": Q.blank_categories,
+    "distinct_agencies": Q.distinct_handlers,
+    "agency_ranking": Q.handler_ranking,
+    "blank_agencies": Q.blank_handlers,
+    "agency_name_consistency": Q.handler_name_consistency,
+    "complaint_case_variants": Q.category_case_variants,
+    "quality_counts": Q.quality_counts,
+}
+
+
+def profile_stage(spark: SparkSession, raw: DataFrame, out_dir: str, roles: Roles = DEFAULT_ROLES) -> dict[str, DataFrame]:
+    """The whole quality profile over one columnar copy of the raw table.
+
+    The raw source (typically CSV) is parsed once and written as Parquet under
+    ``out_dir/raw``; every check then reads only the columns it needs from
+    that copy instead of re-parsing the text (the source cached the frame in
+    memory, which does not scale).  Returns lazy DataFrames, one per check.
+    """
+    raw_path = write_parquet(raw, f"{out_dir.rstrip('/')}/raw")
+    staged = spark.read.parquet(raw_path)
+    out = {}
+    for name, check in PROFILE_CHECKS.items():
+        takes_roles = check not in (Q.structure_profile, Q.missing_profile, Q.full_row_duplicates)
+        out[name] = check(staged, roles=roles) if takes_roles else check(staged)
+    return out
+
+
 def run_pipeline(
     spark: SparkSession,
     raw: DataFrame,

@@ -48,3 +48,17 @@ def test_failed_gate_writes_nothing(spark, tmp_path):
         # a spelling map whose fixes are undone again: the gate must stop the write
         run_pipeline(spark, raw.withColumn("complaint_type", F.lit("x")), out, spelling={"x": "x"})
     assert not os.path.exists(out)
+
+
+def test_profile_stage_matches_direct_checks(spark, tmp_path):
+    from reqlens.operators import quality as Q
+    from reqlens.plans.pipeline import PROFILE_CHECKS, profile_stage
+
+    raw = read_raw_csv(spark, write_raw_csv(str(tmp_path)))
+    prof = profile_stage(spark, raw, str(tmp_path / "profile"))
+    assert set(prof) == set(PROFILE_CHECKS)
+    assert sorted(prof["status_counts"].collect(), key=repr) == sorted(Q.status_counts(raw).collect(), key=repr)
+    assert prof["full_row_duplicates"].first().duplicate_rows == 1
+    assert prof["quality_counts"].first().row_count == ROW_COUNT
+    for name, df in prof.items():
+        df.collect()  # every check runs on the staged copy
