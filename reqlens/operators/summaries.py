@@ -81,22 +81,23 @@ def summary_groups(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     )
 
 
-def split_summary_groups(groups: DataFrame, roles: Roles = DEFAULT_ROLES) -> dict[str, DataFrame]:
-    """The four summaries from :func:`summary_groups` output (same columns and order as the one-by-one forms)."""
+def split_summary_groups(groups: DataFrame, roles: Roles = DEFAULT_ROLES, ordered: bool = True) -> dict[str, DataFrame]:
+    """The four summaries from :func:`summary_groups` output (same columns as the one-by-one forms).
+
+    ``ordered=False`` skips the final sort (a sampling job and a range
+    shuffle each): stored Parquet carries no row order for its readers.
+    """
 
     def keyed(key: str) -> DataFrame:
-        return (
-            groups.where(F.col(f"_g_{key}") == 0)
-            .select(key, "request_count", mean_hours().alias("avg_resolution_hours"))
-            .orderBy(F.desc("request_count"), F.asc_nulls_first(key))
+        out = groups.where(F.col(f"_g_{key}") == 0).select(
+            key, "request_count", mean_hours().alias("avg_resolution_hours")
         )
+        return out.orderBy(F.desc("request_count"), F.asc_nulls_first(key)) if ordered else out
 
-    dates = (
-        groups.where(F.col("_g_request_date") == 0).select("request_date", "request_count").orderBy("request_date")
-    )
+    dates = groups.where(F.col("_g_request_date") == 0).select("request_date", "request_count")
     return {
         "complaints_summary": keyed(roles.category),
         "borough_summary": keyed(roles.region),
         "agency_summary": keyed(roles.handler),
-        "date_summary": dates,
+        "date_summary": dates.orderBy("request_date") if ordered else dates,
     }

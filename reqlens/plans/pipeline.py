@@ -59,13 +59,14 @@ def summary_stage(spark: SparkSession, transformed_path: str, out_dir: str, role
 
     One ``GROUPING SETS`` aggregate over the transformed table (a single scan
     instead of four) is written as a small table, then each summary is cut
-    from it (AQE coalesces the small per-key tables into few files).
+    from it, unsorted (stored Parquet has no row order for readers; AQE keeps
+    the small per-key tables to few files).
     """
     groups_path = f"{out_dir}/_summary_groups"
     write_parquet(summary_groups(spark.read.parquet(transformed_path), roles), groups_path)
     groups = spark.read.parquet(groups_path)
     paths = {}
-    for name, summary in split_summary_groups(groups, roles).items():
+    for name, summary in split_summary_groups(groups, roles, ordered=False).items():
         paths[name] = write_parquet(summary, f"{out_dir}/{name}")
     return paths
 
