@@ -86,14 +86,20 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(_m(e, 211) == 0, F.timestamp_add("SECOND", F.lit(-3600), ts))
         .otherwise(F.timestamp_add("SECOND", F.floor(F.col("value") * 360), ts))
     )
-    fmt = lambda c: F.date_format(c, RAW_DATE_PATTERN)
     category = F.concat(F.col("event_type"), F.lit("-"), _m(k, 3).cast("string"))
     slot = _m(u, 12).cast("string")
-    rows = rows.withColumn("_closed", closed_ts)
+    # each timestamp is formatted once: the texts are reused in several CASE branches below
+    rows = rows.withColumn("_closed", closed_ts).withColumns(
+        {
+            "_ts_text": F.date_format(ts, RAW_DATE_PATTERN),
+            "_closed_text": F.date_format(F.col("_closed"), RAW_DATE_PATTERN),
+        }
+    )
+    fmt = {"ts": F.col("_ts_text"), "closed": F.col("_closed_text")}
     return rows.select(
         e.alias("unique_key"),
-        F.when(_m(e, 701) == 3, F.lit("not a date")).otherwise(fmt(ts)).alias("created_date"),
-        fmt(F.col("_closed")).alias("closed_date"),
+        F.when(_m(e, 701) == 3, F.lit("not a date")).otherwise(fmt["ts"]).alias("created_date"),
+        fmt["closed"].alias("closed_date"),
         F.when(_m(e, 409) == 0, F.lit(None)).otherwise(F.concat(F.lit("AG"), slot)).alias("agency"),
         F.when(_m(e, 389) == 0, F.lit(None))
         .when(_m(e, 397) == 0, F.lit("  "))
@@ -113,7 +119,7 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((_m(u, 12) == 0) & (_m(e, 2) == 0), "Agency 0 (old)")
         .otherwise(F.concat(F.lit("Agency "), slot))
         .alias("agency_name"),
-        F.when(_m(e, 3) == 0, fmt(F.col("_closed"))).otherwise(fmt(ts)).alias("resolution_updated"),
+        F.when(_m(e, 3) == 0, fmt["closed"]).otherwise(fmt["ts"]).alias("resolution_updated"),
         F.when(_m(e, 29) == 0, F.lit(None))
         .otherwise(F.concat(F.lit("0"), (F.lit(1000) + _m(u, 40)).cast("string")))
         .alias("incident_zip"),
