@@ -34,7 +34,6 @@ from reqlens.operators.summaries import hours_sum_hundredths, mean_hours, resolv
 from reqlens.roles import DEFAULT_ROLES, WEEK_ORDER, WEEKEND_DAYS, Roles
 
 
-
 def _all_rows() -> Window:
     """A window over all rows; only ever applied to aggregated rows."""
     return Window.partitionBy()
