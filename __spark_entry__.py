@@ -11,8 +11,14 @@ then cleaned and transformed exactly as the pipeline does.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:  # loaded by file path: make the package importable
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 
 from reqlens.operators import clean as C
