@@ -19,6 +19,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from reqlens.operators.quality import schema_profile
 from reqlens.plans.analyses import ANALYSES
 from reqlens.plans.pipeline import clean_stage, profile_stage, run_pipeline, summary_stage, transform_stage
 from reqlens.session import configure
@@ -72,13 +73,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.command == "ingest":
         _show("Ingest report (column contract passed)", ingest_report(raw), args.rows)
     elif args.command == "inspect":
+        _show("Schema", schema_profile(raw), len(raw.columns))
         for name, df in profile_stage(spark, raw, f"{out}/profile").items():
             _show(name.replace("_", " ").capitalize(), df, args.rows)
     elif args.command == "clean":
         metrics = clean_stage(raw, f"{out}/cleaned")
         print(f"Cleaned data validated and written to {out}/cleaned: {metrics}")
     elif args.command == "transform":
-        metrics = transform_stage(spark, f"{out}/cleaned", f"{out}/transformed", None)
+        expected = spark.read.parquet(f"{out}/cleaned").count()  # Parquet footers: no column is read
+        metrics = transform_stage(spark, f"{out}/cleaned", f"{out}/transformed", expected)
         paths = summary_stage(spark, f"{out}/transformed", out)
         print(f"Transformed data validated and written to {out}/transformed: {metrics}")
         print(f"Summaries: {paths}")

@@ -62,6 +62,14 @@ def structure_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def schema_profile(df: DataFrame) -> DataFrame:
+    """``column_position, column_name, data_type, nullable`` of the frame (metadata, no data is read)."""
+    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(
+        rows, "column_position int, column_name string, data_type string, nullable boolean"
+    )
+
+
 def date_range(df: DataFrame, pattern: str = RAW_DATE_PATTERN, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Earliest and latest parseable created time, plus how many did not parse."""
     created = _as_time(df, roles.created, pattern)

@@ -111,3 +111,10 @@ def test_duplicates_none(spark, raw):
     distinct = raw.dropDuplicates()
     assert Q.full_row_duplicates(distinct).first().duplicate_rows == 0
     assert Q.full_row_duplicates(distinct, max_broadcast_rows=0).first().duplicate_rows == 0
+
+
+def test_schema_profile(raw):
+    rows = Q.schema_profile(raw).collect()
+    assert [r.column_name for r in rows] == raw.columns
+    assert {r.column_name: r.data_type for r in rows}["unique_key"] == "bigint"
+    assert rows[0].column_position == 1
