@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from reqlens.operators import quality as Q
@@ -58,16 +59,18 @@ def summary_stage(spark: SparkSession, transformed_path: str, out_dir: str, role
     """Write the four summaries.
 
     One ``GROUPING SETS`` aggregate over the transformed table (a single scan
-    instead of four) is written as a small table, then each summary is cut
-    from it, unsorted (stored Parquet has no row order for readers; AQE keeps
-    the small per-key tables to few files).
+    instead of four) is persisted (one row per key value, so small), and each
+    summary is cut from it and written unsorted (stored Parquet has no row
+    order for readers).  A lost executor only costs recomputing that one
+    aggregate from the written transformed table.
     """
-    groups_path = f"{out_dir}/_summary_groups"
-    write_parquet(summary_groups(spark.read.parquet(transformed_path), roles), groups_path)
-    groups = spark.read.parquet(groups_path)
-    paths = {}
-    for name, summary in split_summary_groups(groups, roles, ordered=False).items():
-        paths[name] = write_parquet(summary, f"{out_dir}/{name}")
+    groups = summary_groups(spark.read.parquet(transformed_path), roles).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        paths = {}
+        for name, summary in split_summary_groups(groups, roles, ordered=False).items():
+            paths[name] = write_parquet(summary, f"{out_dir}/{name}")
+    finally:
+        groups.unpersist()
     return paths
 
 
