@@ -62,7 +62,7 @@ def standardize_categories(
     roles: Roles = DEFAULT_ROLES,
 ) -> DataFrame:
     """Replace known misspellings of the category by their standard form; others untouched."""
-    if not spelling:
+    if not spelling or roles.category not in df.columns:
         return df
     lookup = F.create_map(*[F.lit(x) for kv in spelling.items() for x in kv])
     c = F.col(roles.category)

@@ -120,3 +120,18 @@ def test_transform_gates(transformed):
 
 def test_metrics_are_one_row(cleaned):
     assert cleaning_metrics(cleaned).count() == 1
+
+
+def test_typed_timestamps_become_wall_clock(spark):
+    df = spark.createDataFrame(
+        [(1, "2026-01-05 10:00:00", "2026-01-05 12:30:18")], "unique_key long, c string, d string"
+    ).select(
+        "unique_key",
+        F.col("c").cast("timestamp").alias("created_date"),
+        F.col("d").cast("timestamp").alias("closed_date"),
+        F.lit("Closed").alias("status"),
+    )
+    out = transform_requests(clean_requests(df)).first()
+    assert str(out.created_date) == "2026-01-05 10:00:00"
+    assert out.resolution_time_hours == 2.51  # 2 h 30 min 18 s
+    assert dict(clean_requests(df).dtypes)["closed_date"] == "timestamp_ntz"
