@@ -23,6 +23,7 @@ def spark():
         .appName("reqlens-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", "4")
         .getOrCreate()
     )
