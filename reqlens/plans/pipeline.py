@@ -9,7 +9,7 @@ nothing.  The output directory must be on shared storage on a cluster.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -46,12 +46,22 @@ def clean_stage(
 
 
 def transform_stage(
-    spark: SparkSession, cleaned_path: str, out_path: str, expected_rows: int | None, roles: Roles = DEFAULT_ROLES
+    spark: SparkSession,
+    cleaned_path: str,
+    out_path: str,
+    expected_rows: int | None,
+    roles: Roles = DEFAULT_ROLES,
+    partition_by: Sequence[str] = (),
 ) -> dict:
-    """Read cleaned, derive features, gate (one job), then write."""
+    """Read cleaned, derive features, gate (one job), then write.
+
+    ``partition_by`` (e.g. ``("request_year", "request_month")``) writes a
+    Hive-partitioned layer, so readers that slice by date prune whole
+    directories; no shuffle is added, each task writes its own partitions.
+    """
     transformed = transform_requests(spark.read.parquet(cleaned_path), roles=roles)
     metrics = check_transform(transformed, expected_rows, roles=roles)
-    write_parquet(transformed, out_path)
+    write_parquet(transformed, out_path, partition_by=partition_by)
     return metrics
 
 
@@ -135,12 +145,15 @@ def run_pipeline(
     spelling: Mapping[str, str] = CATEGORY_SPELLING,
     roles: Roles = DEFAULT_ROLES,
     with_analyses: bool = True,
+    partition_transformed_by: Sequence[str] = (),
 ) -> PipelineResult:
     """Raw request table -> Parquet layers + summaries (+ lazy analyses over the written table)."""
     out_dir = out_dir.rstrip("/")
     cleaned_path, transformed_path = f"{out_dir}/cleaned", f"{out_dir}/transformed"
     clean_metrics = clean_stage(raw, cleaned_path, spelling, roles)
-    transform_metrics = transform_stage(spark, cleaned_path, transformed_path, clean_metrics["row_count"], roles)
+    transform_metrics = transform_stage(
+        spark, cleaned_path, transformed_path, clean_metrics["row_count"], roles, partition_transformed_by
+    )
     summary_paths = summary_stage(spark, transformed_path, out_dir, roles)
     analyses = run_analyses(spark.read.parquet(transformed_path)) if with_analyses else {}
     return PipelineResult(cleaned_path, transformed_path, summary_paths, clean_metrics, transform_metrics, analyses)

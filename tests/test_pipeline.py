@@ -62,3 +62,19 @@ def test_profile_stage_matches_direct_checks(spark, tmp_path):
     assert prof["quality_counts"].first().row_count == ROW_COUNT
     for name, df in prof.items():
         df.collect()  # every check runs on the staged copy
+
+
+def test_partitioned_transformed_layer(spark, tmp_path):
+    from collections import Counter
+
+    from reqlens.plans.analyses import ANALYSES
+
+    raw = raw_requests(spark, SF001)
+    flat = run_pipeline(spark, raw, str(tmp_path / "flat"), spelling=CATEGORY_SPELLING)
+    parted = run_pipeline(spark, raw, str(tmp_path / "parted"), spelling=CATEGORY_SPELLING,
+                          partition_transformed_by=("request_year", "request_month"))
+    assert any(p.name.startswith("request_year=") for p in (tmp_path / "parted" / "transformed").iterdir())
+    for name in ANALYSES:
+        a = Counter(tuple(r) for r in flat.analyses[name].collect())
+        b = Counter(tuple(r) for r in parted.analyses[name].collect())
+        assert a == b, name
