@@ -1,6 +1,6 @@
 """Column -> Column helpers (all JVM-side built-ins, codegen friendly)."""
 
-from reqlens.functions.dates import hour_label, parse_timestamp, whole_seconds_between
+from reqlens.functions.dates import format_raw_timestamp, hour_label, parse_timestamp, whole_seconds_between
 from reqlens.functions.exact import (
     half_up_div,
     hours_hundredths,
@@ -14,6 +14,7 @@ from reqlens.functions.exact import (
 )
 
 __all__ = [
+    "format_raw_timestamp",
     "from_hundredths",
     "half_up_div",
     "hour_label",

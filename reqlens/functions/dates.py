@@ -39,6 +39,26 @@ def parse_timestamp(text, pattern: str = RAW_DATE_PATTERN, session_zone: str | N
     return F.when(zoned.isNotNull(), F.to_timestamp_ntz(c, fmt))
 
 
+def format_raw_timestamp(ts, session_zone: str | None = None) -> Column:
+    """``timestamp_ntz`` -> text in ``RAW_DATE_PATTERN`` (``MM/dd/yyyy hh:mm:ss a``), wall-clock exact.
+
+    ``date_format`` passes a ``timestamp_ntz`` through the session zone, which
+    moves wall-clock times inside a DST gap (02:30 becomes 03:30).  In a zone
+    without DST it is exact and used; otherwise the text is assembled from the
+    zone-free string form of the value.
+    """
+    c = _col(ts)
+    if session_zone in FIXED_OFFSET_ZONES:
+        return F.date_format(c, RAW_DATE_PATTERN)
+    s = c.cast("string")  # yyyy-MM-dd HH:mm:ss[.ffffff]
+    hour = F.substring(s, 12, 2).cast("int")
+    return F.concat(
+        F.substring(s, 6, 2), F.lit("/"), F.substring(s, 9, 2), F.lit("/"), F.substring(s, 1, 4), F.lit(" "),
+        F.lpad(((hour + 11) % 12 + 1).cast("string"), 2, "0"), F.lit(":"), F.substring(s, 15, 2), F.lit(":"),
+        F.substring(s, 18, 2), F.lit(" "), F.when(hour < 12, "AM").otherwise("PM"),
+    )
+
+
 def whole_seconds_between(start, end) -> Column:
     """``unix_timestamp(end) - unix_timestamp(start)``: each side floored to whole seconds."""
     return F.unix_timestamp(_col(end)) - F.unix_timestamp(_col(start))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqlens.roles import RAW_DATE_PATTERN
+from reqlens.functions.dates import format_raw_timestamp
 from reqlens.sources.files import bounded_broadcast
 
 # Largest geography dimension (nation x region) broadcast without a shuffle.
@@ -89,10 +89,11 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     category = F.concat(F.col("event_type"), F.lit("-"), _m(k, 3).cast("string"))
     slot = _m(u, 12).cast("string")
     # each timestamp is formatted once: the texts are reused in several CASE branches below
+    zone = spark.conf.get("spark.sql.session.timeZone", None)
     rows = rows.withColumn("_closed", closed_ts).withColumns(
         {
-            "_ts_text": F.date_format(ts, RAW_DATE_PATTERN),
-            "_closed_text": F.date_format(F.col("_closed"), RAW_DATE_PATTERN),
+            "_ts_text": format_raw_timestamp(ts, zone),
+            "_closed_text": format_raw_timestamp(F.col("_closed"), zone),
         }
     )
     fmt = {"ts": F.col("_ts_text"), "closed": F.col("_closed_text")}

@@ -96,3 +96,23 @@ def test_fixed_zone_fast_path_equals_guarded(spark):
         assert fast.collect() == guarded.collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("tz", ["UTC", "America/New_York"])
+def test_format_raw_timestamp_round_trip(spark, tz):
+    from reqlens.functions import format_raw_timestamp
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        vals = ["2026-03-08 02:30:00", "2024-01-01 00:00:07.179575", "2024-01-01 12:59:59", "2024-12-31 23:00:00", None]
+        df = spark.createDataFrame([(v,) for v in vals], "a string").select(F.col("a").cast("timestamp_ntz").alias("t"))
+        out = df.select(format_raw_timestamp(F.col("t"), tz).alias("x")).collect()
+        assert [r.x for r in out] == ["03/08/2026 02:30:00 AM", "01/01/2024 12:00:07 AM", "01/01/2024 12:59:59 PM",
+                                      "12/31/2024 11:00:00 PM", None]
+        back = df.select(format_raw_timestamp(F.col("t"), tz).alias("x")).select(parse_timestamp(F.col("x"), session_zone=tz).alias("p"))
+        got = [r.p for r in back.collect()]
+        want = [None if r.t is None else r.t.replace(microsecond=0) for r in df.collect()]
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
