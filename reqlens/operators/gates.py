@@ -15,20 +15,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reqlens.roles import CATEGORY_SPELLING, DEFAULT_ROLES, DERIVED_FEATURE_COLUMNS, MISSING_TOKEN, Roles, present
 
 
-def cleaning_metrics(
+def cleaning_metric_columns(
     df: DataFrame,
     spelling: Mapping[str, str] = CATEGORY_SPELLING,
     placeholder_columns: Iterable[str] | None = None,
     token: str = MISSING_TOKEN,
     roles: Roles = DEFAULT_ROLES,
-) -> DataFrame:
-    """One row: ``row_count``, ``flag_mismatch_rows``, ``remaining_placeholders``, ``unstandardized_categories``."""
+) -> list[Column]:
+    """The cleaning gates as aggregate columns (for ``agg`` or ``observe``)."""
     expected = F.coalesce(F.col(roles.created) > F.col(roles.closed), F.lit(False))
     cols = present(df.columns, placeholder_columns if placeholder_columns is not None else roles.cleaned_placeholders)
     leftovers = [F.count_if(F.col(c) == token) for c in cols]
@@ -36,25 +36,41 @@ def cleaning_metrics(
     bad_spelling = (
         F.count_if(F.col(roles.category).isin(list(spelling))) if spelling else F.lit(0).cast("long")
     )
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(~F.col(roles.invalid_flag).eqNullSafe(expected)).alias("flag_mismatch_rows"),
         remaining.alias("remaining_placeholders"),
         bad_spelling.alias("unstandardized_categories"),
-    )
+    ]
 
 
-def transform_metrics(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """One row: row count plus four resolution-time invariants (all should be 0)."""
+def cleaning_metrics(
+    df: DataFrame,
+    spelling: Mapping[str, str] = CATEGORY_SPELLING,
+    placeholder_columns: Iterable[str] | None = None,
+    token: str = MISSING_TOKEN,
+    roles: Roles = DEFAULT_ROLES,
+) -> DataFrame:
+    """One row: ``row_count``, ``flag_mismatch_rows``, ``remaining_placeholders``, ``unstandardized_categories``."""
+    return df.agg(*cleaning_metric_columns(df, spelling, placeholder_columns, token, roles))
+
+
+def transform_metric_columns(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> list[Column]:
+    """The transform gates as aggregate columns (for ``agg`` or ``observe``)."""
     hours = F.col("resolution_time_hours")
     has = hours.isNotNull()
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(F.col(roles.invalid_flag) & has).alias("flagged_with_resolution"),
         F.count_if(F.col(roles.closed).isNull() & has).alias("unresolved_with_resolution"),
         F.count_if(~F.col(roles.status).eqNullSafe(roles.closed_status) & has).alias("non_closed_with_resolution"),
         F.count_if(hours < 0).alias("negative_resolution"),
-    )
+    ]
+
+
+def transform_metrics(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+    """One row: row count plus four resolution-time invariants (all should be 0)."""
+    return df.agg(*transform_metric_columns(df, roles))
 
 
 def _raise_on(metrics: dict, labels: Mapping[str, str]) -> None:
@@ -63,37 +79,48 @@ def _raise_on(metrics: dict, labels: Mapping[str, str]) -> None:
         raise ValueError("Validation failed: " + "; ".join(problems))
 
 
-def check_cleaning(df: DataFrame, spelling: Mapping[str, str] = CATEGORY_SPELLING, roles: Roles = DEFAULT_ROLES) -> dict:
-    """Run the fused cleaning gates (one job); raise ``ValueError`` on any violation."""
-    metrics = cleaning_metrics(df, spelling=spelling, roles=roles).first().asDict()
-    _raise_on(
-        metrics,
-        {
-            "flag_mismatch_rows": "records with incorrect invalid-date-order flags",
-            "remaining_placeholders": "remaining N/A placeholders",
-            "unstandardized_categories": "unstandardized categories",
-        },
-    )
+CLEANING_LABELS = {
+    "flag_mismatch_rows": "records with incorrect invalid-date-order flags",
+    "remaining_placeholders": "remaining N/A placeholders",
+    "unstandardized_categories": "unstandardized categories",
+}
+TRANSFORM_LABELS = {
+    "flagged_with_resolution": "invalid date-order records with resolution times",
+    "unresolved_with_resolution": "unresolved records with resolution times",
+    "non_closed_with_resolution": "non-closed records with resolution times",
+    "negative_resolution": "negative resolution times",
+}
+
+
+def evaluate_cleaning(metrics: dict) -> dict:
+    """Raise ``ValueError`` if cleaning metrics (from ``agg`` or an ``Observation``) show a violation."""
+    _raise_on(metrics, CLEANING_LABELS)
     return metrics
 
 
-def check_transform(df: DataFrame, expected_row_count: int | None = None, roles: Roles = DEFAULT_ROLES) -> dict:
-    """Column contract, then the fused transform gates (one job); raise ``ValueError``."""
-    missing = [c for c in DERIVED_FEATURE_COLUMNS if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing expected columns: {missing}")
-    metrics = transform_metrics(df, roles=roles).first().asDict()
+def evaluate_transform(metrics: dict, expected_row_count: int | None = None) -> dict:
+    """Raise ``ValueError`` if transform metrics show a violation or a changed row count."""
     if expected_row_count is not None and metrics["row_count"] != expected_row_count:
         raise ValueError(
             f"Transformed row count {metrics['row_count']} does not match cleaned row count {expected_row_count}"
         )
-    _raise_on(
-        metrics,
-        {
-            "flagged_with_resolution": "invalid date-order records with resolution times",
-            "unresolved_with_resolution": "unresolved records with resolution times",
-            "non_closed_with_resolution": "non-closed records with resolution times",
-            "negative_resolution": "negative resolution times",
-        },
-    )
+    _raise_on(metrics, TRANSFORM_LABELS)
     return metrics
+
+
+def check_cleaning(df: DataFrame, spelling: Mapping[str, str] = CATEGORY_SPELLING, roles: Roles = DEFAULT_ROLES) -> dict:
+    """Run the fused cleaning gates (one job); raise ``ValueError`` on any violation."""
+    return evaluate_cleaning(cleaning_metrics(df, spelling=spelling, roles=roles).first().asDict())
+
+
+def require_feature_columns(df: DataFrame) -> None:
+    """Column contract of the transformed table (``ValueError`` when a derived column is missing)."""
+    missing = [c for c in DERIVED_FEATURE_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"Missing expected columns: {missing}")
+
+
+def check_transform(df: DataFrame, expected_row_count: int | None = None, roles: Roles = DEFAULT_ROLES) -> dict:
+    """Column contract, then the fused transform gates (one job); raise ``ValueError``."""
+    require_feature_columns(df)
+    return evaluate_transform(transform_metrics(df, roles=roles).first().asDict(), expected_row_count)

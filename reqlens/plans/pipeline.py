@@ -13,12 +13,20 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from reqlens.operators import quality as Q
 from reqlens.operators.clean import clean_requests
 from reqlens.operators.features import transform_requests
-from reqlens.operators.gates import check_cleaning, check_transform
+from reqlens.operators.gates import (
+    check_cleaning,
+    check_transform,
+    cleaning_metric_columns,
+    evaluate_cleaning,
+    evaluate_transform,
+    require_feature_columns,
+    transform_metric_columns,
+)
 from reqlens.operators.summaries import split_summary_groups, summary_groups
 from reqlens.plans.analyses import run_analyses
 from reqlens.roles import CATEGORY_SPELLING, DEFAULT_ROLES, Roles
@@ -35,11 +43,37 @@ class PipelineResult:
     analyses: dict[str, DataFrame] = field(default_factory=dict)
 
 
+GATE_MODES = ("before_write", "during_write")
+
+
+def _observed_write(df: DataFrame, metric_columns: list, path: str, name: str, partition_by: Sequence[str] = ()) -> dict:
+    """Write ``df`` and compute the gate metrics in the same job (no extra read of the input)."""
+    observation = Observation(name)
+    write_parquet(df.observe(observation, *metric_columns), path, partition_by=partition_by)
+    return dict(observation.get)
+
+
 def clean_stage(
-    raw: DataFrame, out_path: str, spelling: Mapping[str, str] = CATEGORY_SPELLING, roles: Roles = DEFAULT_ROLES
+    raw: DataFrame,
+    out_path: str,
+    spelling: Mapping[str, str] = CATEGORY_SPELLING,
+    roles: Roles = DEFAULT_ROLES,
+    gate: str = "before_write",
 ) -> dict:
-    """Clean, gate (one job), then write.  Returns the gate metrics."""
+    """Clean, gate, write.  Returns the gate metrics.
+
+    ``gate="before_write"`` (default): the fused gate job runs first, so a
+    failure writes nothing, at the cost of a second (column-pruned) read of
+    the raw input.  ``gate="during_write"``: the same metrics are observed by
+    the write job itself, so the raw input is read once; on a failure the
+    stage raises *after* writing, and ``out_path`` must be discarded.
+    """
     cleaned = clean_requests(raw, spelling=spelling, roles=roles)
+    if gate == "during_write":
+        metrics = _observed_write(cleaned, cleaning_metric_columns(cleaned, spelling, roles=roles), out_path, "cleaning_gates")
+        return evaluate_cleaning(metrics)
+    if gate != "before_write":
+        raise ValueError(f"gate must be one of {GATE_MODES}")
     metrics = check_cleaning(cleaned, spelling=spelling, roles=roles)
     write_parquet(cleaned, out_path)
     return metrics
@@ -52,14 +86,23 @@ def transform_stage(
     expected_rows: int | None,
     roles: Roles = DEFAULT_ROLES,
     partition_by: Sequence[str] = (),
+    gate: str = "before_write",
 ) -> dict:
-    """Read cleaned, derive features, gate (one job), then write.
+    """Read cleaned, derive features, gate, write (``gate`` as in :func:`clean_stage`).
 
     ``partition_by`` (e.g. ``("request_year", "request_month")``) writes a
     Hive-partitioned layer, so readers that slice by date prune whole
     directories; no shuffle is added, each task writes its own partitions.
     """
     transformed = transform_requests(spark.read.parquet(cleaned_path), roles=roles)
+    if gate == "during_write":
+        require_feature_columns(transformed)
+        metrics = _observed_write(
+            transformed, transform_metric_columns(transformed, roles), out_path, "transform_gates", partition_by
+        )
+        return evaluate_transform(metrics, expected_rows)
+    if gate != "before_write":
+        raise ValueError(f"gate must be one of {GATE_MODES}")
     metrics = check_transform(transformed, expected_rows, roles=roles)
     write_parquet(transformed, out_path, partition_by=partition_by)
     return metrics
@@ -146,13 +189,14 @@ def run_pipeline(
     roles: Roles = DEFAULT_ROLES,
     with_analyses: bool = True,
     partition_transformed_by: Sequence[str] = (),
+    gate: str = "before_write",
 ) -> PipelineResult:
     """Raw request table -> Parquet layers + summaries (+ lazy analyses over the written table)."""
     out_dir = out_dir.rstrip("/")
     cleaned_path, transformed_path = f"{out_dir}/cleaned", f"{out_dir}/transformed"
-    clean_metrics = clean_stage(raw, cleaned_path, spelling, roles)
+    clean_metrics = clean_stage(raw, cleaned_path, spelling, roles, gate)
     transform_metrics = transform_stage(
-        spark, cleaned_path, transformed_path, clean_metrics["row_count"], roles, partition_transformed_by
+        spark, cleaned_path, transformed_path, clean_metrics["row_count"], roles, partition_transformed_by, gate
     )
     summary_paths = summary_stage(spark, transformed_path, out_dir, roles)
     analyses = run_analyses(spark.read.parquet(transformed_path)) if with_analyses else {}

@@ -78,3 +78,25 @@ def test_partitioned_transformed_layer(spark, tmp_path):
         a = Counter(tuple(r) for r in flat.analyses[name].collect())
         b = Counter(tuple(r) for r in parted.analyses[name].collect())
         assert a == b, name
+
+
+def test_gate_during_write_single_pass(spark, tmp_path):
+    raw = raw_requests(spark, SF001)
+    a = run_pipeline(spark, raw, str(tmp_path / "a"), spelling=CATEGORY_SPELLING, with_analyses=False)
+    b = run_pipeline(spark, raw, str(tmp_path / "b"), spelling=CATEGORY_SPELLING, with_analyses=False,
+                     gate="during_write")
+    assert a.cleaning_metrics == b.cleaning_metrics and a.transform_metrics == b.transform_metrics
+    ta = spark.read.parquet(a.transformed_path)
+    tb = spark.read.parquet(b.transformed_path)
+    assert ta.exceptAll(tb).count() == 0 and tb.exceptAll(ta).count() == 0
+
+
+def test_gate_during_write_raises_after_write(spark, tmp_path):
+    raw = read_raw_csv(spark, write_raw_csv(str(tmp_path)))
+    out = str(tmp_path / "bad")
+    with pytest.raises(ValueError, match="unstandardized"):
+        run_pipeline(spark, raw.withColumn("complaint_type", F.lit("x")), out, spelling={"x": "x"}, gate="during_write")
+    assert os.path.exists(os.path.join(out, "cleaned"))  # written, to be discarded by the caller
+    assert not os.path.exists(os.path.join(out, "transformed"))
+    with pytest.raises(ValueError, match="gate must be"):
+        run_pipeline(spark, raw, str(tmp_path / "x"), gate="sometimes")
