@@ -21,11 +21,13 @@ def transformed(spark, tmp_path_factory):
 
 
 def _final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
+    df.collect()  # executes this DataFrame's own plan, so explain() shows the final AQE plan
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain()
-    return buf.getvalue().split("+- == Initial Plan ==")[0]
+    text = buf.getvalue()
+    assert "isFinalPlan=true" in text
+    return text.split("+- == Initial Plan ==")[0]
 
 
 @pytest.mark.parametrize("name", sorted(A.ANALYSES))
