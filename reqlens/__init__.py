@@ -13,6 +13,8 @@ Subpackages:
                   summaries (DataFrame -> DataFrame).
 * ``plans``     – the parameterised analyses and the end-to-end pipeline.
 * ``streaming`` – incremental runs of the row-level stages over a file stream.
+* ``cli``       – ``python -m reqlens ingest|inspect|clean|transform|analyze|pipeline``.
+* ``oracle``    – DuckDB SQL twins of the registered queries (correctness checks).
 """
 
 from reqlens.roles import DEFAULT_ROLES, Roles
