@@ -30,6 +30,19 @@ from reqlens.plans.pipeline import PROFILE_CHECKS
 from reqlens.sources.files import cast_identifiers
 from reqlens.sources.testdata import CATEGORY_SPELLING, raw_requests
 
+try:  # the corpus operators are an optional part
+    import corpus_pipeline
+    from reqlens.llm.queries import ORACLE as CORPUS_ORACLE
+    from reqlens.llm.queries import QUERIES as CORPUS_QUERIES
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "reqlens.llm", "reqlens.llm.queries"):
+        raise
+    CORPUS_QUERIES, CORPUS_ORACLE = {}, {}
+else:
+    CORPUS_QUERIES = {**CORPUS_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        CORPUS_ORACLE = {**CORPUS_ORACLE, "pipeline": corpus_pipeline.ORACLE_SQL}
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -110,10 +123,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_spikes": _on_transformed(A.daily_spikes),
         "peak_hour_by_complaint": _on_transformed(A.peak_hour_by_category),
         "complaint_resolution_by_borough": _on_transformed(A.category_resolution_by_region),
+        # corpus operators and their pipeline
+        **CORPUS_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from reqlens.oracle import ORACLE
 
-    return dict(ORACLE)
+    return {**ORACLE, **CORPUS_ORACLE}
