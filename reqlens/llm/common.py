@@ -172,5 +172,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def bounded_sample(rows: DataFrame, by: str, most: int, seed: int = 42, classes: int = 1000) -> DataFrame:
+    """About ``most`` rows of each value of ``by``, or all it has: chosen by a hash of doc_id, the same on each run.
+
+    The values' counts reach the driver: over ``classes`` values are refused.
+    """
+    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).limit(classes + 1).collect()
+    if len(counts) > classes:
+        raise ValueError(f"{by} has over {classes} values")
+    dealt = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    chosen = F.lit(False)
+    for r in counts:
+        chosen = chosen | (F.col(by).eqNullSafe(F.lit(r[by])) & (dealt < most / r["n"]))
+    return rows.where(chosen)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
