@@ -11,7 +11,8 @@ but not none, is one window.
    no match runs across two of them.
 2. **Search.**  The stored lists give each term's frequency.  In each block every
    window starts from its rarest term's list, shifted by the term's offset, and
-   intersects it with the next rarest until no start is left or all terms agree.
+   intersects it with the next rarest until no start is left or all terms agree
+   (equally rare terms go by code point).
    What stays is an exact phrase match.  A *near* match needs the window's
    ``near_terms`` rarest terms within ``near_span`` words of the rarest, in any order.
 3. **Result.**  Matches are joined back to documents and test items.
@@ -216,7 +217,7 @@ def _slice_hits(docs: DataFrame, windows: DataFrame, near_terms: int, near_span:
     often = {r.term: r.n for r in lists_.groupBy("term").agg(F.sum(F.size("gaps")).alias("n")).collect()}
     plans = []
     for key, words in asked:
-        terms = sorted(((number[t], k) for k, t in enumerate(words)), key=lambda x: (often.get(x[0], 0), x))
+        terms = sorted(((number[t], k) for k, t in enumerate(words)), key=lambda x: (often.get(x[0], 0), words[x[1]], x[1]))
         if often.get(terms[0][0]):
             plans.append((key, terms))
     rows = lists_.select("block", "term", "gaps").groupBy("block").applyInArrow(

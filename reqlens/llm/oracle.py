@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from reqlens.llm import decontamination as D
 from reqlens.llm import mixing as M
 from reqlens.llm import quality_rules as R
 from reqlens.llm import warc_derivatives as A
 
-WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[ \t\n\x0b\f\r]+'), x -> x <> '')"
+WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[ \t\n\x0b\f\r]+'), lambda x: x <> '')"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -24,7 +25,6 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coales
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
-#: Without n_near_items, which the query adds: see DECONTAMINATION below.
 _MATCHES = f"""
 d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_TERMS} AS w FROM benchmark),
@@ -33,15 +33,25 @@ sizes AS (SELECT DISTINCT len(s) AS n FROM asked),
 spots AS (SELECT doc_id, n, i, w[i:i + n - 1] AS s FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
 hits AS (SELECT doc_id, n, i, item, spots.s FROM spots JOIN asked ON spots.s = asked.s)"""
 
-#: near: a window's four rarest terms (by corpus count, then by hash in the query, so ties make it the query's own) aren't in SQL.
 DECONTAMINATION = f"""
 WITH {_MATCHES},
 places AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM hits, unnest(range(n)) AS t(j) GROUP BY doc_id),
-items AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS ids FROM hits GROUP BY doc_id)
+items AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS ids FROM hits GROUP BY doc_id),
+occ AS (SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS i FROM d),
+often AS (SELECT term, count(*) AS n FROM occ GROUP BY term),
+rare AS (SELECT s, list(x.term ORDER BY coalesce(n, 0), x.term)[1:{D.NEAR_TERMS}] AS t
+         FROM (SELECT DISTINCT s, unnest(s) AS term FROM asked) x LEFT JOIN often ON x.term = often.term GROUP BY s),
+leads AS (SELECT s, t, doc_id, i FROM rare JOIN occ ON occ.term = t[1]),
+others AS (SELECT s, doc_id, i, unnest(t[2:]) AS term, len(t) AS n FROM leads),
+met AS (SELECT s, o.doc_id, o.i FROM others o JOIN occ ON occ.doc_id = o.doc_id AND occ.term = o.term AND abs(occ.i - o.i) <= {D.NEAR_SPAN}
+        GROUP BY s, o.doc_id, o.i HAVING count(DISTINCT o.term) = any_value(n) - 1
+        UNION ALL SELECT s, doc_id, i FROM leads WHERE len(t) = 1),
+near AS (SELECT doc_id, count(DISTINCT item) AS n FROM (SELECT DISTINCT doc_id, s FROM met EXCEPT SELECT doc_id, s FROM hits) m
+         JOIN asked ON m.s = asked.s GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN places ON d.doc_id = places.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+       coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(near.n, 0) AS BIGINT) AS n_near_items
+FROM d LEFT JOIN places ON d.doc_id = places.doc_id LEFT JOIN items ON d.doc_id = items.doc_id LEFT JOIN near ON d.doc_id = near.doc_id
 """
 
 
@@ -51,10 +61,10 @@ def _chars(text: str, chars: str) -> str:
 
 
 def _divergence(p: str, q: str) -> str:
-    share = lambda h: f"list_transform({h}, x -> x / nullif(list_sum({h}), 0.0))"
+    share = lambda h: f"list_transform({h}, lambda x: x / nullif(list_sum({h}), 0.0))"
     pairs = f"list_zip({share(p)}, {share(q)})"
     part = lambda i: f"CASE WHEN x[{i}] > 0 THEN x[{i}] * log2(x[{i}] / ((x[1] + x[2]) / 2)) ELSE 0.0 END"
-    return f"sqrt(greatest(list_sum(list_transform({pairs}, x -> (({part(1)}) + ({part(2)})) / 2)), 0.0))"
+    return f"sqrt(greatest(list_sum(list_transform({pairs}, lambda x: (({part(1)}) + ({part(2)})) / 2)), 0.0))"
 
 
 _BINS = {"chars": 6, "common": R.COMMON + 1}
@@ -78,7 +88,7 @@ counted AS (
          len(text) - {_chars("text", R.SPACES)} AS word_chars, {_chars("text", R.SYMBOLS)} AS n_symbols,
          CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words,
          {_chars("text", R.UPPER)} AS upper, {_chars("text", R.DIGITS)} AS digits, {_chars("text", R.PUNCTUATION)} AS marks,
-         list_transform(common, c -> len(list_filter(lowered, x -> x = c))) AS heads
+         list_transform(common, lambda c: len(list_filter(lowered, lambda x: x = c))) AS heads
   FROM d LEFT JOIN common ON d.key = common.key LEFT JOIN repeats ON d.r = repeats.r LEFT JOIN lines ON d.r = lines.r),
 histograms AS (
   SELECT *, [upper, digits, marks, n_symbols, n_chars - word_chars, word_chars - upper - digits - marks - n_symbols] AS chars,
@@ -185,6 +195,7 @@ FROM ids
 
 ORACLE = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
+    "op2_benchmark_decontamination": DECONTAMINATION,
     "op5_warc_derivatives": WARC_DERIVATIVES,
     "op8_quality_rules": QUALITY_RULES,
     "op9_source_mixing": SOURCE_MIXING,

@@ -13,14 +13,17 @@ input.
    once cannot recur and end here.
 2. **Confirmation and automata.**  The remaining segments go, with their words,
    to shards by anchor: all windows with one sequence meet in one shard.  A shard
-   confirms the sequences found at least twice, compiles them into an
-   Aho-Corasick automaton and streams its segments through it in document order.
-   Each occurrence after a sequence's first is a removed span.
+   confirms the sequences found at least twice, joins those that always follow
+   one another to passages, compiles these into an Aho-Corasick automaton and
+   streams its segments through it in document order.  Each occurrence after a
+   passage's first is a removed span.
 3. **Removal.**  Spans return to their documents, which lose the covered words.
 
-Skew: copies of one segment inside a map task are settled there (only the first
-of them can be the first of all), so a passage that a third of all documents
-share reaches its shard once per task.  Texts cross the network twice at most,
+Skew: a task settles what it can alone.  An anchor that recurs within a task needs
+no count from elsewhere (its segments join under keys of their own), and of
+equal segments within a task only the first can be the first of all.  So a
+passage that a third of all documents share reaches any one key, and its
+shard, once per task.  Texts cross the network twice at most,
 zstd-compressed, partitioned by document; both uses share one exchange.
 
 Defined cases: a NULL text has no words; a text of fewer words than a window
@@ -32,6 +35,7 @@ last.  Other columns are ignored.  An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -57,6 +61,8 @@ WINDOW = 20
 GRAM = 6
 #: Bytes of segment words that a task holds before it passes them on.
 HELD_BYTES = 24 << 20
+#: Segments whose anchors a task compares before it passes them on.
+HELD_SEGMENTS = 1 << 20
 #: Word numbers that one character of an automaton's alphabet can stand for (0 and 1 are kept free).
 ALPHABET = 1_000_000
 
@@ -112,21 +118,39 @@ def segments(word_hash: np.ndarray, text: np.ndarray, window: int, gram: int) ->
     return begin, count, anchor[begin]
 
 
-def _anchors(window: int, gram: int):
+def _settled(found: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+    """Segments with ``times``, their anchor's count here: 1, or 2 (for more) on the first of them and 0 on the others."""
+    columns = {k: np.concatenate([f[k] for f in found]) for k in found[0]}
+    _, first, which, many = np.unique(columns["anchor"], return_index=True, return_inverse=True, return_counts=True)
+    times = np.where(many[which] > 1, 0, 1).astype(np.int32)
+    times[first[many > 1]] = 2
+    return pa.record_batch({**{k: pa.array(v) for k, v in columns.items()}, "times": pa.array(times)})
+
+
+def _anchors(window: int, gram: int, n_shards: int):
     def run(batches):
+        found: list[dict[str, np.ndarray]] = []
+        held = 0
         for b in _unpacked(batches):
             w = find_words(*text_bytes(b.column("text")))
             begin, count, anchor = segments(hash_words(w), w.text, window, gram)
             of = w.text[begin]
             docs = b.column("doc").to_numpy(zero_copy_only=False)
-            yield pa.record_batch(
+            found.append(
                 {
-                    "anchor": pa.array(anchor.view(np.int64)),
-                    "doc": pa.array(docs[of].astype(np.int64)),
-                    "start": pa.array((begin - w.first[of]).astype(np.int32)),
-                    "n": pa.array(count.astype(np.int32)),
+                    "anchor": anchor.view(np.int64),
+                    "doc": docs[of].astype(np.int64),
+                    "start": (begin - w.first[of]).astype(np.int32),
+                    "n": count.astype(np.int32),
+                    "shard": (anchor % np.uint64(n_shards)).astype(np.int32),
                 }
             )
+            held += len(begin)
+            if held >= HELD_SEGMENTS:
+                yield _settled(found)
+                found, held = [], 0
+        if found:
+            yield _settled(found)
 
     return run
 
@@ -168,21 +192,25 @@ def _extract(window: int, n_shards: int):
     def run(batches):
         box, seen, last = _Outbox(n_shards), set(), None
         for b in _unpacked(batches):
-            for doc, text, marks in zip(
-                b.column("doc").to_pylist(), b.column("text").to_pylist(), b.column("marks").to_pylist(), strict=True
-            ):
+            marks = b.column("marks")
+            bounds = marks.offsets.to_pylist()
+            begins, counts, shards = (marks.values.field(k).to_pylist() for k in ("start", "n", "shard"))
+            for i, (doc, text) in enumerate(zip(b.column("doc").to_pylist(), b.column("text").to_pylist(), strict=True)):
                 if last is not None and doc < last:
                     seen = set()  # what was seen must come earlier in document order
                 last = doc
                 words = text.split()
+                joined = b" ".join(words)
+                at = list(accumulate([len(x) + 1 for x in words], initial=0))
                 lo = hi = -1
-                for m in sorted(marks, key=lambda m: m["start"]):
-                    start, to = m["start"], m["start"] + m["n"] + window - 1
-                    part = b" ".join(words[start:to])
+                for j in range(bounds[i], bounds[i + 1]):
+                    start = begins[j]
+                    to = start + counts[j] + window - 1
+                    part = joined[at[start] : at[to] - 1]
                     key = xxhash.xxh3_128_digest(part)
                     if key not in seen:
                         seen.add(key)
-                        box.add(m["shard"], doc, start, part)
+                        box.add(shards[j], doc, start, part)
                     elif start <= hi:
                         hi = to
                     else:
@@ -207,34 +235,60 @@ def _alphabet(ids: np.ndarray, n_words: int) -> tuple[str, int]:
     return codes.tobytes().decode("utf-32-le"), width
 
 
-def later_windows(ids: np.ndarray, row: np.ndarray, n_words: int, window: int) -> np.ndarray:
-    """Starts of windows whose sequence starts earlier in ``ids`` (word numbers, 0 between rows), by automaton."""
+def passages(ids: np.ndarray, rank: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """First place and number of windows of each recurring passage in ``ids`` (word numbers, 0 between rows).
+
+    A passage is a run of windows found twice or more that always follow one
+    another: wherever its first window stands, the whole passage stands.
+    """
     n = len(ids) - window + 1
+    none = np.zeros(0, np.int64)
     if n <= 0:
-        return np.zeros(0, np.int64)
-    # confirmed: sequences found twice or more (by hash; the automaton compares the words themselves)
+        return none, none
     scrambled, sums = mix(ids.astype(np.uint64) + np.uint64(7)), np.zeros(n, np.uint64)
     for j in range(window):
         sums += scrambled[j : j + n] * np.uint64((2 * j + 1) * 0x9E3779B97F4A7C15 % 2**64)
-    whole = np.flatnonzero((row[:n] == row[window - 1 :]) & (ids[:n] > 0) & (ids[window - 1 :] > 0))
-    order = whole[np.argsort(sums[whole], kind="stable")]
-    again = np.zeros(len(order) + 1, bool)
-    again[1:-1] = sums[order[1:]] == sums[order[:-1]]
-    firsts = order[again[1:] & ~again[:-1]]
-    if not len(firsts):
-        return firsts
+    at = np.flatnonzero((rank[:n] == rank[window - 1 :]) & (ids[:n] > 0) & (ids[window - 1 :] > 0))
+    _, which, times = np.unique(sums[at], return_inverse=True, return_counts=True)
+    again = times[which] > 1
+    at, which = at[again], which[again]
+    if not len(at):
+        return none, none
+    follows = np.flatnonzero(at[1:] == at[:-1] + 1)
+    one, two = which[follows], which[follows + 1]
+    first_next, last_next = np.full(len(times), len(times)), np.full(len(times), -1)
+    np.minimum.at(first_next, one, two)
+    np.maximum.at(last_next, one, two)
+    # every place of a window is followed by the same next one, which stands nowhere else
+    bound = (first_next == last_next) & (np.bincount(one, minlength=len(times)) == times)
+    bound &= times[np.minimum(first_next, len(times) - 1)] == times
+    bound &= first_next != np.arange(len(times))
+    inner = np.zeros(len(times), bool)
+    inner[first_next[bound]] = True
+    # each passage once: from its first place, on to the first window not bound to its next
+    _, begin = np.unique(which, return_index=True)
+    begin = begin[~inner[which[begin]]]
+    stop = np.flatnonzero(~bound[which])
+    return at[begin], stop[np.searchsorted(stop, begin)] - begin + 1
+
+
+def repeated_passages(ids: np.ndarray, rank: np.ndarray, n_words: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and numbers of windows of all occurrences of recurring passages but each one's first, by automaton."""
+    begin, count = passages(ids, rank, window)
+    if not len(begin):
+        return begin, count
     text, width = _alphabet(ids, n_words)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    size = window * width
-    for k, at in enumerate((firsts * width).tolist()):
-        automaton.add_word(text[at : at + size], k)
+    for k, (lo, hi) in enumerate(zip((begin * width).tolist(), ((begin + count + window - 1) * width).tolist(), strict=True)):
+        automaton.add_word(text[lo:hi], k)
     automaton.make_automaton()
     hits = np.array(list(automaton.iter(text)), np.int64).reshape(-1, 2)
-    at = hits[:, 0] + 1 - size
-    hits, at = hits[at % width == 0], at[at % width == 0] // width
+    which = hits[:, 1]
+    end, aligned = (hits[:, 0] + 1) // width, (hits[:, 0] + 1) % width == 0
+    which, at = which[aligned], end[aligned] - count[which[aligned]] - window + 1
     later = np.ones(len(at), bool)
-    later[np.unique(hits[:, 1], return_index=True)[1]] = False
-    return at[later]
+    later[np.unique(which, return_index=True)[1]] = False
+    return at[later], count[which[later]]
 
 
 def _locate(window: int):
@@ -266,15 +320,10 @@ def _locate(window: int):
                 counts.append(len(words) + 1)
             rank = np.repeat(np.arange(len(order)), counts)
             begin = np.cumsum(counts) - counts
-            late = later_windows(np.array(ids, np.int64), rank, len(number), window)
+            late, count = repeated_passages(np.array(ids, np.int64), rank, len(number), window)
             r = order[rank[late]]
             at = starts[r] + (late - begin[rank[late]])
-            if len(late):  # neighbours of one row join into one span
-                fresh = np.ones(len(late), bool)
-                fresh[1:] = (r[1:] != r[:-1]) | (late[1:] != late[:-1] + 1)
-                lo = np.flatnonzero(fresh)
-                hi = np.append(lo[1:], len(late)) - 1
-                out.append(spans(docs[r[lo]], at[lo], at[hi] + window))
+            out.append(spans(docs[r], at, at + count + window - 1))
         return pa.concat_tables(out) if out else spans([], [], [])
 
     return run
@@ -321,13 +370,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_sh
     shards = n_shards or 4 * shuffle_partitions(docs.sparkSession)
     keyed = documents(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
     texts = keyed.mapInArrow(_packed, "doc long, z binary").groupBy("doc").agg(F.max("z").alias("z"))
-    found = texts.mapInArrow(_anchors(window, gram), "anchor long, doc long, start int, n int")
-    recurring = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor")
+    found = texts.mapInArrow(_anchors(window, gram, shards), "anchor long, doc long, start int, n int, shard int, times int")
+    recurring = found.where("times > 0").groupBy("anchor").agg(F.sum("times").alias("total")).where("total > 1")
+    # segments whose anchor recurs within their task are settled; the join decides on the others
+    settled = F.col("times") != 1
+    asked = found.withColumn("key", F.when(settled, F.xxhash64("doc", "start")).otherwise(F.col("anchor"))).withColumn("settled", settled)
     marks = (
-        found.join(recurring, "anchor", "left_semi")
-        .select("doc", F.struct("start", "n", F.pmod(F.col("anchor"), F.lit(shards)).cast("int").alias("shard")).alias("mark"))
+        asked.select("key", "doc", "start", "n", "shard", "settled")
+        .join(recurring.select(F.col("anchor").alias("key"), F.lit(True).alias("again")), "key", "left")
+        .where("settled OR again")
         .groupBy("doc")
-        .agg(F.collect_list("mark").alias("marks"))
+        .agg(F.sort_array(F.collect_list(F.struct("start", "n", "shard"))).alias("marks"))
     )
     routed = texts.join(marks, "doc").mapInArrow(_extract(window, shards), "shard int, ids binary, starts binary, words binary")
     spans = routed.groupBy("shard").applyInArrow(_locate(window), "doc long, start int, end int")
