@@ -1,4 +1,10 @@
-"""Corpus pipeline: each stage calls one operator, and its result is written and read as the next one's documents."""
+"""Corpus pipeline: each stage calls one operator on all that the stage before it kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and read again as the next one's documents.  All but the last return the
+columns of documents.  Rows that share a doc_id (or have none) go or stay
+together in the stages that decide by doc_id; no stage drops a row for a NULL.
+"""
 
 from __future__ import annotations
 
@@ -7,21 +13,56 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqlens.llm.common import load, staged
-from reqlens.llm.simhash_dedup import near_duplicates
+from reqlens.llm import decontamination, language_id, mixing, secret_scan, simhash_dedup
+from reqlens.llm.common import fold, load, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays: the one with the smallest doc_id."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+def _without(docs: DataFrame, out: DataFrame) -> DataFrame:
+    gone = out.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is rejected go: no letters, or too far from every centroid."""
+    model = language_id.train(docs.where(fold(F.col("doc_id"), 4) != 2))
+    return language_id.accepted(docs, model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component one document stays, the one with the smallest doc_id."""
+    found = simhash_dedup.near_duplicates(docs)
+    return _without(docs, found.where("doc_id != component_id"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a phrase of a benchmark item go."""
+    found = decontamination.contamination(docs, load(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("n_hit > 0"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in their documents, and n_chars follows."""
+    model = secret_scan.train(secret_scan.labelled_findings(docs))
+    masked = secret_scan.redacted(docs, secret_scan.scan(docs, model))
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken: the words that the mix takes of each document."""
+    return mixing.mix(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("simhash near-dedup", simhash_near_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language ID", language),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("secret scans", mask_secrets),
+    ("mixing sources to target weights", mix_sources),
+]
 
-#: Several stages fit models or hash with XXH64, which SQL cannot express.
+#: A trained model and XXH64 fingerprints decide on rows, which SQL cannot express.
 ORACLE_SQL: str | None = None
 
 

@@ -204,6 +204,13 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return documents(docs).mapInArrow(_predict(model), "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language isn't rejected."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"))
+    kinds = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean"
+    return rows.mapInArrow(_predict(model), kinds).where("NOT rejected").select("row.*")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     model = train(docs.where(fold(F.col("doc_id"), 4) != 2))
