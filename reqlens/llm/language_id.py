@@ -37,7 +37,7 @@ from reqlens.llm.common import bounded_sample, chunks, documents, fold, lists, l
 BINS = 4096
 CENTROIDS = 4
 PER_LANGUAGE = 500
-SLACK = 0.5
+SLACK = 0.3
 #: Texts whose vectors are held at once in a task.
 ROWS = 256
 UNKNOWN = "und"

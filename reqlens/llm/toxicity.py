@@ -41,8 +41,12 @@ from reqlens.llm.common import bounded_sample, chunks, documents, find_words, fo
 
 SPAN = 5
 DECAY = 0.7
-TYPICAL = 64
-FREQUENT = 32
+#: The normalised kernel is raised to this power (again a kernel): many faint likenesses don't add up to one.
+POWER = 3
+TYPICAL = 80
+FREQUENT = 24
+#: Times as many toxic as other documents have a typical word, at least.
+LIFT = 5
 PER_LABEL = 2000
 #: Sentences that a training document can give: those nearest to a typical landmark.
 SENTENCES = 8
@@ -50,11 +54,13 @@ SENTENCES = 8
 BYTES = 2 << 20
 
 #: Letters a-z are 1 to 26, digits 27, other letters 28; marks and accents (after decomposition) are dropped.
+#: The kernel also sees where a word begins (29) and ends (30).
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[0x61:0x7B] = _SYMBOL[0x41:0x5B] = np.arange(1, 27)
 _SYMBOL[0x30:0x3A] = 27
 _SYMBOL[0xC0:] = 28
 _SYMBOL[0xCC:0xCE] = 0
+BEGIN, END = 29, 30
 _CLOSING = np.zeros(256, bool)
 _CLOSING[[ord(c) for c in ".!?"]] = True
 
@@ -115,7 +121,7 @@ class Landmarks(NamedTuple):
     def kernel(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Normalised kernel values of words (flat symbols, sizes) with each landmark."""
         out = np.zeros((len(sizes), self.table.shape[1]), np.float32)
-        word = np.repeat(np.arange(len(sizes)), sizes)
+        symbols, word = bounded(symbols, sizes)
         square, words, rows, weights = np.zeros(len(sizes)), [], [], []
         for code, at, weight in subsequences(symbols, word):
             square += weight * weight * np.bincount(word[at], minlength=len(sizes))
@@ -133,7 +139,15 @@ class Landmarks(NamedTuple):
             part = slice(lo, lo + (1 << 15))
             cut = np.flatnonzero(np.diff(words[part], prepend=-1))
             out[words[part][cut]] += np.add.reduceat(self.table[rows[part]] * weights[part, None], cut, axis=0)
-        return out / np.maximum(np.sqrt(square), 1e-9)[:, None].astype(np.float32)
+        return np.minimum(out / np.maximum(np.sqrt(square), 1e-9)[:, None].astype(np.float32), 1) ** POWER
+
+
+def bounded(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols with each word's begin and end, and the word that each belongs to."""
+    to = np.cumsum(sizes)
+    at = np.concatenate([to - sizes, to])
+    marked = np.insert(symbols, at, np.repeat([BEGIN, END], len(sizes)))
+    return marked, np.repeat(np.arange(len(sizes)), sizes + 2)
 
 
 def subsequences(symbols: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
@@ -157,8 +171,7 @@ def names_of(symbols: np.ndarray, sizes: np.ndarray) -> list[str]:
 
 
 def landmarks(words: list[str], typical: int) -> Landmarks:
-    symbols, sizes = symbols_of(words)
-    word = np.repeat(np.arange(len(words)), sizes)
+    symbols, word = bounded(*symbols_of(words))
     entries = [(c, word[p], np.full(len(c), x)) for c, p, x in subsequences(symbols, word)]
     code, of, weight = (np.concatenate(x) for x in zip(*entries, strict=True))
     used, place = np.unique(code, return_inverse=True)
@@ -316,8 +329,8 @@ def train(docs: DataFrame, labels: DataFrame, typical: int = TYPICAL, frequent:
     if not n[0] or not n[1]:
         return None
     p, q = (F.col("toxic") + 0.5) / (n[0] + 1), (F.col("other") + 0.5) / (n[1] + 1)
-    rated = words.select("word", "toxic", "other", (p * F.log(p / q)).alias("weight"))
-    found = rated.where("toxic >= 3 AND weight > 0").orderBy(F.desc("weight"), "word").limit(typical).collect()
+    rated = words.select("word", "toxic", "other", (p / q).alias("lift"), (p * F.log(p / q)).alias("weight"))
+    found = rated.where((F.col("toxic") >= 3) & (F.col("lift") >= LIFT)).orderBy(F.desc("weight"), "word").limit(typical).collect()
     common = rated.where("other > toxic").orderBy(F.desc("other"), "word").limit(frequent).collect()
     if not found:
         return None
