@@ -145,8 +145,8 @@ class Landmarks(NamedTuple):
 def bounded(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols with each word's begin and end, and the word that each belongs to."""
     to = np.cumsum(sizes)
-    at = np.concatenate([to - sizes, to])
-    marked = np.insert(symbols, at, np.repeat([BEGIN, END], len(sizes)))
+    at = np.concatenate([to, to - sizes])  # an end goes before the next word's begin
+    marked = np.insert(symbols, at, np.repeat([END, BEGIN], len(sizes)))
     return marked, np.repeat(np.arange(len(sizes)), sizes + 2)
 
 
