@@ -206,13 +206,12 @@ class Model(NamedTuple):
     weight: np.ndarray  # on kernel values: Nyström map and separating plane in one
     bias: float
     slope: float
-    offset: float
 
     def margins(self, z: np.ndarray) -> np.ndarray:
         return z @ self.weight + self.bias
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * margin, -40, 40)))
 
 
 def support_vectors(x: np.ndarray, y: np.ndarray, cost: float = 10.0, steps: int = 30) -> tuple[np.ndarray, float]:
@@ -234,17 +233,15 @@ def support_vectors(x: np.ndarray, y: np.ndarray, cost: float = 10.0, steps: int
     return w[:-1], float(w[-1])
 
 
-def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, targets drawn in as Platt does."""
+def platt(margin: np.ndarray, y: np.ndarray) -> float:
+    """Slope of a logistic curve that is one half on the separating plane, targets drawn in as Platt does."""
     up, down = (y == 1).sum(), (y == 0).sum()
-    target = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2))
-    x, p = np.stack([margin, np.ones(len(margin))], 1), np.zeros(2)
+    target, slope = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2)), 0.0
     for _ in range(50):
-        q = 1 / (1 + np.exp(-np.clip(x @ p, -40, 40)))
-        h = (x * (q * (1 - q))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (target - q))
-        p += np.clip(step, -5, 5)
-    return float(p[0]), float(p[1])
+        q = 1 / (1 + np.exp(-np.clip(slope * margin, -40, 40)))
+        step = (margin * (target - q)).sum() / ((margin * margin * q * (1 - q)).sum() + 1e-6)
+        slope += float(np.clip(step, -5, 5))
+    return max(slope, 1e-3)
 
 
 def _labelled_units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,24 +295,25 @@ def fit(marks: Landmarks, sure: list[str], doc: np.ndarray, label: np.ndarray, z
     value, vector = np.linalg.eigh((own + own.T) / 2 + 1e-3 * np.eye(len(own)))
     nystroem = (vector / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
     hidden = marks.kernel(*symbols_of(disguised(sure))) if sure else z[:0]
+    clean = np.flatnonzero(label == 0)
+    hidden = np.maximum(hidden, z[clean[np.arange(len(hidden)) % len(clean)]])  # each in a clean sentence
     score = z[:, : marks.typical].max(1, initial=0)
     model = None
     for _ in range(3):
         order = np.lexsort((-score, doc))
         worst = order[np.unique(doc[order], return_index=True)[1]]
         picked = np.concatenate([np.flatnonzero(label == 0), worst[label[worst] == 1]])
-        x = np.vstack([z[picked], np.maximum(hidden, z[np.flatnonzero(label == 0)[np.arange(len(hidden)) % max((label == 0).sum(), 1)]])])
+        x = np.vstack([z[picked], hidden])
         y = np.concatenate([label[picked], np.ones(len(hidden), int)])
         w, bias = support_vectors(x.astype(np.float64) @ nystroem, y)
-        model = Model(marks, nystroem @ w, bias, 1.0, 0.0)
+        model = Model(marks, nystroem @ w, bias, 1.0)
         score = model.margins(z)
     of, worst = np.unique(doc, return_inverse=True)
     margin = np.full(len(of), -np.inf)
     np.maximum.at(margin, worst, score)
     truth = np.zeros(len(of), int)
     truth[worst] = label
-    slope, offset = platt(margin, truth)
-    return model._replace(slope=slope, offset=offset)
+    return model._replace(slope=platt(margin, truth))
 
 
 def train(docs: DataFrame, labels: DataFrame, typical: int = TYPICAL, frequent: int = FREQUENT, per_label: int = PER_LABEL) -> Model | None:
