@@ -242,7 +242,7 @@ def contamination(
         _slice_hits(docs, windows.where(F.pmod(F.col("id"), F.lit(slices)) == k).select("id", "words"), near_terms, near_span, window)
         for k in range(slices)
     ]
-    hits = reduce(DataFrame.unionByName, (rows for _, rows in parts))
+    hits = staged(reduce(DataFrame.unionByName, (rows for _, rows in parts)))  # read for spans, items and near items
     key = ["block", "doc_no"]
     names = windows.select("id", "items")
 
