@@ -27,8 +27,15 @@ from reqlens.operators import summaries as S
 from reqlens.operators.features import add_date_features, transform_requests
 from reqlens.plans import analyses as A
 from reqlens.plans.pipeline import PROFILE_CHECKS
-from reqlens.sources.files import cast_identifiers
-from reqlens.sources.testdata import CATEGORY_SPELLING, raw_requests
+from reqlens.roles import CLEANED_PLACEHOLDER_COLUMNS, DEFAULT_ROLES, DERIVED_FEATURE_COLUMNS, IDENTIFIER_COLUMNS
+from reqlens.sources.files import cast_identifiers, contract_report, csv_report, read_raw_csv, register_parquet_view
+from reqlens.sources.testdata import (
+    CATEGORY_SPELLING,
+    raw_csv_copy,
+    raw_requests,
+    ungated_cleaned,
+    ungated_transformed,
+)
 
 try:  # the corpus operators are an optional part
     import corpus_pipeline
@@ -70,6 +77,11 @@ def _on_transformed(fn) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(_transformed(spark, sf_dir))
 
 
+def _sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_parquet_view(spark, f"{sf_dir.rstrip('/')}/events.parquet", "reqlens_events")
+    return spark.sql("SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users FROM reqlens_events GROUP BY event_type")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: top complaint types per borough with shares, on sf0.001."""
     return A.top_categories_by_region(_transformed(spark, SF_SMOKE))
@@ -78,7 +90,12 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # sources / contract
-        "identifier_strings": _on_raw(lambda df: cast_identifiers(df).select("unique_key", "incident_zip")),
+        "identifier_strings": _on_raw(lambda df: cast_identifiers(df).select("unique_key", *IDENTIFIER_COLUMNS)),
+        "csv_report": lambda spark, sf_dir: csv_report(spark, raw_csv_copy(spark, sf_dir)),
+        "csv_requests": lambda spark, sf_dir: read_raw_csv(spark, raw_csv_copy(spark, sf_dir)),
+        "column_contract": _on_raw(lambda df: contract_report(df.drop("agency"), DEFAULT_ROLES.required)),
+        "feature_contract": _on_transformed(lambda df: contract_report(df, DERIVED_FEATURE_COLUMNS)),
+        "sql_view": _sql_view,
         # quality profile (raw table), incl. the fused headline counts
         **{name: _on_raw(check) for name, check in PROFILE_CHECKS.items()},
         # cleaning
@@ -86,7 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda df: C.parse_timestamps(df).select("unique_key", "created_date", "closed_date", "resolution_updated")
         ),
         "normalize_placeholders": _on_raw(
-            lambda df: C.normalize_placeholders(df).select("unique_key", "detail", "resolution_description")
+            lambda df: C.normalize_placeholders(df).select("unique_key", *CLEANED_PLACEHOLDER_COLUMNS)
         ),
         "flag_invalid_dates": _on_raw(
             lambda df: C.flag_invalid_dates(C.parse_timestamps(df)).select(
@@ -97,6 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda df: C.standardize_categories(df, CATEGORY_SPELLING).select("unique_key", "complaint_type")
         ),
         "cleaning_gates": _on_cleaned(lambda df: G.cleaning_metrics(df, spelling=CATEGORY_SPELLING)),
+        "cleaning_gates_violated": _on_raw(lambda df: G.cleaning_metrics(ungated_cleaned(df), spelling=CATEGORY_SPELLING)),
         "cleaned_requests": _cleaned,
         # transform
         "date_features": _on_cleaned(
@@ -106,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "resolution_time": _on_transformed(lambda df: df.select("unique_key", "status", "resolution_time_hours")),
         "transform_gates": _on_transformed(G.transform_metrics),
+        "transform_gates_violated": _on_transformed(lambda df: G.transform_metrics(ungated_transformed(df))),
         "complaint_summary": _on_transformed(S.category_summary),
         "borough_summary": _on_transformed(S.region_summary),
         "agency_summary": _on_transformed(S.handler_summary),

@@ -23,7 +23,8 @@ from reqlens.operators.quality import schema_profile
 from reqlens.plans.analyses import ANALYSES
 from reqlens.plans.pipeline import clean_stage, profile_stage, run_pipeline, summary_stage, transform_stage
 from reqlens.session import configure
-from reqlens.sources.files import ingest_report, read_raw_csv
+from reqlens.roles import Roles
+from reqlens.sources.files import csv_report, ingest_report, read_raw_csv
 
 TITLES = {
     "top_complaints_by_borough": "Most frequent complaint types in each borough, with their share",
@@ -39,16 +40,16 @@ TITLES = {
 
 
 def _show(title: str, df, rows: int) -> None:
-    print()
-    print("=" * 80)
-    print(title)
-    print("=" * 80)
+    print(f"\n## {title}\n")
     df.show(rows, truncate=False)
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="reqlens", description=__doc__.split("\n\n")[0])
     p.add_argument("--rows", type=int, default=100, help="rows shown per result (default 100)")
+    p.add_argument(
+        "--role", action="append", default=[], metavar="ROLE=COLUMN", help="column that plays a role, e.g. category=issue_type"
+    )
     p.add_argument("--multiline", action="store_true", help="CSV fields may contain line breaks")
     sub = p.add_subparsers(dest="command", required=True)
     sub.add_parser("ingest").add_argument("raw")
@@ -67,32 +68,34 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = _parser().parse_args(argv)
     spark = configure(spark or SparkSession.builder.appName("reqlens").getOrCreate())
     out = getattr(args, "out", "").rstrip("/")
+    roles = Roles(**dict(x.split("=", 1) for x in args.role))
     if args.command in ("ingest", "inspect", "clean", "pipeline"):
-        raw = read_raw_csv(spark, args.raw, multiline=args.multiline)
+        raw = read_raw_csv(spark, args.raw, roles=roles, multiline=args.multiline)
 
     if args.command == "ingest":
         _show("Ingest report (column contract passed)", ingest_report(raw), args.rows)
+        _show("Records and numbers that did not parse", csv_report(spark, args.raw, multiline=args.multiline), args.rows)
     elif args.command == "inspect":
         _show("Schema", schema_profile(raw), len(raw.columns))
-        for name, df in profile_stage(spark, raw, f"{out}/profile").items():
+        for name, df in profile_stage(spark, raw, f"{out}/profile", roles).items():
             _show(name.replace("_", " ").capitalize(), df, args.rows)
     elif args.command == "clean":
-        metrics = clean_stage(raw, f"{out}/cleaned")
+        metrics = clean_stage(raw, f"{out}/cleaned", roles=roles)
         print(f"Cleaned data validated and written to {out}/cleaned: {metrics}")
     elif args.command == "transform":
         expected = spark.read.parquet(f"{out}/cleaned").count()  # Parquet footers: no column is read
-        metrics = transform_stage(spark, f"{out}/cleaned", f"{out}/transformed", expected)
-        paths = summary_stage(spark, f"{out}/transformed", out)
+        metrics = transform_stage(spark, f"{out}/cleaned", f"{out}/transformed", expected, roles)
+        paths = summary_stage(spark, f"{out}/transformed", out, roles)
         print(f"Transformed data validated and written to {out}/transformed: {metrics}")
         print(f"Summaries: {paths}")
     elif args.command in ("analyze", "pipeline"):
         if args.command == "pipeline":
-            res = run_pipeline(spark, raw, out, with_analyses=False)
+            res = run_pipeline(spark, raw, out, roles=roles, with_analyses=False)
             print(f"Pipeline written under {out}: {res.cleaning_metrics} {res.transform_metrics}")
         transformed = spark.read.parquet(f"{out}/transformed")
         names = getattr(args, "only", None) or list(ANALYSES)
         for i, name in enumerate(names, start=1):
-            _show(f"Analysis {i}: {TITLES[name]}", ANALYSES[name](transformed), args.rows)
+            _show(f"Analysis {i}: {TITLES[name]}", ANALYSES[name](transformed, roles=roles), args.rows)
     return 0
 
 

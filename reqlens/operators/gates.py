@@ -76,7 +76,7 @@ def transform_metrics(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
 def _raise_on(metrics: dict, labels: Mapping[str, str]) -> None:
     problems = [f"{labels[k]}: {metrics[k]}" for k in labels if metrics.get(k)]
     if problems:
-        raise ValueError("Validation failed: " + "; ".join(problems))
+        raise ValueError("gate failed: " + "; ".join(problems))
 
 
 CLEANING_LABELS = {
@@ -102,7 +102,7 @@ def evaluate_transform(metrics: dict, expected_row_count: int | None = None) ->
     """Raise ``ValueError`` if transform metrics show a violation or a changed row count."""
     if expected_row_count is not None and metrics["row_count"] != expected_row_count:
         raise ValueError(
-            f"Transformed row count {metrics['row_count']} does not match cleaned row count {expected_row_count}"
+            f"gate failed: {metrics['row_count']} rows after the transform, {expected_row_count} before"
         )
     _raise_on(metrics, TRANSFORM_LABELS)
     return metrics
@@ -117,7 +117,7 @@ def require_feature_columns(df: DataFrame) -> None:
     """Column contract of the transformed table (``ValueError`` when a derived column is missing)."""
     missing = [c for c in DERIVED_FEATURE_COLUMNS if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing expected columns: {missing}")
+        raise ValueError(f"table lacks derived columns {missing}")
 
 
 def check_transform(df: DataFrame, expected_row_count: int | None = None, roles: Roles = DEFAULT_ROLES) -> dict:

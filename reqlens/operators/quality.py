@@ -14,13 +14,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reqlens.functions.dates import parse_timestamp
 from reqlens.functions.exact import share_pct
-from reqlens.roles import DEFAULT_ROLES, PLACEHOLDER_TOKENS, RAW_DATE_PATTERN, Roles, present
+from reqlens.roles import DEFAULT_ROLES, PLACEHOLDER_TOKENS, RAW_DATE_PATTERN, Roles, with_optional
 
 COUNT = "request_count"
 
@@ -55,7 +55,7 @@ def _as_time(df: DataFrame, c: str, pattern: str) -> Column:
 # --- structure -------------------------------------------------------------
 
 
-def structure_profile(df: DataFrame) -> DataFrame:
+def structure_profile(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """``row_count, column_count`` (schema: ``df.schema``)."""
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
         "row_count", F.lit(len(df.columns)).alias("column_count")
@@ -80,10 +80,21 @@ def date_range(df: DataFrame, pattern: str = RAW_DATE_PATTERN, roles: Roles = DE
     )
 
 
+def unparseable_dates(df: DataFrame, pattern: str = RAW_DATE_PATTERN, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+    """``column_name, unparseable_count`` of every date column: texts that cleaning turns into NULL."""
+    df = with_optional(df, *roles.date_columns)
+    bad = {c: F.col(c).isNotNull() & _as_time(df, c, pattern).isNull() for c in roles.date_columns}
+    row = df.agg(*[F.count_if(b).alias(f"d{i}") for i, b in enumerate(bad.values())])
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(f"d{i}").alias("unparseable_count")) for i, c in enumerate(bad)]
+    return row.select(F.inline(F.array(*pairs)))
+
+
 # --- completeness ----------------------------------------------------------
 
 
-def missing_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+def missing_profile(
+    df: DataFrame, columns: Iterable[str] | None = None, roles: Roles = DEFAULT_ROLES
+) -> DataFrame:
     """Per column: ``missing_count`` and ``missing_percentage`` of all rows.
 
     Text is missing when NULL or blank after trimming spaces; other types only
@@ -109,8 +120,8 @@ def missing_profile(df: DataFrame, columns: Iterable[str] | None = None) -> Data
 
 
 def core_completeness(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """:func:`missing_profile` restricted to the core fields."""
-    return missing_profile(df, present(df.columns, roles.core_fields))
+    """:func:`missing_profile` restricted to the core fields, all of them required."""
+    return missing_profile(df.select(*roles.core_fields))
 
 
 def placeholder_counts(
@@ -124,12 +135,10 @@ def placeholder_counts(
     One aggregate of ``columns x tokens`` conditional counts, unpivoted; no
     shuffle of the table and no per-column jobs.
     """
-    cols = present(df.columns, columns if columns is not None else roles.profiled_placeholders)
+    cols = list(columns if columns is not None else roles.profiled_placeholders)
+    df = with_optional(df, *cols)
     tokens = list(tokens)
     pairs = [(c, t) for c in cols for t in tokens]
-    if not pairs:
-        schema = "column_name string, placeholder_value string, placeholder_count bigint"
-        return df.sparkSession.createDataFrame([], schema)
     aliases = [f"p{i}" for i in range(len(pairs))]
     row = df.agg(*[F.count_if(F.col(c) == t).alias(a) for (c, t), a in zip(pairs, aliases)])
     long = row.withColumn("_one", F.lit(1)).unpivot("_one", aliases, "_alias", "placeholder_count")
@@ -153,7 +162,8 @@ def placeholder_totals(
     roles: Roles = DEFAULT_ROLES,
 ) -> DataFrame:
     """``column_name, total_placeholders`` for every inspected column (0 when none)."""
-    cols = present(df.columns, columns if columns is not None else roles.profiled_placeholders)
+    cols = list(columns if columns is not None else roles.profiled_placeholders)
+    df = with_optional(df, *cols)
     tokens = list(tokens)
     aliases = [f"t{i}" for i in range(len(cols))]
     row = df.agg(*[F.count_if(F.col(c).isin(tokens)).alias(a) for c, a in zip(cols, aliases)])
@@ -167,79 +177,22 @@ def placeholder_totals(
 # --- duplicates ------------------------------------------------------------
 
 
-def _row_fingerprint(columns: list[str]) -> list[Column]:
-    """96 hash bits plus a NULL-position mask: equal rows always get equal fingerprints.
-
-    Spark's row hashes skip NULLs, so ``(NULL, 'a')`` and ``('a', NULL)`` would
-    hash alike; the mask tells them apart.  Columns beyond 63 share mask bits,
-    which only adds candidates, never loses one.
-    """
-    cols = [F.col(c) for c in columns]
-    mask = sum(
-        (F.when(c.isNull(), F.lit(1 << (i % 63))).otherwise(F.lit(0)) for i, c in enumerate(cols)),
-        F.lit(0),
-    )
-    return [F.xxhash64(*cols).alias("_fp1"), F.hash(*cols).alias("_fp2"), mask.cast("long").alias("_fp3")]
-
-
-def _duplicates_by_value(df: DataFrame, group_cols: list[str]) -> DataFrame:
-    groups = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
-
-
-def _broadcast_row_bound(spark, bytes_per_row: int) -> int:
-    """Rows of ``bytes_per_row`` that fit the session's broadcast threshold (0 if disabled)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(str(raw).lower().rstrip("b"))
-    except ValueError:
-        limit = 10 * 1024 * 1024
-    return max(limit, 0) // bytes_per_row
-
-
-def full_row_duplicates(df: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def full_row_duplicates(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """``duplicate_rows``: rows beyond the first of each identical-row group (NULLs compare equal).
 
-    Grouping by every column shuffles the whole table at full width.  When
-    the session has a checkpoint directory this runs in two phases instead:
-
-    1. count rows per 20-byte fingerprint (a narrow shuffle) and checkpoint
-       the fingerprints seen more than once (eager: one job now);
-    2. if that candidate list is within the broadcast bound (checked by its
-       row count against ``spark.sql.autoBroadcastJoinThreshold``, or
-       ``max_broadcast_rows``), broadcast it, keep only matching rows and
-       group those by every column, so the count stays exact even if two
-       different rows ever share a fingerprint.
-
-    No repeated fingerprint means no duplicate, so the common clean case
-    ends after the first pass.  Beyond the bound (many duplicates) it falls
-    back to the exact full groupBy.  A group of copies holding a third of all rows is fine in both
-    paths: partial aggregation collapses it per task before any shuffle.
+    Grouping by every column would shuffle the whole table at full width.
+    Instead rows are counted per 64-bit fingerprint (values and NULL
+    positions), only rows whose fingerprint repeats are kept, and those alone
+    are grouped by every column, so the count is exact whatever the
+    fingerprints.  One lazy plan: the optimizer picks the join from the
+    measured size of the repeated fingerprints.
     """
     cols = df.columns
-    spark = df.sparkSession
-    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
-        return _duplicates_by_value(df, cols)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-    fp_cols = ["_fp1", "_fp2", "_fp3"]
-    stamped = df.select(*cols, *_row_fingerprint(cols))
-    repeated = (
-        stamped.groupBy(*fp_cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*fp_cols)
-    )
-    try:
-        candidates = repeated.checkpoint(eager=True)
-    except Exception:  # checkpoint storage unusable: the exact one-pass plan still works
-        return _duplicates_by_value(df, cols)
-    bound = max_broadcast_rows if max_broadcast_rows is not None else _broadcast_row_bound(spark, 64)
-    seen = candidates.limit(bound + 1).count()
-    if seen == 0:
-        # equal rows always share a fingerprint: no repeated fingerprint, no duplicate
-        return candidates.agg(F.lit(0).cast("long").alias("duplicate_rows"))
-    if seen > bound:
-        return _duplicates_by_value(df, cols)
-    suspects = stamped.join(F.broadcast(candidates), fp_cols, "left_semi")
-    return _duplicates_by_value(suspects, fp_cols + cols)
+    parts = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
+    stamped = df.select(*cols, F.xxhash64(*parts).alias("_fp"))
+    repeated = stamped.groupBy("_fp").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_fp")
+    groups = stamped.join(repeated, "_fp", "left_semi").groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
 def duplicate_keys(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
@@ -262,13 +215,13 @@ def missing_closed_by_status(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> Dat
 def closed_missing_closed_date(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Closed requests without a closed time."""
     cond = (F.col(roles.status) == roles.closed_status) & F.col(roles.closed).isNull()
-    return df.where(cond).select(*present(df.columns, roles.status_check_columns))
+    return df.where(cond).select(*roles.status_check_columns)
 
 
 def non_closed_with_closed_date(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Requests not Closed (NULL status excluded) that carry a closed time."""
     cond = (F.col(roles.status) != roles.closed_status) & F.col(roles.closed).isNotNull()
-    return df.where(cond).select(*present(df.columns, roles.status_check_columns))
+    return df.where(cond).select(*roles.status_check_columns)
 
 
 def non_closed_closed_by_status(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
@@ -281,7 +234,7 @@ def _invalid_order(df: DataFrame, pattern: str, roles: Roles) -> DataFrame:
 
 def invalid_date_rows(df: DataFrame, pattern: str = RAW_DATE_PATTERN, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Rows whose parsed created time is after the parsed closed time (NULL either side excluded)."""
-    return _invalid_order(df, pattern, roles).select(*present(df.columns, roles.status_check_columns))
+    return _invalid_order(df, pattern, roles).select(*roles.status_check_columns)
 
 
 def invalid_date_by_status(df: DataFrame, pattern: str = RAW_DATE_PATTERN, roles: Roles = DEFAULT_ROLES) -> DataFrame:
@@ -292,14 +245,14 @@ def invalid_date_matching_resolution(
     df: DataFrame, pattern: str = RAW_DATE_PATTERN, roles: Roles = DEFAULT_ROLES
 ) -> DataFrame:
     """Of the invalid-order rows, how many have closed == resolution-updated (raw values)."""
-    bad = _invalid_order(df, pattern, roles)
+    bad = _invalid_order(with_optional(df, roles.resolution_updated), pattern, roles)
     return bad.agg(F.count_if(F.col(roles.closed) == F.col(roles.resolution_updated)).alias("matching_rows"))
 
 
 def invalid_date_details(df: DataFrame, pattern: str = RAW_DATE_PATTERN, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     cols = (roles.key, roles.created, roles.closed, roles.resolution_updated, roles.handler, roles.category,
             roles.status, roles.region)
-    return _invalid_order(df, pattern, roles).select(*present(df.columns, cols))
+    return _invalid_order(with_optional(df, roles.resolution_updated), pattern, roles).select(*cols)
 
 
 # --- geography -------------------------------------------------------------
@@ -310,17 +263,19 @@ def region_counts(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
 
 
 def missing_zip_count(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    return df.agg(F.count_if(F.col(roles.zip).isNull()).alias("missing_zip_count"))
+    return with_optional(df, roles.zip).agg(F.count_if(F.col(roles.zip).isNull()).alias("missing_zip_count"))
 
 
 def missing_zip_by_region(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    return _count_by(df.where(F.col(roles.zip).isNull()), roles.region, "missing_zip_count")
+    return _count_by(with_optional(df, roles.zip).where(F.col(roles.zip).isNull()), roles.region, "missing_zip_count")
 
 
 def unspecified_region_rows(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Location columns of rows whose region is the ``Unspecified`` sentinel."""
-    return df.where(F.col(roles.region) == roles.unspecified_region).select(
-        *present(df.columns, roles.location_columns)
+    return (
+        with_optional(df, *roles.location_columns)
+        .where(F.col(roles.region) == roles.unspecified_region)
+        .select(*roles.location_columns)
     )
 
 
@@ -329,20 +284,21 @@ def _both_coords_missing(roles: Roles) -> Column:
 
 
 def missing_coords_by_region(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+    df = with_optional(df, roles.latitude, roles.longitude)
     return _count_by(df.where(_both_coords_missing(roles)), roles.region)
 
 
 def missing_coord_rows(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     cols = (roles.key, roles.region, roles.zip, roles.city, roles.address, roles.latitude, roles.longitude,
             roles.location)
-    return df.where(_both_coords_missing(roles)).select(*present(df.columns, cols))
+    return with_optional(df, *roles.location_columns).where(_both_coords_missing(roles)).select(*cols)
 
 
 def coord_mismatch_rows(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Exactly one of latitude / longitude missing."""
     cond = F.col(roles.latitude).isNull() != F.col(roles.longitude).isNull()
     cols = (roles.key, roles.region, roles.zip, roles.latitude, roles.longitude, roles.location)
-    return df.where(cond).select(*present(df.columns, cols))
+    return with_optional(df, *roles.location_columns).where(cond).select(*cols)
 
 
 # --- categories and handlers ----------------------------------------------
@@ -357,7 +313,7 @@ def category_ranking(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
 
 
 def blank_categories(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    return df.where(_is_blank(roles.category)).select(*present(df.columns, roles.core_fields))
+    return df.where(_is_blank(roles.category)).select(*roles.core_fields)
 
 
 def distinct_handlers(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
@@ -369,19 +325,17 @@ def handler_ranking(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
 
 
 def blank_handlers(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    return df.where(_is_blank(roles.handler)).select(*present(df.columns, roles.core_fields))
+    return df.where(_is_blank(roles.handler)).select(*roles.core_fields)
 
 
-def _variants(pairs: DataFrame, key: str, value: str, n_name: str) -> DataFrame:
+def _variants(pairs: DataFrame, key: str, n_name: str) -> DataFrame:
     """Rows of ``pairs`` (distinct key/value, aggregated) whose key has more than one value.
 
-    The count per key is a window over the already aggregated pairs, so it
-    sees one row per distinct value, never the requests behind it: a key
-    holding a third of all rows is still a handful of rows here.  A self-join
-    of the pairs would be planned as a second scan of the table (the two
-    branches are pruned differently, so the shuffle is not reused).
+    Keys are counted by a second aggregate and joined back, so a key with
+    very many values is never gathered in one task.
     """
-    return pairs.withColumn(n_name, F.count(F.lit(1)).over(Window.partitionBy(key))).where(F.col(n_name) > 1)
+    several = pairs.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias(n_name)).where(F.col(n_name) > 1)
+    return pairs.join(several, pairs[key].eqNullSafe(several["_key"])).drop("_key")
 
 
 def handler_name_consistency(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
@@ -391,11 +345,12 @@ def handler_name_consistency(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> Dat
     are ignored, a NULL handler is a group.
     """
     pairs = (
-        df.where(F.col(roles.handler_name).isNotNull())
+        with_optional(df, roles.handler_name)
+        .where(F.col(roles.handler_name).isNotNull())
         .groupBy(roles.handler, roles.handler_name)
         .agg(F.count(F.lit(1)).alias(COUNT))
     )
-    return _variants(pairs, roles.handler, roles.handler_name, "distinct_agency_names").select(
+    return _variants(pairs, roles.handler, "distinct_agency_names").select(
         roles.handler, roles.handler_name, COUNT, "distinct_agency_names"
     ).orderBy(F.asc_nulls_first(roles.handler), roles.handler_name)
 
@@ -411,7 +366,7 @@ def category_case_variants(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataF
                  F.col(roles.category).alias("complaint_variant"))
         .agg(F.count(F.lit(1)).alias(COUNT))
     )
-    return _variants(pairs, "normalized_complaint", "complaint_variant", "variant_count").select(
+    return _variants(pairs, "normalized_complaint", "variant_count").select(
         "normalized_complaint", "complaint_variant", COUNT, "variant_count"
     ).orderBy("normalized_complaint", "complaint_variant")
 
@@ -421,6 +376,7 @@ def category_case_variants(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataF
 
 def quality_counts(df: DataFrame, pattern: str = RAW_DATE_PATTERN, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Headline counts of the profile in one scan (one row)."""
+    df = with_optional(df, roles.zip, roles.latitude, roles.longitude)
     created, closed = _as_time(df, roles.created, pattern), _as_time(df, roles.closed, pattern)
     closed_present = F.col(roles.closed).isNotNull()
     return df.agg(

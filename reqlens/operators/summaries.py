@@ -55,7 +55,7 @@ def handler_summary(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     return key_summary(df, roles.handler)
 
 
-def date_summary(df: DataFrame) -> DataFrame:
+def date_summary(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """``request_date, request_count`` ascending by date."""
     return df.groupBy("request_date").agg(F.count(F.lit(1)).alias("request_count")).orderBy("request_date")
 

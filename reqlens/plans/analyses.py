@@ -48,7 +48,7 @@ def _specified(df: DataFrame, roles: Roles) -> DataFrame:
     return df.where(F.col(roles.region) != roles.unspecified_region)
 
 
-def total_rows(df: DataFrame) -> DataFrame:
+def total_rows(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     return df.agg(_n().alias("total_rows"))
 
 
@@ -95,14 +95,11 @@ def high_volume_categories(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataF
     """Categories with strictly more requests than the mean per category, slowest first."""
     cat = roles.category
     per = _resolution_agg(df, [cat], "total_request_count", "resolved_request_count")
-    per = per.select(
-        "*",
-        _n().over(_all_rows()).alias("_categories"),
-        F.sum("total_request_count").over(_all_rows()).alias("_all"),
-    )
+    # one row, so broadcast: the categories themselves stay distributed
+    totals = per.agg(_n().alias("_categories"), F.sum("total_request_count").alias("_all"))
     # total > avg(total)  <=>  total * categories > sum(total)  (exact)
     return (
-        per.where(F.col("total_request_count") * F.col("_categories") > F.col("_all"))
+        per.join(F.broadcast(totals), F.col("total_request_count") * F.col("_categories") > F.col("_all"))
         .select(
             cat,
             "total_request_count",
@@ -144,7 +141,7 @@ def region_coverage(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     ).orderBy(F.desc_nulls_last("avg_resolution_time_hours"), F.asc_nulls_first(region))
 
 
-def peak_hours(df: DataFrame) -> DataFrame:
+def peak_hours(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Requests per hour of day (hours present only), dense rank and share."""
     hourly = df.groupBy("request_hour").agg(_n().alias("hourly_request_count"))
     return hourly.select(
@@ -158,7 +155,9 @@ def peak_hours(df: DataFrame) -> DataFrame:
     ).orderBy(F.asc_nulls_first("_h")).drop("_h")
 
 
-def weekday_pattern(df: DataFrame, weekend: Iterable[str] = WEEKEND_DAYS) -> DataFrame:
+def weekday_pattern(
+    df: DataFrame, weekend: Iterable[str] = WEEKEND_DAYS, roles: Roles = DEFAULT_ROLES
+) -> DataFrame:
     """Average requests per day and mean hours by day of week, first and last dates excluded.
 
     Mean hours is the mean of each day's rounded mean (days weigh equally);
@@ -191,7 +190,7 @@ def weekday_pattern(df: DataFrame, weekend: Iterable[str] = WEEKEND_DAYS) -> Dat
     ).orderBy(F.asc_nulls_last("_order")).drop("_order")
 
 
-def daily_spikes(df: DataFrame) -> DataFrame:
+def daily_spikes(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Each date's requests against the (rounded) average day: % difference and status."""
     daily = df.groupBy("request_date").agg(_n().alias("daily_request_count"))
     avg_h = half_up_div(F.sum("daily_request_count").over(_all_rows()) * 100, _n().over(_all_rows()))
@@ -209,31 +208,19 @@ def daily_spikes(df: DataFrame) -> DataFrame:
     ).orderBy(F.asc_nulls_first("request_date"))
 
 
-def _with_group_rank(df: DataFrame, group: str, count_col: str, tiebreak: str, name: str) -> DataFrame:
-    """Add ``name`` = RANK of each ``group`` by its total ``count_col`` (desc), on a finer aggregate.
+def _top_groups(fine: DataFrame, group: str, count_col: str, top_n: int) -> DataFrame:
+    """The rows of ``fine`` whose ``group`` RANKs (by total ``count_col``, ties kept) within ``top_n``.
 
-    ``df`` has several rows per group (e.g. one per category and hour).  RANK
-    of a group is 1 + the number of groups with a larger total, so each
-    group's first row is flagged and the flags are summed over a running
-    window ordered by total.  This keeps one scan and one aggregate: a
-    self-join of the aggregate would be planned as a second scan, since the
-    optimizer pushes the join's null filter into one branch only.
+    ``fine`` has a few rows per group (one per hour or region).  Each group is
+    folded into one row with its total and its rows as an array, and a plain
+    ``rank() <= top_n`` follows: Spark trims every task to its own top groups
+    before the single exchange, so the one task that ranks sees ``top_n``
+    groups (and ties) per task, not all of them.
     """
-    by_group = Window.partitionBy(group)
-    flagged = df.select(
-        "*",
-        F.sum(count_col).over(by_group).alias("_group_total"),
-        (F.row_number().over(by_group.orderBy(F.asc_nulls_first(tiebreak))) == 1).cast("long").alias("_first"),
-    )
-    upto = _all_rows().orderBy(F.desc("_group_total")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = flagged.select(
-        "*",
-        F.sum("_first").over(upto).alias("_at_least"),
-        F.sum("_first").over(Window.partitionBy("_group_total")).alias("_equal"),
-    )
-    return ranked.withColumn(name, F.col("_at_least") - F.col("_equal") + 1).drop(
-        "_group_total", "_first", "_at_least", "_equal"
-    )
+    rest = [c for c in fine.columns if c != group]
+    folded = fine.groupBy(group).agg(F.sum(count_col).alias("_group_total"), F.collect_list(F.struct(*rest)).alias("_rows"))
+    ranked = folded.withColumn("_rank", F.rank().over(_all_rows().orderBy(F.desc("_group_total"))))
+    return ranked.where(F.col("_rank") <= top_n).select(group, F.inline("_rows"))
 
 
 def peak_hour_by_category(df: DataFrame, top_n: int = 10, top_hours: int = 3, roles: Roles = DEFAULT_ROLES) -> DataFrame:
@@ -244,12 +231,12 @@ def peak_hour_by_category(df: DataFrame, top_n: int = 10, top_hours: int = 3, ro
     """
     cat = roles.category
     by_hour = df.groupBy(cat, "request_hour").agg(_n().alias("hourly_request_count"))
-    ranked = _with_group_rank(by_hour, cat, "hourly_request_count", "request_hour", "_category_rank").select(
-        "*",
-        F.dense_rank().over(Window.partitionBy(cat).orderBy(F.desc("hourly_request_count"))).alias("hour_rank"),
+    top = _top_groups(by_hour, cat, "hourly_request_count", top_n).where(F.col(cat).isNotNull())
+    ranked = top.withColumn(
+        "hour_rank", F.dense_rank().over(Window.partitionBy(cat).orderBy(F.desc("hourly_request_count")))
     )
     return (
-        ranked.where((F.col("_category_rank") <= top_n) & F.col(cat).isNotNull() & (F.col("hour_rank") <= top_hours))
+        ranked.where(F.col("hour_rank") <= top_hours)
         .select(cat, hour_label(F.col("request_hour")).alias("request_hour"), "hourly_request_count", "hour_rank",
                 F.col("request_hour").alias("_h"))
         .orderBy(cat, "hour_rank", F.asc_nulls_first("_h"))
@@ -268,10 +255,8 @@ def category_resolution_by_region(
     """
     cat, region = roles.category, roles.region
     per = _resolution_agg(df, [cat, region], "_total", "resolved_requests")
-    ranked = _with_group_rank(per, cat, "_total", region, "_category_rank")
-    kept = ranked.where(
-        (F.col("_category_rank") <= top_n)
-        & F.col(cat).isNotNull()
+    kept = _top_groups(per, cat, "_total", top_n).where(
+        F.col(cat).isNotNull()
         & (F.col(region) != roles.unspecified_region)
         & (F.col("resolved_requests") >= min_resolved)
     )
@@ -302,7 +287,9 @@ ANALYSES = {
 }
 
 
-def run_analyses(df: DataFrame, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
+def run_analyses(
+    df: DataFrame, names: Iterable[str] | None = None, roles: Roles = DEFAULT_ROLES
+) -> dict[str, DataFrame]:
     """Named analyses as lazy DataFrames (nothing runs until an action)."""
     chosen = list(names) if names is not None else list(ANALYSES)
-    return {name: ANALYSES[name](df) for name in chosen}
+    return {name: ANALYSES[name](df, roles=roles) for name in chosen}

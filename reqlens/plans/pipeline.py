@@ -2,9 +2,9 @@
 
 Stage boundaries are Parquet tables written under one output directory; each
 stage reads the previous stage back, so lineage is cut at every boundary and
-a lost executor only ever recomputes from the last written table.  Gates run
-as one fused aggregate **before** each write, so a failed gate publishes
-nothing.  The output directory must be on shared storage on a cluster.
+a lost executor only ever recomputes from the last written table.  Gates are
+observed by each write, which goes beside the layer and replaces it only when
+they pass: a failed gate leaves the last good layer in place.  The output directory must be on shared storage on a cluster.
 """
 
 from __future__ import annotations
@@ -13,14 +13,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from reqlens.operators import quality as Q
 from reqlens.operators.clean import clean_requests
 from reqlens.operators.features import transform_requests
 from reqlens.operators.gates import (
-    check_cleaning,
-    check_transform,
     cleaning_metric_columns,
     evaluate_cleaning,
     evaluate_transform,
@@ -30,7 +28,7 @@ from reqlens.operators.gates import (
 from reqlens.operators.summaries import split_summary_groups, summary_groups
 from reqlens.plans.analyses import run_analyses
 from reqlens.roles import CATEGORY_SPELLING, DEFAULT_ROLES, Roles
-from reqlens.sources.files import write_parquet
+from reqlens.sources.files import publish_parquet, write_parquet
 
 
 @dataclass
@@ -43,40 +41,19 @@ class PipelineResult:
     analyses: dict[str, DataFrame] = field(default_factory=dict)
 
 
-GATE_MODES = ("before_write", "during_write")
-
-
-def _observed_write(df: DataFrame, metric_columns: list, path: str, name: str, partition_by: Sequence[str] = ()) -> dict:
-    """Write ``df`` and compute the gate metrics in the same job (no extra read of the input)."""
-    observation = Observation(name)
-    write_parquet(df.observe(observation, *metric_columns), path, partition_by=partition_by)
-    return dict(observation.get)
-
-
 def clean_stage(
     raw: DataFrame,
     out_path: str,
     spelling: Mapping[str, str] = CATEGORY_SPELLING,
     roles: Roles = DEFAULT_ROLES,
-    gate: str = "before_write",
 ) -> dict:
-    """Clean, gate, write.  Returns the gate metrics.
+    """Clean, write, gate, publish.  Returns the gate metrics.
 
-    ``gate="before_write"`` (default): the fused gate job runs first, so a
-    failure writes nothing, at the cost of a second (column-pruned) read of
-    the raw input.  ``gate="during_write"``: the same metrics are observed by
-    the write job itself, so the raw input is read once; on a failure the
-    stage raises *after* writing, and ``out_path`` must be discarded.
+    The gates are observed by the write job, so the raw input is read once;
+    if one fails, ``ValueError`` is raised and ``out_path`` stays as it was.
     """
     cleaned = clean_requests(raw, spelling=spelling, roles=roles)
-    if gate == "during_write":
-        metrics = _observed_write(cleaned, cleaning_metric_columns(cleaned, spelling, roles=roles), out_path, "cleaning_gates")
-        return evaluate_cleaning(metrics)
-    if gate != "before_write":
-        raise ValueError(f"gate must be one of {GATE_MODES}")
-    metrics = check_cleaning(cleaned, spelling=spelling, roles=roles)
-    write_parquet(cleaned, out_path)
-    return metrics
+    return publish_parquet(cleaned, out_path, cleaning_metric_columns(cleaned, spelling, roles=roles), evaluate_cleaning)
 
 
 def transform_stage(
@@ -86,26 +63,22 @@ def transform_stage(
     expected_rows: int | None,
     roles: Roles = DEFAULT_ROLES,
     partition_by: Sequence[str] = (),
-    gate: str = "before_write",
 ) -> dict:
-    """Read cleaned, derive features, gate, write (``gate`` as in :func:`clean_stage`).
+    """Read cleaned, derive features, write, gate, publish (as :func:`clean_stage`).
 
     ``partition_by`` (e.g. ``("request_year", "request_month")``) writes a
     Hive-partitioned layer, so readers that slice by date prune whole
-    directories; no shuffle is added, each task writes its own partitions.
+    directories; rows are redistributed by it first, which bounds the files.
     """
     transformed = transform_requests(spark.read.parquet(cleaned_path), roles=roles)
-    if gate == "during_write":
-        require_feature_columns(transformed)
-        metrics = _observed_write(
-            transformed, transform_metric_columns(transformed, roles), out_path, "transform_gates", partition_by
-        )
-        return evaluate_transform(metrics, expected_rows)
-    if gate != "before_write":
-        raise ValueError(f"gate must be one of {GATE_MODES}")
-    metrics = check_transform(transformed, expected_rows, roles=roles)
-    write_parquet(transformed, out_path, partition_by=partition_by)
-    return metrics
+    require_feature_columns(transformed)
+    return publish_parquet(
+        transformed,
+        out_path,
+        transform_metric_columns(transformed, roles),
+        lambda metrics: evaluate_transform(metrics, expected_rows),
+        partition_by,
+    )
 
 
 def summary_stage(spark: SparkSession, transformed_path: str, out_dir: str, roles: Roles = DEFAULT_ROLES) -> dict[str, str]:
@@ -130,6 +103,7 @@ def summary_stage(spark: SparkSession, transformed_path: str, out_dir: str, role
 PROFILE_CHECKS = {
     "structure_profile": Q.structure_profile,
     "date_range": Q.date_range,
+    "unparseable_dates": Q.unparseable_dates,
     "missing_profile": Q.missing_profile,
     "core_completeness": Q.core_completeness,
     "placeholder_counts": Q.placeholder_counts,
@@ -174,11 +148,7 @@ def profile_stage(spark: SparkSession, raw: DataFrame, out_dir: str, roles: Role
     """
     raw_path = write_parquet(raw, f"{out_dir.rstrip('/')}/raw")
     staged = spark.read.parquet(raw_path)
-    out = {}
-    for name, check in PROFILE_CHECKS.items():
-        takes_roles = check not in (Q.structure_profile, Q.missing_profile, Q.full_row_duplicates)
-        out[name] = check(staged, roles=roles) if takes_roles else check(staged)
-    return out
+    return {name: check(staged, roles=roles) for name, check in PROFILE_CHECKS.items()}
 
 
 def run_pipeline(
@@ -189,15 +159,14 @@ def run_pipeline(
     roles: Roles = DEFAULT_ROLES,
     with_analyses: bool = True,
     partition_transformed_by: Sequence[str] = (),
-    gate: str = "before_write",
 ) -> PipelineResult:
     """Raw request table -> Parquet layers + summaries (+ lazy analyses over the written table)."""
     out_dir = out_dir.rstrip("/")
     cleaned_path, transformed_path = f"{out_dir}/cleaned", f"{out_dir}/transformed"
-    clean_metrics = clean_stage(raw, cleaned_path, spelling, roles, gate)
+    clean_metrics = clean_stage(raw, cleaned_path, spelling, roles)
     transform_metrics = transform_stage(
-        spark, cleaned_path, transformed_path, clean_metrics["row_count"], roles, partition_transformed_by, gate
+        spark, cleaned_path, transformed_path, clean_metrics["row_count"], roles, partition_transformed_by
     )
     summary_paths = summary_stage(spark, transformed_path, out_dir, roles)
-    analyses = run_analyses(spark.read.parquet(transformed_path)) if with_analyses else {}
+    analyses = run_analyses(spark.read.parquet(transformed_path), roles=roles) if with_analyses else {}
     return PipelineResult(cleaned_path, transformed_path, summary_paths, clean_metrics, transform_metrics, analyses)

@@ -10,6 +10,9 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 # ---------------------------------------------------------------------------
 # Fixed values.  These must equal the source system's conventions for results
 # to match: header names of the raw export and the role each one plays, the
@@ -140,6 +143,22 @@ DEFAULT_ROLES = Roles()
 
 
 def present(df_columns, wanted) -> list[str]:
-    """``wanted`` in order, restricted to columns the frame has."""
+    """``wanted`` in order, restricted to columns the frame has.
+
+    Only for rules that act on whatever optional columns a table has (date
+    parsing, placeholder cleaning).  Checks that report on a column use
+    :func:`with_optional`, which never drops one.
+    """
     have = set(df_columns)
     return [c for c in wanted if c in have]
+
+
+def with_optional(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with each absent optional column as an all-NULL one (text, or the role's numeric type).
+
+    A required column that is absent is an error, not a NULL column.
+    """
+    absent = [c for c in columns if c not in df.columns]
+    if not absent:
+        return df
+    return df.withColumns({c: F.lit(None).cast(RAW_NUMERIC_TYPES.get(c, "string")) for c in absent})

@@ -1,7 +1,9 @@
 """Sources, sinks and the column contract."""
 
 from reqlens.sources.files import (
-    bounded_broadcast,
+    contract_report,
+    csv_report,
+    publish_parquet,
     read_raw_csv,
     read_parquet,
     register_parquet_view,
@@ -14,10 +16,12 @@ from reqlens.sources.files import (
 from reqlens.sources.testdata import raw_requests, load_table
 
 __all__ = [
-    "bounded_broadcast",
     "cast_identifiers",
+    "contract_report",
+    "csv_report",
     "ingest_report",
     "load_table",
+    "publish_parquet",
     "raw_requests",
     "read_parquet",
     "register_parquet_view",

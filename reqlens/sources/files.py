@@ -10,13 +10,15 @@ stray bad value becomes NULL rather than failing the job.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import uuid
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reqlens.operators.quality import structure_profile
 from reqlens.roles import (
     DEFAULT_ROLES,
     IDENTIFIER_COLUMNS,
@@ -45,6 +47,44 @@ def _cast_numeric_roles(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in cols.items()}) if cols else df
 
 
+CORRUPT = "_corrupt_record"
+
+
+def csv_options(multiline: bool = False) -> dict[str, object]:
+    """Reader options of raw exports, batch and stream alike.
+
+    RFC 4180 quoting (a quote inside a quoted field is doubled).  Each file's
+    header must match the schema in names and order (``enforceSchema``
+    false): a file with other columns stops the read instead of landing in
+    the wrong ones.
+    """
+    return {
+        "header": True,
+        "mode": "PERMISSIVE",
+        "quote": '"',
+        "escape": '"',
+        "multiLine": multiline,
+        "enforceSchema": False,
+        "columnNameOfCorruptRecord": CORRUPT,
+    }
+
+
+def _raw_text(spark: SparkSession, path: str, multiline: bool, prune: bool = True) -> DataFrame:
+    """All columns as text, plus the whole record where it is malformed (too few or too many fields).
+
+    With ``prune`` the parser skips unread fields, and then sees no malformed records either.
+    """
+    reader = spark.read.options(**csv_options(multiline)).option("columnPruning", prune)
+    try:
+        header = reader.csv(path).columns
+        schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, CORRUPT]])
+        return reader.schema(schema).csv(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            raise FileNotFoundError(f"no CSV at {path}") from exc
+        raise
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str,
@@ -58,29 +98,21 @@ def read_raw_csv(
     """Raw request CSV -> role-named DataFrame.
 
     ``schema`` (source header names) may be given; otherwise all columns are
-    text.  Quoting follows RFC 4180 (a quote inside a quoted field is doubled).
-    ``multiline=True`` allows line breaks inside quoted fields, at the price of
-    one task per file (such files cannot be split).  Raises
-    ``FileNotFoundError`` for a missing path and ``ValueError`` when a required
-    role is absent.
+    text.  ``multiline=True`` allows line breaks inside quoted fields, at the price of
+    one task per file (such files cannot be split).  Numbers that do not parse
+    become NULL and short records keep NULL fields; :func:`csv_report` counts
+    both.  Raises ``FileNotFoundError`` for a missing path and ``ValueError``
+    when a required role is absent.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-    )
-    if schema is not None:
-        reader = reader.schema(schema)
+    if schema is None:
+        df = _raw_text(spark, path, multiline).drop(CORRUPT)
     else:
-        reader = reader.option("inferSchema", False)
-    try:
-        df = reader.csv(path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise FileNotFoundError(f"Raw data file not found: {path}") from exc
-        raise
+        try:
+            df = spark.read.options(**csv_options(multiline)).schema(schema).csv(path)
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+                raise FileNotFoundError(f"no CSV at {path}") from exc
+            raise
     df = rename_to_roles(df, header_roles)
     df = _cast_numeric_roles(df, numeric_types if schema is None else {})
     df = cast_identifiers(df)
@@ -89,19 +121,49 @@ def read_raw_csv(
     return df
 
 
+def csv_report(
+    spark: SparkSession,
+    path: str,
+    header_roles: Mapping[str, str] = SOURCE_HEADER_ROLES,
+    numeric_types: Mapping[str, str] = RAW_NUMERIC_TYPES,
+    multiline: bool = False,
+) -> DataFrame:
+    """``metric, value``: rows, columns, malformed records and, per numeric role, texts that are no number."""
+    raw = rename_to_roles(_raw_text(spark, path, multiline, prune=False), {**header_roles, CORRUPT: CORRUPT})
+    numeric = {c: t for c, t in numeric_types.items() if c in raw.columns}
+    row = raw.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.lit(len(raw.columns) - 1).cast("long").alias("columns"),
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed_records"),
+        *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"bad_{c}") for c, t in numeric.items()],
+    )
+    pairs = [F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in row.columns]
+    return row.select(F.inline(F.array(*pairs)))
+
+
 def validate_columns(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> bool:
     """Column contract: every required role present, else ``ValueError``."""
     missing = [c for c in roles.required if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing expected columns: {missing}")
+        raise ValueError(f"table lacks required columns {missing}")
     return True
 
 
+def contract_report(df: DataFrame, required: Iterable[str]) -> DataFrame:
+    """``required_column, present, filled_rows`` (rows with a value; 0 for an absent column)."""
+    required = list(required)
+    filled = [F.count(c) if c in df.columns else F.lit(0).cast("long") for c in required]
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[f.alias(f"f{i}") for i, f in enumerate(filled)])
+    lines = [
+        F.struct(F.lit(c).alias("required_column"), F.lit(c in df.columns).alias("present"), F.col(f"f{i}").alias("filled_rows"))
+        for i, c in enumerate(required)
+    ]
+    return row.select(F.inline(F.array(*lines)))
+
+
 def ingest_report(df: DataFrame) -> DataFrame:
     """Row and column count as a one-row DataFrame (one job when collected)."""
-    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        "row_count", F.lit(len(df.columns)).alias("column_count")
-    )
+    return structure_profile(df)
 
 
 def register_parquet_view(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -111,30 +173,59 @@ def register_parquet_view(spark: SparkSession, path: str, name: str) -> DataFram
     return df
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The bound is checked with one small job that reads at most
-    ``max_rows + 1`` rows.  Meant for dimensions whose size does not grow
-    with the data; beyond the bound the optimizer (and AQE) choose the join.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise FileNotFoundError(f"Parquet path not found: {path}") from exc
+            raise FileNotFoundError(f"no Parquet table at {path}") from exc
         raise
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Iterable[str] | None = None, mode: str = "overwrite") -> str:
-    """Parquet sink with overwrite semantics; optional Hive-style partitioning."""
-    writer = df.write.mode(mode)
+    """Parquet sink with overwrite semantics; optional Hive-style partitioning.
+
+    A partitioned write first brings each partition's rows together
+    (``REBALANCE``: AQE splits large ones), so it makes a few files per
+    partition instead of one per task and partition.
+    """
     cols = list(partition_by or [])
+    writer = (df.hint("rebalance", *cols) if cols else df).write.mode(mode)
     if cols:
         writer = writer.partitionBy(*cols)
     writer.parquet(path)
     return path
+
+
+def publish_parquet(
+    df: DataFrame,
+    path: str,
+    metrics: Iterable[Column],
+    accept: Callable[[dict], dict],
+    partition_by: Iterable[str] | None = None,
+) -> dict:
+    """Write ``df`` beside ``path``, pass its ``metrics`` to ``accept``, and only then put it in place.
+
+    The metrics are observed by the write itself, so the input is read once.
+    If ``accept`` raises, the new files go and ``path`` keeps its last good layer.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    tag = uuid.uuid4().hex[:12]
+    fresh, old = f"{path}.new-{tag}", f"{path}.old-{tag}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    observed = Observation(f"publish-{tag}")
+    try:
+        write_parquet(df.observe(observed, *metrics), fresh, partition_by)
+        found = accept(dict(observed.get))
+    except BaseException:
+        files.delete(hadoop(fresh), True)
+        raise
+    replaced = files.exists(hadoop(path)) and files.rename(hadoop(path), hadoop(old))
+    if not files.rename(hadoop(fresh), hadoop(path)):
+        if replaced:
+            files.rename(hadoop(old), hadoop(path))
+        raise OSError(f"could not put {fresh} in place of {path}")
+    if replaced:
+        files.delete(hadoop(old), True)
+    return found

@@ -8,23 +8,21 @@ event / user ids.  The table looks like the raw export: dates are text in
 ``RAW_DATE_PATTERN``.  The same definition exists as DuckDB SQL in
 :mod:`reqlens.oracle` and both engines agree on it value for value.
 
-Joins: ``nation ⋈ region`` is a fixed-size dimension (25 rows), broadcast
-explicitly after a row-count check, so ``customer`` is never shuffled just
-to meet it.  ``customer`` grows with the data, so ``events ⋈ customer`` is
-left to the optimizer: a shuffle join unless AQE measures a side small at
-runtime, with AQE's skew handling splitting a hot ``user_id``.
+Joins carry no hints: the optimizer broadcasts ``nation ⋈ region`` (25 rows)
+by its measured size, and ``events ⋈ customer`` is a shuffle join unless a
+side proves small, with AQE's skew handling splitting a hot ``user_id``.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reqlens.functions.dates import format_raw_timestamp
-from reqlens.sources.files import bounded_broadcast
-
-# Largest geography dimension (nation x region) broadcast without a shuffle.
-DIMENSION_MAX_ROWS = 100_000
+from reqlens.operators.clean import parse_timestamps
+from reqlens.roles import PLACEHOLDER_TOKENS, SOURCE_HEADER_ROLES
 
 # Fixed values of the test tables: the event types in ``events``.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -43,8 +41,16 @@ RAW_COLUMNS = (
     "agency_name",
     "resolution_updated",
     "incident_zip",
+    "taxi_company_borough",
     "detail",
+    "additional_details",
+    "facility_type",
     "resolution_description",
+    "park_facility_name",
+    "location_type",
+    "road_ramp",
+    "bridge_highway_segment",
+    "location",
     "city",
     "address",
     "latitude",
@@ -60,18 +66,26 @@ def _m(c: Column, d: int) -> Column:
     return c % d
 
 
+def _with_placeholders(e: Column, step: int, value: Column) -> Column:
+    """``value`` with each placeholder token, blanks and NULLs on some rows."""
+    out = F.when(F.lit(False), F.lit(""))
+    for i, token in enumerate(PLACEHOLDER_TOKENS):
+        out = out.when(_m(e, step * 7 + i) == 1, token)
+    return out.when(_m(e, step + 40) == 2, " ").when(_m(e, step + 50) == 3, F.lit(None)).otherwise(value)
+
+
 def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     customer = load_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = load_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = load_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
-    places = bounded_broadcast(
-        nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name"),
-        DIMENSION_MAX_ROWS,
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
+    customers = customer.join(places, customer.c_nationkey == places.n_nationkey, "left").select(
+        "c_custkey", "c_name", "n_name", "r_name"
     )
-    customers = customer.join(places, customer.c_nationkey == places.n_nationkey).select("c_custkey", "c_name", "n_name", "r_name")
-    base = events.join(customers, events.user_id == customers.c_custkey)
+    # an event of an unknown user stays, without a place
+    base = events.join(customers, events.user_id == customers.c_custkey, "left")
 
     e, u = F.col("event_id"), F.col("user_id")
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
@@ -124,6 +138,8 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_m(e, 29) == 0, F.lit(None))
         .otherwise(F.concat(F.lit("0"), (F.lit(1000) + _m(u, 40)).cast("string")))
         .alias("incident_zip"),
+        # a number in the source, as an identifier column can come out of a typed export
+        F.when(_m(e, 3) == 0, F.lit(None)).otherwise(_m(u, 9) + 10).alias("taxi_company_borough"),
         F.when((F.col("copy_no") == 2) & (_m(e, 400) == 9), "duplicate report")
         .when(_m(e, 7) == 0, "N/A")
         .when(_m(e, 31) == 0, "NA")
@@ -131,6 +147,8 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(_m(e, 41) == 0, F.lit(None))
         .otherwise(F.concat(F.lit("detail "), k.cast("string")))
         .alias("detail"),
+        _with_placeholders(e, 5, F.concat(F.lit("more "), _m(u, 7).cast("string"))).alias("additional_details"),
+        _with_placeholders(e, 6, F.lit("facility")).alias("facility_type"),
         F.when(_m(e, 11) == 0, "NULL")
         .when(_m(e, 13) == 0, "None")
         .when(_m(e, 17) == 0, "NaN")
@@ -138,6 +156,11 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(_m(e, 23) == 0, F.lit(None))
         .otherwise(F.concat(F.lit("resolved "), F.col("event_type")))
         .alias("resolution_description"),
+        _with_placeholders(e, 8, F.concat(F.lit("park "), _m(u, 5).cast("string"))).alias("park_facility_name"),
+        _with_placeholders(e, 9, F.lit("street")).alias("location_type"),
+        _with_placeholders(e, 10, F.lit("ramp")).alias("road_ramp"),
+        _with_placeholders(e, 12, F.lit("segment")).alias("bridge_highway_segment"),
+        F.when(_m(e, 47) == 0, F.lit(None)).otherwise(F.concat(F.lit("("), _m(u, 10).cast("string"), F.lit(")"))).alias("location"),
         F.col("n_name").alias("city"),
         F.col("c_name").alias("address"),
         F.when(_m(e, 43) == 0, F.lit(None))
@@ -147,3 +170,31 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit(-74.0) + _m(u, 10).cast("double") * 0.125)
         .alias("longitude"),
     )
+
+
+def raw_csv_copy(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the request table as a raw CSV export (source headers), in the folder that all executors share.
+
+    Some numbers are no numbers in it, so that the ingest report has something to count.
+    """
+    raw = raw_requests(spark, sf_dir)
+    e = F.col("unique_key")
+    raw = raw.withColumn("latitude", F.when(_m(e, 53) == 4, "unknown").otherwise(F.col("latitude").cast("string")))
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{where.rstrip('/')}/raw-csv-{uuid.uuid4().hex}"
+    headers = {role: header for header, role in SOURCE_HEADER_ROLES.items()}
+    raw.withColumnsRenamed(headers).write.csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    return path
+
+
+def ungated_cleaned(raw: DataFrame) -> DataFrame:
+    """A cleaned-shaped table that breaks every cleaning gate: nothing normalised, and wrong flags."""
+    return parse_timestamps(raw).withColumn("invalid_date_order", _m(F.col("unique_key"), 5) == 0)
+
+
+def ungated_transformed(transformed: DataFrame) -> DataFrame:
+    """A transformed-shaped table that breaks every resolution gate: a time on all rows, some negative."""
+    hours = F.when(_m(F.col("unique_key"), 3) == 0, F.lit(-1.5)).otherwise(F.lit(2.0))
+    return transformed.withColumn("resolution_time_hours", hours)

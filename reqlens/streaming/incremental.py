@@ -24,7 +24,7 @@ from reqlens.operators.clean import clean_requests
 from reqlens.operators.features import transform_requests
 from reqlens.operators.gates import check_cleaning, check_transform
 from reqlens.roles import CATEGORY_SPELLING, DEFAULT_ROLES, RAW_NUMERIC_TYPES, SOURCE_HEADER_ROLES, Roles
-from reqlens.sources.files import cast_identifiers, rename_to_roles, validate_columns
+from reqlens.sources.files import cast_identifiers, csv_options, rename_to_roles, validate_columns
 
 
 def raw_csv_stream(
@@ -36,7 +36,7 @@ def raw_csv_stream(
 ) -> DataFrame:
     """A file stream of raw CSV exports (all text, like the batch reader), renamed to roles."""
     schema = T.StructType([T.StructField(h, T.StringType()) for h in header_names])
-    reader = spark.readStream.schema(schema).option("header", True)
+    reader = spark.readStream.schema(schema).options(**csv_options())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = rename_to_roles(reader.csv(source_dir), header_roles)

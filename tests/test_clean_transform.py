@@ -106,9 +106,9 @@ def test_resolution_time(transformed):
 def test_transform_gates(transformed):
     m = check_transform(transformed, ROW_COUNT)
     assert m["row_count"] == ROW_COUNT and m["negative_resolution"] == 0
-    with pytest.raises(ValueError, match="row count"):
+    with pytest.raises(ValueError, match="rows after the transform"):
         check_transform(transformed, ROW_COUNT + 1)
-    with pytest.raises(ValueError, match="Missing expected columns"):
+    with pytest.raises(ValueError, match="lacks derived columns"):
         check_transform(transformed.drop("request_hour"))
     bad = transformed.withColumn("resolution_time_hours", F.lit(-1.0))
     with pytest.raises(ValueError, match="negative"):

@@ -47,7 +47,7 @@ def test_failed_gate_writes_nothing(spark, tmp_path):
     with pytest.raises(ValueError, match="unstandardized"):
         # a spelling map whose fixes are undone again: the gate must stop the write
         run_pipeline(spark, raw.withColumn("complaint_type", F.lit("x")), out, spelling={"x": "x"})
-    assert not os.path.exists(out)
+    assert os.listdir(out) == []
 
 
 def test_profile_stage_matches_direct_checks(spark, tmp_path):
@@ -80,23 +80,24 @@ def test_partitioned_transformed_layer(spark, tmp_path):
         assert a == b, name
 
 
-def test_gate_during_write_single_pass(spark, tmp_path):
-    raw = raw_requests(spark, SF001)
-    a = run_pipeline(spark, raw, str(tmp_path / "a"), spelling=CATEGORY_SPELLING, with_analyses=False)
-    b = run_pipeline(spark, raw, str(tmp_path / "b"), spelling=CATEGORY_SPELLING, with_analyses=False,
-                     gate="during_write")
-    assert a.cleaning_metrics == b.cleaning_metrics and a.transform_metrics == b.transform_metrics
-    ta = spark.read.parquet(a.transformed_path)
-    tb = spark.read.parquet(b.transformed_path)
-    assert ta.exceptAll(tb).count() == 0 and tb.exceptAll(ta).count() == 0
-
-
-def test_gate_during_write_raises_after_write(spark, tmp_path):
+def test_failed_gate_keeps_the_last_layer(spark, tmp_path):
     raw = read_raw_csv(spark, write_raw_csv(str(tmp_path)))
-    out = str(tmp_path / "bad")
+    out = str(tmp_path / "out")
+    good = run_pipeline(spark, raw, out, with_analyses=False)
+    before = sorted(spark.read.parquet(good.cleaned_path).collect(), key=repr)
     with pytest.raises(ValueError, match="unstandardized"):
-        run_pipeline(spark, raw.withColumn("complaint_type", F.lit("x")), out, spelling={"x": "x"}, gate="during_write")
-    assert os.path.exists(os.path.join(out, "cleaned"))  # written, to be discarded by the caller
-    assert not os.path.exists(os.path.join(out, "transformed"))
-    with pytest.raises(ValueError, match="gate must be"):
-        run_pipeline(spark, raw, str(tmp_path / "x"), gate="sometimes")
+        run_pipeline(spark, raw.withColumn("complaint_type", F.lit("x")), out, spelling={"x": "x"})
+    spark.catalog.clearCache()
+    assert sorted(spark.read.parquet(good.cleaned_path).collect(), key=repr) == before
+    assert not [x for x in os.listdir(out) if ".new-" in x or ".old-" in x]
+    again = run_pipeline(spark, raw.where("unique_key < 5"), out, with_analyses=False)  # a good run replaces it
+    assert spark.read.parquet(again.cleaned_path).count() == 4
+
+
+def test_partitioned_layer_has_few_files(spark, tmp_path):
+    raw = raw_requests(spark, SF001).repartition(8)
+    res = run_pipeline(spark, raw, str(tmp_path / "p"), spelling=CATEGORY_SPELLING, with_analyses=False,
+                       partition_transformed_by=("request_year", "request_month"))
+    months = list((tmp_path / "p" / "transformed").glob("request_year=*/request_month=*"))
+    assert months and all(len(list(m.glob("*.parquet"))) == 1 for m in months)
+    assert spark.read.parquet(res.transformed_path).count() == raw.count()

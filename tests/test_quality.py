@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from reqlens.operators import quality as Q
+from reqlens.roles import DEFAULT_ROLES
 from reqlens.sources.files import read_raw_csv
 from tests.fixtures import ROW_COUNT, write_raw_csv
 
@@ -47,9 +49,8 @@ def test_placeholders(raw):
                       "park_facility_name": 0}
 
 
-@pytest.mark.parametrize("bound", [None, 0])
-def test_duplicates(raw, bound):
-    assert Q.full_row_duplicates(raw, max_broadcast_rows=bound).first().duplicate_rows == 1
+def test_duplicates(raw):
+    assert Q.full_row_duplicates(raw).first().duplicate_rows == 1
     assert Q.duplicate_keys(raw).first().duplicate_keys == 2
 
 
@@ -110,7 +111,42 @@ def test_quality_counts_fused(raw):
 def test_duplicates_none(spark, raw):
     distinct = raw.dropDuplicates()
     assert Q.full_row_duplicates(distinct).first().duplicate_rows == 0
-    assert Q.full_row_duplicates(distinct, max_broadcast_rows=0).first().duplicate_rows == 0
+
+
+@pytest.mark.parametrize("width", [64, 130])
+def test_duplicates_of_wide_null_rows(spark, width):
+    """All-NULL columns in any number, and a third of the rows the same."""
+    wide = spark.range(30).select("id", *[F.lit(None).cast("string").alias(f"c{i}") for i in range(width)])
+    df = wide.withColumn("id", F.when(F.col("id") < 10, 0).otherwise(F.col("id")))
+    assert Q.full_row_duplicates(df).first().duplicate_rows == 9
+
+
+def test_duplicates_stay_lazy(spark, raw):
+    """No job runs before an action."""
+    sc = spark.sparkContext
+    sc.setJobGroup("lazy", "building only")
+    try:
+        Q.full_row_duplicates(raw)
+        assert not sc.statusTracker().getJobIdsForGroup("lazy")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_seven_column_table(raw):
+    """Absent optional columns count as NULL in every row; nothing crashes."""
+    from reqlens.plans.pipeline import PROFILE_CHECKS
+
+    small = raw.select(*DEFAULT_ROLES.required)
+    for name, check in PROFILE_CHECKS.items():
+        check(small).collect()
+    assert Q.missing_zip_count(small).first().missing_zip_count == ROW_COUNT
+    assert Q.missing_coord_rows(small).columns == Q.missing_coord_rows(raw).columns
+    assert {r.total_placeholders for r in Q.placeholder_totals(small).collect()} == {0}
+
+
+def test_unparseable_dates(raw):
+    assert _pairs(Q.unparseable_dates(raw), "column_name", "unparseable_count") == {
+        "created_date": 2, "closed_date": 0, "resolution_updated": 0}
 
 
 def test_schema_profile(raw):

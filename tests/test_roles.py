@@ -62,3 +62,13 @@ def test_parameters(frames):
     assert A.sample_features(default, n=3).count() == 3
     top1 = A.top_categories_by_region(default, top_n=1).collect()
     assert all(r.complaint_rank == 1 for r in top1)
+
+
+def test_pipeline_with_other_roles(spark, frames, tmp_path):
+    from reqlens.plans.pipeline import profile_stage, run_pipeline
+
+    raw, other_raw, _, _ = frames
+    res = run_pipeline(spark, other_raw, str(tmp_path / "o"), spelling=CATEGORY_SPELLING, roles=ROLES)
+    for name, df in res.analyses.items():
+        assert df.count() >= 0, name
+    assert all(df.count() >= 0 for df in profile_stage(spark, other_raw, str(tmp_path / "prof"), ROLES).values())

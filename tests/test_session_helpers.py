@@ -1,28 +1,4 @@
-import contextlib
-import io
-
 from reqlens.session import configure
-from reqlens.sources.files import bounded_broadcast
-
-
-def _plan(df) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
-
-
-def test_bounded_broadcast(spark):
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only explicit hints broadcast
-    try:
-        big = spark.range(1000).withColumnRenamed("id", "k")
-        small = spark.range(10).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in _plan(big.join(bounded_broadcast(small, 10), "k"))
-        assert "BroadcastHashJoin" not in _plan(big.join(bounded_broadcast(small, 9), "k"))
-        assert big.join(bounded_broadcast(small, 9), "k").count() == 10
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_configure_keeps_existing_settings(spark):

@@ -80,3 +80,25 @@ def test_rfc4180_quotes_and_multiline(spark, tmp_path):
 
     register_parquet_view(spark, write_parquet(df, str(tmp_path / "p")), "reqs")
     assert spark.sql("SELECT COUNT(*) AS n FROM reqs").first().n == 2
+
+
+def test_swapped_columns_stop_the_read(spark, tmp_path):
+    for name, header, row in (("a", "Agency,Status", "HSG,Open"), ("b", "Status,Agency", "Open,HSG")):
+        (tmp_path / f"{name}.csv").write_text(f"{header}\n{row}\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, str(tmp_path), validate=False).collect()
+
+
+def test_csv_report_counts_what_did_not_parse(spark, tmp_path):
+    from reqlens.sources.files import csv_report
+
+    (tmp_path / "r.csv").write_text("Unique Key,Agency,Latitude\nabc,HSG,1.5\nxyz,ENV,north\n3,POL,\n4\n5,a,2.0,extra\n")
+    got = {r.metric: r.value for r in csv_report(spark, str(tmp_path / "r.csv")).collect()}
+    assert got == {"rows": 5, "columns": 3, "malformed_records": 2, "bad_unique_key": 2, "bad_latitude": 1}
+
+
+def test_contract_report(raw):
+    from reqlens.sources.files import contract_report
+
+    got = {r.required_column: (r.present, r.filled_rows) for r in contract_report(raw, ["unique_key", "nope"]).collect()}
+    assert got == {"unique_key": (True, ROW_COUNT), "nope": (False, 0)}

@@ -14,6 +14,8 @@ def test_incremental_equals_batch(spark, tmp_path):
     src.mkdir()
     lines = raw_csv_text().splitlines()
     header, body = lines[0], lines[1:]
+    assert "said" not in lines[1]
+    body[0] = body[0].replace(",N/A,", ',"said ""no"", left",', 1)  # doubled quotes and a comma in a field
     half = len(body) // 2
     for i, chunk in enumerate((body[:half], body[half:])):
         (src / f"part{i}.csv").write_text("\n".join([header] + chunk) + "\n")
@@ -31,5 +33,6 @@ def test_incremental_equals_batch(spark, tmp_path):
 
     batch = transform_requests(clean_requests(read_raw_csv(spark, str(src))))
     cols = batch.columns
-    assert sorted(streamed.select(*cols).collect()) == sorted(batch.collect())
+    assert sorted(streamed.select(*cols).collect(), key=repr) == sorted(batch.collect(), key=repr)
+    assert streamed.where(F.col("detail") == 'said "no", left').count() == 1
     assert streamed.where(F.col("resolution_time_hours") < 0).count() == 0
