@@ -35,9 +35,6 @@ AS_IS = np.arange(256, dtype=np.uint8)
 LOWER = AS_IS.copy()
 LOWER[0x41:0x5B] += 0x20
 
-#: White space of the word definition, for SQL `translate`, and as many spaces.
-SQL_SPACES, SQL_BLANKS = "\t\n\x0b\x0c\r", "     "
-
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _POWERS = np.ones(1, np.uint64)
@@ -149,7 +146,7 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 def word_array(text: Column) -> Column:
     """Words `[^\\x20\\x09-\\x0D]+` of a text, JVM-side (NULL has none)."""
-    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), SQL_SPACES, SQL_BLANKS), " "), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[ \t-\r]+"), "")
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -73,9 +73,9 @@ _SUMS = ", ".join(f"[{', '.join(f'CAST(sum({c}[{i + 1}]) AS DOUBLE)' for i in ra
 QUALITY_RULES = f"""
 WITH keys AS (SELECT lang, lang AS key FROM documents WHERE lang IS NOT NULL GROUP BY lang ORDER BY count(*) DESC, lang LIMIT {R.MOST_LANGUAGES}),
 d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(key, '') AS key, {WORDS.format("text")} AS words,
-             {WORDS.format("lower(text)")} AS lowered
+             list_transform(list_filter({WORDS.format("text")}, lambda x: len(x) <= {R.WORD_LENGTH}), lambda x: lower(x)) AS lowered
       FROM documents LEFT JOIN keys ON documents.lang = keys.lang),
-short AS (SELECT key, word, count(*) AS n FROM (SELECT key, unnest(lowered) AS word FROM d) WHERE len(word) <= {R.WORD_LENGTH} GROUP BY ALL),
+short AS (SELECT key, word, count(*) AS n FROM (SELECT key, unnest(lowered) AS word FROM d) GROUP BY ALL),
 common AS (SELECT key, list(word ORDER BY n DESC, word) AS common FROM (
   SELECT * FROM short QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, word) <= {R.COMMON}) GROUP BY key),
 w5 AS (SELECT r, i, array_to_string(words[i:i + 4], ' ') AS s FROM d, unnest(range(1, len(words) - 3)) AS t(i)),
