@@ -1,15 +1,17 @@
 """Secret scan with a random forest that removes false findings, with DataFrame functions only.
 
-1. **Candidates.**  Any word with a run of twelve or more key characters (letters,
-   digits, `+/_-`) that isn't just one lower-case or capitalised word.
+1. **Candidates.**  Every run of twelve or more key characters (letters, digits,
+   `+/_-`, with dots in web tokens) of every word; a word can hold several.
 2. **Features** of a candidate: its length; transitions between character classes;
    shares of digits, capitals and distinct characters; coverage by dictionary words;
    whether the word looks like a path or an address; whether the words before
-   it, or the part before `=`, speak of credentials or of harmless numbers.
+   it, or the part before `=`, speak of credentials or of harmless numbers; whether
+   it is itself the name that a value follows.
 3. **Forest.**  ``RandomForestClassifier`` of Spark ML, trained from labelled findings.
    :func:`labelled_findings` makes such a table from documents: known secret and
    harmless formats, drawn from a hash of doc_id and set between words of that
-   document.  A table of reviewed findings with the same columns can be used instead.
+   document.  A table of reviewed findings with the same columns can be used instead
+   (without ``lead`` and ``tail``, they are taken from around the value's first place).
 
 Defined cases: a NULL or blank text has no candidates; each row is scanned alone,
 also with a repeated or NULL doc_id; without labelled findings of both kinds all
@@ -24,7 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqlens.llm.common import documents, load, word_array
+from reqlens.llm.common import documents, load, staged, word_array
 
 #: Documents that lend their words to labelled findings, at most about so many.
 FINDING_DOCS = 1500
@@ -33,9 +35,12 @@ DEPTH = 8
 THRESHOLD = 0.5
 MASK = "[SECRET]"
 
-# The value part of a word, words that speak of credentials or of
-# harmless numbers, prefixes of known key formats, and dictionary words.
-VALUE = r"(?:^|[=:\"'(<\[,;])([A-Za-z0-9+/_-]{12,}={0,2})"
+# A run of key characters (a web token with its dots, or any with its
+# padding), words that speak of credentials or of harmless numbers, prefixes of known
+# key formats, and dictionary words.
+RUN = r"(?:(?<![A-Za-z0-9])(?:eyJ[A-Za-z0-9_-]{5,}|SG(?=\.))(?:\.[A-Za-z0-9_-]*){1,4}|[A-Za-z0-9+/_-]{12,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?)"
+#: From the end of the run before: what lies between, and the run.
+NEXT = r"(?s)\G(.*?)(" + RUN + ")"
 CREDENTIAL = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private|signature)"
 HARMLESS = r"(?i)(commit|sha-?\d+|md5|digest|checksum|hash|uuid|guid|isbn|issn|doi|card|phone|tel|order|invoice|ticket|version|build|rev)"
 KNOWN = r"^(AKIA|ASIA|AIza|ghp_|gho_|ghs_|glpat-|sk-|sk_live_|rk_live_|xox[abpr]-|eyJ|npm_|SG_|hf_)"
@@ -56,16 +61,31 @@ DICTIONARY = (
 FEATURES = [
     "length", "runs", "digit_share", "upper_share", "lower_share", "distinct_share", "hex_only", "digits_only",
     "rises", "coverage", "slashes", "path", "address", "credential_near", "credential_here", "harmless_near",
-    "assigned", "quoted", "known", "dashes",
+    "assigned", "quoted", "known", "dashes", "named",
 ]
 
 
+def _values(words: DataFrame) -> DataFrame:
+    """``words`` (word and other columns) with a row for each run in the word: lead (what stands before it), tail (after it), value."""
+    kept = words.columns
+    runs = words.withColumns({"gaps": F.regexp_extract_all("word", F.lit(NEXT), F.lit(1)), "runs": F.regexp_extract_all("word", F.lit(NEXT), F.lit(2))})
+    runs = runs.withColumn("rest", F.regexp_replace("word", NEXT, ""))
+    at = runs.select(*kept, "gaps", "runs", "rest", F.posexplode("runs").alias("i", "value"))
+    # a name can be a run too, so the lead begins at the run before and ends its pair there
+    lead = F.concat(F.when(F.col("i") > 0, F.get("runs", F.col("i") - 1)).otherwise(""), F.get("gaps", F.col("i")))
+    return at.select(
+        *kept,
+        F.regexp_extract(lead, r"[^,;&?{}|]*$", 0).alias("lead"),
+        F.coalesce(F.get("gaps", F.col("i") + 1), F.col("rest")).alias("tail"),
+        "value",
+    )
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, word_no, word, before (three words), after, value of every candidate."""
+    """doc_id, word_no, word, before (three words), after, lead, tail, value of every candidate."""
     # exploding one array holds the words, so that no expression below splits the text again
     worded = documents(docs).select("doc_id", F.explode(F.array(word_array(F.col("text")))).alias("words"))
-    value = lambda w: F.regexp_extract(w, VALUE, 1)
-    likely = lambda w: (F.length(w) >= 12) & value(w).rlike("[0-9]|[a-z][A-Z]|[A-Z]{2}.*[a-z]|[a-z_+/-][A-Z]")
+    likely = lambda w: (F.length(w) >= 12) & w.rlike(RUN)
     places = F.filter(F.transform("words", lambda w, i: F.when(likely(w), i)), lambda i: i.isNotNull())
     found = F.transform(
         places,
@@ -76,17 +96,20 @@ def candidates(docs: DataFrame) -> DataFrame:
             F.coalesce(F.get("words", i + 1), F.lit("")).alias("after"),
         ),
     )
-    return worded.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*", F.regexp_extract("f.word", VALUE, 1).alias("value"))
+    return _values(worded.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*"))
 
 
 def with_features(found: DataFrame) -> DataFrame:
-    """``found`` (word, before, after, value) with a column for each of FEATURES."""
+    """``found`` (word, before, after, value, perhaps lead and tail) with a column for each of FEATURES."""
+    if not {"lead", "tail"} <= set(found.columns):
+        tail = F.expr("substring(word, instr(word, value) + length(value))")
+        found = found.withColumns({"lead": F.regexp_extract(F.expr("substring_index(word, value, 1)"), r"[^,;&?{}|]*$", 0), "tail": tail})
     v, w = F.col("value"), F.col("word")
     n = F.greatest(F.length(v), F.lit(1))
     without = lambda pattern: F.length(F.regexp_replace(v, pattern, ""))
     # character classes written out, runs of one class drawn together
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0")
-    prefix = F.expr("substring_index(word, value, 1)")
+    prefix = F.col("lead")
     words = F.lit("|".join(sorted((x for x in DICTIONARY if len(x) > 2), key=lambda x: (-len(x), x))))
     flag = lambda c: c.cast("double")
     return found.withColumns(
@@ -111,12 +134,13 @@ def with_features(found: DataFrame) -> DataFrame:
             "quoted": flag(prefix.rlike("[\"']")),
             "known": flag(v.rlike(KNOWN)),
             "dashes": F.size(F.regexp_extract_all(v, F.lit("[-_]"), F.lit(0))) / n,
+            "named": flag(F.col("tail").rlike("^[\"'\\])]*[=:]")),
         }
     )
 
 
 def labelled_findings(docs: DataFrame, most_docs: int = FINDING_DOCS) -> DataFrame:
-    """word, before, after, value, label: secrets (1) and harmless look-alikes (0) between words of about ``most_docs`` documents."""
+    """word, before, after, lead, tail, value, label: secrets (1) and harmless look-alikes (0) between words of about ``most_docs`` documents."""
     rows = documents(docs).where("text IS NOT NULL")
     share = most_docs / max(rows.count(), 1)
     chosen = rows.where(F.pmod(F.xxhash64(F.lit("findings"), "doc_id"), F.lit(1 << 30)) < share * (1 << 30)).distinct()
@@ -132,6 +156,12 @@ def labelled_findings(docs: DataFrame, most_docs: int = FINDING_DOCS) -> DataFra
     pick = lambda salt: F.coalesce(F.get("words", F.pmod(F.xxhash64(F.lit(salt), "id"), F.greatest(F.size("words"), F.lit(1))).cast("int")), F.lit("and"))
     one_of = lambda salt, *x: F.get(F.array(*map(F.lit, x)), F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(len(x))).cast("int"))
     join = F.concat
+    caps = lambda salt, size: F.substring(F.translate(F.upper(b64(salt)), "0123456789", "GHJKLMNPQR"), 1, size)
+    plain = lambda *salts: F.regexp_replace(F.lower(join(*map(pick, salts))), "[^a-z]", "")
+    key40 = lambda salt: F.substring(F.translate(F.base64(F.unhex(h(salt))), "=", "x"), 1, 40)
+    jwt = lambda salt: join(F.lit("eyJ"), F.substring(b64(salt), 1, 33), F.lit(".eyJ"), F.substring(b64(salt + "2"), 1, 40), F.lit("."), b64(salt + "3"))
+    secret_name = lambda salt: one_of(salt, "aws_secret_access_key", "AWS_SECRET_ACCESS_KEY", "access_token", "client_secret", "CLIENT_SECRET", "DB_PASSWORD", "API_TOKEN", "auth_token")
+    plain_name = lambda salt: one_of(salt, "document_identifier", "CONTENT_DIGEST", "commit_reference", "category_name", "order_number", "displayName")
     slots = [  # label, words before, text around the value, value
         (1, None, ("", ""), join(F.lit("AKIA"), F.substring(upper("a"), 1, 16))),
         (1, one_of("k0", "key", "access_key", "id"), ("", ""), join(one_of("p0", "AKIA", "ASIA"), F.substring(upper("b"), 1, 16))),
@@ -155,23 +185,57 @@ def labelled_findings(docs: DataFrame, most_docs: int = FINDING_DOCS) -> DataFra
         (0, None, ("https://www.example.com/", ""), join(pick("q4"), F.lit("/item-view/2020-10-12"))),
         (0, None, ("", ""), join(pick("q5"), F.lit("-"), pick("q6"), F.lit("-"), pick("q7"), F.lit("2"))),
         (0, None, ("", "@mail.example.com"), join(pick("q8"), F.lit("-name-and-"), digits("r", 4))),
+        # long names, web tokens, keys without a digit, passphrases of letters
+        (1, None, (join(secret_name("n1"), one_of("n2", "=", ":", '="')), one_of("n2", "", "", '"')), key40("s1")),
+        (1, None, (one_of("n3", "aws_access_key_id=", "AWS_ACCESS_KEY_ID=", ""), ""), join(F.lit("AKIA"), caps("s2", 16))),
+        (1, None, (join(secret_name("n4"), F.lit("=")), ""), part("s3", 32)),
+        (1, one_of("k7", "Bearer", "token:", "header"), ("", ""), jwt("s4")),
+        (1, None, (one_of("n5", "access_token=", "id_token=", ""), ""), jwt("s5")),
+        (1, None, (one_of("n6", "password=", "passwd:", "DB_PASSWORD="), ""), join(plain("q9", "qa", "qb"), F.lit("battery"), plain("qc"))),
+        # plain long words and names
+        (0, None, ("", one_of("n7", "", ",", ".")), join(plain("qd", "qe"), one_of("n8", "ization", "keiten", "mente", "ement"), plain("qf"))),
+        (0, None, ("", one_of("n9", "", ",", ":")), F.initcap(join(plain("qg", "qh"), F.lit("schaften"), plain("qi")))),
+        (0, one_of("k8", "the password", "a secret", "token", "private"), ("", ""), join(plain("qj", "qk"), F.lit("ization"), plain("ql"))),
+        (0, None, ("", ""), F.upper(join(plain("qm", "qn"), F.lit("ABILITY"), plain("qo")))),
+        (0, None, ("", ""), F.upper(join(plain("qp"), F.lit("_"), plain("qq"), F.lit("_DEFAULT_"), plain("qr")))),
+        (0, None, ("", ""), join(plain("qs"), F.lit("-"), plain("qt"), one_of("na", "-and-", "/", "-to-"), plain("qu"), F.lit("-like"))),
+        (0, None, ("", ""), one_of("nb", "------------", "____________________", "////////////////", "-----------------------------")),
+        (0, None, (join(plain_name("nc"), one_of("nd", "=", ":", '="')), one_of("nd", "", "", '"')), part("s6", 40)),
+        (0, None, (join(plain_name("ne"), F.lit("=")), ""), join(plain("qv", "qw"), F.lit("description"))),
+        (0, None, (join(F.lit("https://www.example.com/search/"), plain("qx"), F.lit("?"), plain_name("nf"), F.lit("=")), ""), join(plain("qy"), F.lit("-"), plain("qz"), F.lit("-example-page"))),
+        (0, None, ("", ""), F.lit("www.example.com/international-news/")),
+    ]
+    several = [  # label of each value, texts around the values, values
+        ((1, 1), ('{"access_token":"', '","client_secret":"', '"}'), (key40("t1"), part("t2", 32))),
+        ((1, 1), ("https://api.example.com/v1/item?access_token=", "&client_secret=", ""), (part("t3", 40), F.substring(b64("t4"), 1, 32))),
+        ((1, 1), ("DB_PASSWORD=", ";API_TOKEN=", ""), (F.substring(b64("t5"), 1, 20), part("t6", 32))),
+        ((1, 1), ("AWS_ACCESS_KEY_ID=", ",AWS_SECRET_ACCESS_KEY=", ""), (join(F.lit("AKIA"), caps("t7", 16)), key40("t8"))),
+        ((1, 1), ("", ":", ""), (join(F.lit("AKIA"), F.substring(upper("t9"), 1, 16)), key40("ta"))),
+        ((0, 1), ('{"commit":"', '","client_secret":"', '"}'), (part("tb", 40), key40("tc"))),
+        ((1, 0), ('{"auth_token":"', '","document_digest":"', '"}'), (part("td", 32), part("te", 40))),
+        ((0, 0), ('{"document_identifier":"', '","content_checksum":"', '"}'), (digits("tf", 16), part("tg", 64))),
+        ((0, 0), ("https://www.example.com/view?category_name=", "&invoice_number=", ""), (join(plain("th"), F.lit("description")), digits("ti", 14))),
     ]
+    text = lambda x: F.lit(x) if isinstance(x, str) else x
+    parts = [((label,), around, (value,), lead) for label, lead, around, value in slots] + [(*s, None) for s in several]
     made = [
         F.struct(
-            join(F.lit(around[0]), value, F.lit(around[1])).alias("word"),
+            join(text(around[0]), *[x for v, a in zip(values, around[1:], strict=True) for x in (v, text(a))]).alias("word"),
             F.concat_ws(" ", pick(f"b{i}"), *([lead] if lead is not None else [pick(f"c{i}"), pick(f"d{i}")])).alias("before"),
             pick(f"e{i}").alias("after"),
-            F.lit(label).alias("label"),
+            F.array(*[F.when(F.lit(bool(y)), v) for y, v in zip(labels, values, strict=True)]).alias("secrets"),
         )
-        for i, (label, lead, around, value) in enumerate(slots)
+        for i, (labels, around, values, lead) in enumerate(parts)
     ]
     rows = worded.select("id", F.explode(F.array(*made)).alias("f")).select("id", "f.*")
-    return rows.withColumn("value", F.regexp_extract("word", VALUE, 1)).where("value != ''")
+    # every run of a made word is a finding: its secrets are, names and all else are not
+    return _values(rows).withColumn("label", F.exists("secrets", lambda v: F.coalesce(v == F.col("value"), F.lit(False))).cast("int")).drop("secrets")
 
 
 def train(findings: DataFrame, trees: int = TREES, depth: int = DEPTH):
     """A forest from labelled findings, or None without both labels."""
-    rows = with_features(findings).select("label", *FEATURES)
+    # a bounded table that the fit reads several times
+    rows = staged(with_features(findings).select("label", *FEATURES))
     seen = {r.label for r in rows.groupBy("label").agg(F.count(F.lit(1))).collect()}  # two rows
     if not {0, 1} <= seen:
         return None
