@@ -6,9 +6,11 @@ times inverse document frequencies, normalised, are its vector.  Each language
 has up to ``centroids`` centroids (spherical k-means); a text gets the language
 of the centroid with the highest cosine.
 
-Rejection is by distance: similarity grows with a text's length, so the floor
-is set by length, at ``slack`` times the least similarity that training texts
-at least as long have to their own language.
+Rejection is by distance: similarity grows with a text's length, so each language
+has its floors by length, at ``slack`` times a low quantile of the similarities that
+its training texts of that length have.  Lengths with too few training texts get the
+floor of the next shorter length that has enough, or, below all of those, the floor of
+the shortest, falling with the square root of the length.
 
 Learned from: document frequencies over all labelled training texts; centroids
 and floors from at most about ``per_language`` training texts of each language,
@@ -38,6 +40,9 @@ BINS = 4096
 CENTROIDS = 4
 PER_LANGUAGE = 500
 SLACK = 0.3
+#: Quantile of training similarities that floors are set by, and texts of a length that it takes.
+LOW = 0.05
+ENOUGH = 20
 #: Texts whose vectors are held at once in a task.
 ROWS = 256
 UNKNOWN = "und"
@@ -52,7 +57,7 @@ class Model(NamedTuple):
     langs: list[str]  # of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    floors: np.ndarray  # by length class
+    floors: np.ndarray  # of each centroid's language, by length class
 
 
 def counts(texts: pa.Array, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +140,18 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 20, seed: int = 42) ->
     return centres
 
 
+def length_floors(near: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Low quantiles of one language's similarities by length class (of 64)."""
+    known = {}
+    for c in range(64):
+        # a class with the next, so that the few texts of one don't decide alone
+        if (size == c).any() and ((size == c) | (size == c + 1)).sum() >= ENOUGH:
+            known[c] = np.quantile(near[(size == c) | (size == c + 1)], LOW)
+    known = known or {int(size.max()): np.quantile(near, LOW)}
+    shortest = min(known)
+    return np.array([known[max(k for k in known if k <= c)] if c >= shortest else known[shortest] * 2 ** ((c - shortest) / 2) for c in range(64)])
+
+
 def _fit(k: int):
     def run(table: pa.Table) -> pa.Table:
         x = table.column("vector").combine_chunks().values.to_numpy().reshape(-1, BINS)
@@ -143,7 +160,7 @@ def _fit(k: int):
         x, grams = x[order], grams[order]
         centres = spherical_kmeans(x, k).astype(np.float32)
         near, size = (x @ centres.T).max(1), length_class(grams)
-        floor = [float(near[size >= c].min()) if (size >= c).any() else 2.0 for c in range(64)]
+        floor = length_floors(near, size).tolist()
         lang = table.column("lang")[0].as_py()
         return pa.table(
             {
@@ -168,8 +185,7 @@ def train(docs: DataFrame, centroids: int = CENTROIDS, per_language: int = PER_L
         _fit(centroids), "lang string, centre array<float>, floor array<double>"
     )
     rows = sorted(fitted.collect(), key=lambda r: (r.lang, r.centre))  # a few centroids per language
-    floors = np.array([r.floor for r in rows]).min(0) if rows else np.full(64, 2.0)
-    floors = np.where(floors > 1, floors[floors <= 1].max(initial=0), floors)  # longer than any training text
+    floors = np.array([r.floor for r in rows]).reshape(-1, 64)
     centres = np.array([r.centre for r in rows], np.float32).reshape(-1, BINS)
     return Model([r.lang for r in rows], centres, idf, slack * floors)
 
@@ -189,7 +205,7 @@ def _predict(model: Model):
                 best = near.argmax(1)
                 top = near[np.arange(len(best)), best]
                 pred[lettered], score[lettered] = langs[best][lettered], top[lettered]
-                reject = ~lettered | (top < model.floors[length_class(grams)])
+                reject = ~lettered | (top < model.floors[best, length_class(grams)])
             rest = b.drop_columns(["text"])
             yield pa.record_batch(
                 [*rest.columns, pa.array(pred, pa.string()), pa.array(score), pa.array(reject)],

@@ -49,6 +49,26 @@ def test_language_awkward_rows(spark):
     assert [r.lang_pred for r in L.identify(documents(spark, [(1, "text", None, None, None)]), untaught).collect()] == ["und"]
 
 
+def test_unseen_languages_and_noise_are_rejected(spark):
+    rng = random.Random(3)
+    letters = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(150))
+    odd = [
+        "La mattina il vecchio pescatore usciva con la barca verso il largo mentre nel paese le donne preparavano il pane e i ragazzi andavano a scuola. " * 6,
+        "Sabah erkenden kalkan yaşlı balıkçı teknesiyle denize açılırken köyde kadınlar ekmek yapıyor ve çocuklar okula yürüyorlardı. " * 6,
+        "Rano stary rybak wypływał łodzią na pełne morze, a we wsi kobiety piekły chleb i dzieci szły do szkoły drogą na rynek. " * 6,
+        "Aamulla vanha kalastaja lähti veneellään ulapalle, kun kylässä naiset leipoivat leipää ja lapset kävelivät kouluun. " * 6,
+        letters,
+        "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1200)),
+        "x " * 300,
+    ]
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    model = L.train(docs.where(L.fold(docs["doc_id"], 4) != 2))
+    got = L.identify(documents(spark, [(k, t, None, None, None) for k, t in enumerate(odd)]), model).collect()
+    assert [r.doc_id for r in got if not r.rejected] == []
+    held = L.identify(docs.where((L.fold(docs["doc_id"], 4) == 2) & docs["text"].rlike(r"\p{L}")), model).collect()
+    assert sum(r.rejected for r in held) <= 0.01 * len(held)
+
+
 def test_language_stage_keeps_rows_whole(spark):
     rows = [(k, t, "aa", "s", len(t)) for k, t in enumerate(texts(30, 40, vocabulary(60)))]
     df = documents(spark, [*rows, (None, None, None, None, None)], clashes=True)
