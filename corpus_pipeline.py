@@ -2,8 +2,9 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next one's documents.  All but the last return the
-columns of documents.  Rows that share a doc_id (or have none) go or stay
-together in the stages that decide by doc_id; no stage drops a row for a NULL.
+columns of documents.  Decontamination and masking decide row by row, also where
+rows share a doc_id or have none; near-dedup decides by doc_id, so that rows that
+share one go or stay together.  No stage drops a row for a NULL.
 """
 
 from __future__ import annotations
@@ -24,6 +25,15 @@ def _without(docs: DataFrame, out: DataFrame) -> DataFrame:
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
 
 
+def _by_row(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row as doc_id and its own doc_id as _id; staged, so that the keys stay."""
+    return staged(docs.withColumns({"_id": F.col("doc_id"), "doc_id": F.monotonically_increasing_id()}))
+
+
+def _own_ids(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.withColumn("doc_id", F.col("_id")).select(*docs.columns)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is rejected go: no letters, or too far from every centroid."""
     model = language_id.train(docs.where(fold(F.col("doc_id"), 4) != 2))
@@ -38,14 +48,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a phrase of a benchmark item go."""
-    found = decontamination.contamination(docs, load(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("n_hit > 0"))
+    rows = _by_row(docs)
+    found = decontamination.contamination(rows, load(spark, sf_dir, "benchmark"))
+    return _own_ids(_without(rows, found.where("n_hit > 0")), docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in their documents, and n_chars follows."""
     model = secret_scan.train(secret_scan.labelled_findings(docs))
-    masked = secret_scan.redacted(docs, secret_scan.scan(docs, model))
+    rows = _by_row(docs)
+    masked = _own_ids(secret_scan.redacted(rows, secret_scan.scan(rows, model)), docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -52,6 +52,20 @@ def test_stages_match_plain_versions(spark):
     assert len(fifth) == len(lettered) and all(0 <= r.taken <= 3 * r["size"] for r in fifth)
 
 
+def test_rows_without_or_with_one_id_are_decided_alone(spark):
+    stages = dict(P.STAGES)
+    bench = spark.read.parquet(f"{SF001}/benchmark.parquet").first().text
+    plain = texts(40, 60, vocabulary(400))
+    secret = "b7db7aa4a5fcc78305"
+    rows = [(d, t, "en", "a", 1) for d, t in enumerate(plain)]
+    odd = [(d, t, "en", "b", 1) for d in (None, 900) for t in (f"{plain[0]} {bench}", f"{plain[1]} clean", f"{plain[2]} password={secret} x")]
+    df = documents(spark, rows + odd)
+    third = sorted((str(r.doc_id), r.text) for r in stages["benchmark decontamination"](spark, df, SF001).where("source = 'b'").collect())
+    assert third == sorted((str(r[0]), r[1]) for r in odd if bench not in r[1])
+    fourth = sorted((str(r.doc_id), r.text) for r in stages["secret scans"](spark, df, SF001).where("source = 'b'").collect())
+    assert fourth == sorted((str(r[0]), r[1].replace(secret, "[SECRET]")) for r in odd)
+
+
 def test_run_applies_all_stages(spark):
     got = P.run(spark, SF001).collect()
     assert 0 < len(got) <= 200 and {"doc_id", "taken", "target"} <= set(got[0].asDict())
