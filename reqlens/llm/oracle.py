@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from reqlens.llm import chat_format as C
 from reqlens.llm import decontamination as D
 from reqlens.llm import mixing as M
 from reqlens.llm import quality_rules as R
@@ -193,10 +194,81 @@ SELECT page_id, record_type, record_id, refers_to, target_uri, payload_digest, b
 FROM ids
 """
 
+#: crc32 of a decimal number: its bytes in turn, eight shifts each.
+_CRC = """xor(list_reduce(
+  list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+  lambda acc, byte: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(acc, byte)),
+  CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+PREFIX_TRIE = f"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+listed AS (
+  SELECT conv_id, list(struct_pack(role := role, text := text)
+         ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS turns FROM said GROUP BY conv_id),
+heads AS (SELECT *, conv_id - conv_id % 5 AS base, {_CRC.format("conv_id")} % 9 AS h FROM listed),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+  FROM heads c LEFT JOIN listed b ON b.conv_id = c.base),
+members AS (SELECT conv_id, len(turns) AS n, d, turns[1:d] AS path FROM rebuilt, unnest(range(len(turns) + 1)) AS t(d)),
+nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends
+  FROM members GROUP BY path, d),
+kin AS (
+  SELECT v.*, p.conv_id AS parent, (SELECT count(*) FROM nodes u WHERE u.d = v.d + 1 AND u.path[1:v.d] = v.path) AS n_children
+  FROM nodes v LEFT JOIN nodes p ON p.d = v.d - 1 AND p.path = v.path[1:v.d - 1]),
+below AS (
+  SELECT path[1:k] AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum(CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * strlen(path[d].text) END) AS saved_tokens
+  FROM kin, unnest(range(d + 1)) AS t(k) GROUP BY path[1:k])
+SELECT conv_id, CAST(d AS BIGINT) AS depth, parent AS parent_conv_id, n_convs, n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends AS ends_sha256
+FROM kin JOIN below USING (path)
+"""
+
+HARD_NEGATIVES = """
+WITH r AS (
+  SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.k AS ak, a.vec_id AS anchor_id, b.k AS k, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.k <> b.k WHERE a.vec_id % 100 = 0),
+pos AS (SELECT * FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY ak ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.ak, p.k ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM pos p JOIN pairs n ON p.ak = n.ak AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.ak, p.k ORDER BY n.score DESC, n.vec_id) <= 5
+"""
+
+
+def _escape(column: str) -> str:
+    return f"regexp_replace(coalesce({column}, ''), '([<\\[])(\\\\*)(\\||/?s>|/?INST\\])', '\\1\\\\\\2\\3', 'g')"
+
+
+CHAT_FORMAT = f"""
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{C.CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{C.CONTROL_TEXT}'),
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         '{C.TURN}' || {_escape("role")} || '{C.SAYS}' || {_escape("text")} || '{C.END}' AS formatted FROM rows)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, formatted)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, formatted) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
 ORACLE = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op2_benchmark_decontamination": DECONTAMINATION,
     "op5_warc_derivatives": WARC_DERIVATIVES,
     "op8_quality_rules": QUALITY_RULES,
     "op9_source_mixing": SOURCE_MIXING,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_chat_format": CHAT_FORMAT,
 }

@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reqlens.llm.chat_format import op13_chat_format
 from reqlens.llm.decontamination import op2_benchmark_decontamination
+from reqlens.llm.hard_negatives import op12_hard_negatives
 from reqlens.llm.language_id import op3_language_id
 from reqlens.llm.mixing import op9_source_mixing
 from reqlens.llm.oracle import ORACLE
+from reqlens.llm.prefix_trie import op11_prefix_trie
 from reqlens.llm.quality_classifier import op6_quality_classifier
 from reqlens.llm.quality_rules import op8_quality_rules
 from reqlens.llm.secret_scan import op4_secret_scan
@@ -31,4 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mixing": op9_source_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_chat_format": op13_chat_format,
 }
