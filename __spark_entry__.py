@@ -11,8 +11,10 @@ then cleaned and transformed exactly as the pipeline does.
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -20,17 +22,24 @@ if _HERE not in sys.path:  # loaded by file path: make the package importable
     sys.path.insert(0, _HERE)
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reqlens.operators import clean as C
 from reqlens.operators import gates as G
 from reqlens.operators import summaries as S
 from reqlens.operators.features import add_date_features, transform_requests
 from reqlens.plans import analyses as A
-from reqlens.plans.pipeline import PROFILE_CHECKS
+from reqlens.plans.pipeline import PROFILE_CHECKS, run_pipeline
+from reqlens.plans.sql_script import ANALYSES_SQL, run_script
 from reqlens.roles import CLEANED_PLACEHOLDER_COLUMNS, DEFAULT_ROLES, DERIVED_FEATURE_COLUMNS, IDENTIFIER_COLUMNS
+from reqlens.session import shared_folder
 from reqlens.sources.files import cast_identifiers, contract_report, csv_report, read_raw_csv, register_parquet_view
+from reqlens.sources.inference import inferred_schema
+from reqlens.sources.quarantine import good_records, quarantine_summary, quarantined_records, split_raw_csv
+from reqlens.sources.release import current_release
 from reqlens.sources.testdata import (
     CATEGORY_SPELLING,
+    faulty_csv_copy,
     raw_csv_copy,
     raw_requests,
     ungated_cleaned,
@@ -82,6 +91,41 @@ def _sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users FROM reqlens_events GROUP BY event_type")
 
 
+def _csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_raw_csv(spark, raw_csv_copy(spark, sf_dir), numeric_types={})
+
+
+def _split_csv(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
+    out = f"{shared_folder(spark)}/split-{uuid.uuid4().hex}"
+    split_raw_csv(spark, faulty_csv_copy(spark, sf_dir), out)
+    if part == "good":
+        return good_records(spark, out)
+    bad = quarantined_records(spark, out)
+    if part == "summary":  # all files are one here: how many there are depends on the machine
+        return quarantine_summary(bad.withColumn("source_file", F.lit("export")))
+    return (
+        good_records(spark, out)
+        .select("unique_key", F.lit(True).alias("accepted"), F.lit("").alias("reasons"))
+        .unionByName(bad.select("unique_key", F.lit(False).alias("accepted"), F.array_join("reasons", ",").alias("reasons")))
+    )
+
+
+def _published_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each table of a release that the whole pipeline publishes."""
+    out = f"{shared_folder(spark)}/release-{uuid.uuid4().hex}"
+    run_pipeline(spark, _raw(spark, sf_dir), out, spelling=CATEGORY_SPELLING, with_analyses=False)
+    release = current_release(spark, out)
+    counts = [release.read(spark, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for t in release.tables]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+def _sql_analysis(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return dict(run_script(spark, ANALYSES_SQL.read_text(), {"requests": _transformed(spark, sf_dir)}))[name]
+
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: top complaint types per borough with shares, on sf0.001."""
     return A.top_categories_by_region(_transformed(spark, SF_SMOKE))
@@ -93,6 +137,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "identifier_strings": _on_raw(lambda df: cast_identifiers(df).select("unique_key", *IDENTIFIER_COLUMNS)),
         "csv_report": lambda spark, sf_dir: csv_report(spark, raw_csv_copy(spark, sf_dir)),
         "csv_requests": lambda spark, sf_dir: read_raw_csv(spark, raw_csv_copy(spark, sf_dir)),
+        "inferred_schema": lambda spark, sf_dir: inferred_schema(_csv_text(spark, sf_dir)),
+        "typed_requests": lambda spark, sf_dir: read_raw_csv(spark, raw_csv_copy(spark, sf_dir), numeric_types={}, infer=True),
+        "csv_quarantine": lambda spark, sf_dir: _split_csv(spark, sf_dir, "judged"),
+        "csv_good_records": lambda spark, sf_dir: _split_csv(spark, sf_dir, "good"),
+        "quarantine_summary": lambda spark, sf_dir: _split_csv(spark, sf_dir, "summary"),
         "column_contract": _on_raw(lambda df: contract_report(df.drop("agency"), DEFAULT_ROLES.required)),
         "feature_contract": _on_transformed(lambda df: contract_report(df, DERIVED_FEATURE_COLUMNS)),
         "sql_view": _sql_view,
@@ -130,6 +179,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "agency_summary": _on_transformed(S.handler_summary),
         "date_summary": _on_transformed(S.date_summary),
         "transformed_requests": _transformed,
+        "published_release": _published_release,
+        # the analyses as statements of a SQL file
+        **{f"sql_{name}": _sql_analysis(name) for name in ("total_rows", "sample_features", *A.ANALYSES)},
         # analyses
         "total_rows": _on_transformed(A.total_rows),
         "sample_features": _on_transformed(A.sample_features),

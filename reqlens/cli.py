@@ -2,9 +2,11 @@
 
     python -m reqlens ingest    RAW_CSV                 row / column count + column contract
     python -m reqlens inspect   RAW_CSV OUT_DIR         quality profile (raw staged once as Parquet)
-    python -m reqlens clean     RAW_CSV OUT_DIR         gated cleaned layer
-    python -m reqlens transform OUT_DIR                 gated transformed layer + four summaries
+    python -m reqlens split     RAW_CSV OUT_DIR         good records and quarantined ones, with reasons
+    python -m reqlens clean     RAW_CSV OUT_DIR         gated cleaned layer, published
+    python -m reqlens transform OUT_DIR                 gated transformed layer + four summaries, published together
     python -m reqlens analyze   OUT_DIR [--only NAME]   the analyses, titled, over the transformed layer
+    python -m reqlens sql       OUT_DIR [SCRIPT]        statements of a SQL file over the transformed layer (view `requests`)
     python -m reqlens pipeline  RAW_CSV OUT_DIR         clean + transform + summaries + analyses
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so cluster
@@ -21,10 +23,13 @@ from pyspark.sql import SparkSession
 
 from reqlens.operators.quality import schema_profile
 from reqlens.plans.analyses import ANALYSES
-from reqlens.plans.pipeline import clean_stage, profile_stage, run_pipeline, summary_stage, transform_stage
+from reqlens.plans.pipeline import profile_stage, publish_cleaned, publish_transformed, run_pipeline
+from reqlens.plans.sql_script import ANALYSES_SQL, run_script
 from reqlens.session import configure
 from reqlens.roles import Roles
 from reqlens.sources.files import csv_report, ingest_report, read_raw_csv
+from reqlens.sources.quarantine import quarantine_summary, quarantined_records, split_raw_csv
+from reqlens.sources.release import current_release
 
 TITLES = {
     "top_complaints_by_borough": "Most frequent complaint types in each borough, with their share",
@@ -51,15 +56,19 @@ def _parser() -> argparse.ArgumentParser:
         "--role", action="append", default=[], metavar="ROLE=COLUMN", help="column that plays a role, e.g. category=issue_type"
     )
     p.add_argument("--multiline", action="store_true", help="CSV fields may contain line breaks")
+    p.add_argument("--infer", action="store_true", help="infer the types of text columns (one more pass over the input)")
     sub = p.add_subparsers(dest="command", required=True)
     sub.add_parser("ingest").add_argument("raw")
-    for name in ("inspect", "clean", "pipeline"):
+    for name in ("inspect", "split", "clean", "pipeline"):
         sp = sub.add_parser(name)
         sp.add_argument("raw")
         sp.add_argument("out")
     sub.add_parser("transform").add_argument("out")
     an = sub.add_parser("analyze")
     an.add_argument("out")
+    sql = sub.add_parser("sql")
+    sql.add_argument("out")
+    sql.add_argument("script", nargs="?", help="SQL file over the view `requests` (default: the analyses)")
     an.add_argument("--only", action="append", choices=sorted(ANALYSES), help="run only these analyses")
     return p
 
@@ -70,7 +79,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     out = getattr(args, "out", "").rstrip("/")
     roles = Roles(**dict(x.split("=", 1) for x in args.role))
     if args.command in ("ingest", "inspect", "clean", "pipeline"):
-        raw = read_raw_csv(spark, args.raw, roles=roles, multiline=args.multiline)
+        raw = read_raw_csv(spark, args.raw, roles=roles, multiline=args.multiline, infer=args.infer)
 
     if args.command == "ingest":
         _show("Ingest report (column contract passed)", ingest_report(raw), args.rows)
@@ -80,19 +89,28 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for name, df in profile_stage(spark, raw, f"{out}/profile", roles).items():
             _show(name.replace("_", " ").capitalize(), df, args.rows)
     elif args.command == "clean":
-        metrics = clean_stage(raw, f"{out}/cleaned", roles=roles)
-        print(f"Cleaned data validated and written to {out}/cleaned: {metrics}")
+        release, metrics = publish_cleaned(spark, raw, out, roles)
+        print(f"Cleaned data validated and published as release {release.number} of {out}: {metrics}")
     elif args.command == "transform":
-        expected = spark.read.parquet(f"{out}/cleaned").count()  # Parquet footers: no column is read
-        metrics = transform_stage(spark, f"{out}/cleaned", f"{out}/transformed", expected, roles)
-        paths = summary_stage(spark, f"{out}/transformed", out, roles)
-        print(f"Transformed data validated and written to {out}/transformed: {metrics}")
-        print(f"Summaries: {paths}")
-    elif args.command in ("analyze", "pipeline"):
+        release, metrics = publish_transformed(spark, out, roles)
+        print(f"Transformed data validated and published as release {release.number} of {out}: {metrics}")
+        print(f"Summaries: {[t for t in release.tables if t.endswith('summary')]}")
+    elif args.command == "split":
+        print(f"Records split under {out}: {split_raw_csv(spark, args.raw, out, multiline=args.multiline, roles=roles)}")
+        _show("Quarantined records by file and reason", quarantine_summary(quarantined_records(spark, out)), args.rows)
+    elif args.command in ("analyze", "pipeline", "sql"):
         if args.command == "pipeline":
             res = run_pipeline(spark, raw, out, roles=roles, with_analyses=False)
-            print(f"Pipeline written under {out}: {res.cleaning_metrics} {res.transform_metrics}")
-        transformed = spark.read.parquet(f"{out}/transformed")
+            print(f"Pipeline published as release {res.release.number} of {out}: {res.cleaning_metrics} {res.transform_metrics}")
+        release = current_release(spark, out)
+        if release is None:
+            raise FileNotFoundError(f"no release under {out}")
+        transformed = release.read(spark, "transformed")
+        if args.command == "sql":
+            text = spark.sparkContext.wholeTextFiles(args.script).values().first() if args.script else ANALYSES_SQL.read_text()
+            for i, (title, df) in enumerate(run_script(spark, text, {"requests": transformed}), start=1):
+                _show(f"Query {i}: {title}", df, args.rows)
+            return 0
         names = getattr(args, "only", None) or list(ANALYSES)
         for i, name in enumerate(names, start=1):
             _show(f"Analysis {i}: {TITLES[name]}", ANALYSES[name](transformed, roles=roles), args.rows)

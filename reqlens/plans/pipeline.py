@@ -1,10 +1,12 @@
 """End-to-end batch pipeline: raw -> cleaned -> transformed -> summaries.
 
-Stage boundaries are Parquet tables written under one output directory; each
-stage reads the previous stage back, so lineage is cut at every boundary and
+Stage boundaries are Parquet tables of a new version under one output directory;
+each stage reads the previous stage back, so lineage is cut at every boundary and
 a lost executor only ever recomputes from the last written table.  Gates are
-observed by each write, which goes beside the layer and replaces it only when
-they pass: a failed gate leaves the last good layer in place.  The output directory must be on shared storage on a cluster.
+observed by each write.  Once all have passed, one manifest publishes the layers
+and their summaries together (:mod:`reqlens.sources.release`): whenever a run fails
+or is killed, readers keep the last release whole.  The output directory must be on
+shared storage on a cluster.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from reqlens.operators.gates import (
 from reqlens.operators.summaries import split_summary_groups, summary_groups
 from reqlens.plans.analyses import run_analyses
 from reqlens.roles import CATEGORY_SPELLING, DEFAULT_ROLES, Roles
-from reqlens.sources.files import publish_parquet, write_parquet
+from reqlens.sources.files import write_gated, write_parquet
+from reqlens.sources.release import Release, current_release, new_version, publish_release
 
 
 @dataclass
@@ -38,6 +41,7 @@ class PipelineResult:
     summary_paths: dict[str, str]
     cleaning_metrics: dict
     transform_metrics: dict
+    release: Release | None = None
     analyses: dict[str, DataFrame] = field(default_factory=dict)
 
 
@@ -47,13 +51,13 @@ def clean_stage(
     spelling: Mapping[str, str] = CATEGORY_SPELLING,
     roles: Roles = DEFAULT_ROLES,
 ) -> dict:
-    """Clean, write, gate, publish.  Returns the gate metrics.
+    """Clean, write, gate.  Returns the gate metrics.
 
     The gates are observed by the write job, so the raw input is read once;
-    if one fails, ``ValueError`` is raised and ``out_path`` stays as it was.
+    if one fails, ``ValueError`` is raised and ``out_path`` must not be published.
     """
     cleaned = clean_requests(raw, spelling=spelling, roles=roles)
-    return publish_parquet(cleaned, out_path, cleaning_metric_columns(cleaned, spelling, roles=roles), evaluate_cleaning)
+    return write_gated(cleaned, out_path, cleaning_metric_columns(cleaned, spelling, roles=roles), evaluate_cleaning)
 
 
 def transform_stage(
@@ -64,7 +68,7 @@ def transform_stage(
     roles: Roles = DEFAULT_ROLES,
     partition_by: Sequence[str] = (),
 ) -> dict:
-    """Read cleaned, derive features, write, gate, publish (as :func:`clean_stage`).
+    """Read cleaned, derive features, write, gate (as :func:`clean_stage`).
 
     ``partition_by`` (e.g. ``("request_year", "request_month")``) writes a
     Hive-partitioned layer, so readers that slice by date prune whole
@@ -72,7 +76,7 @@ def transform_stage(
     """
     transformed = transform_requests(spark.read.parquet(cleaned_path), roles=roles)
     require_feature_columns(transformed)
-    return publish_parquet(
+    return write_gated(
         transformed,
         out_path,
         transform_metric_columns(transformed, roles),
@@ -160,13 +164,41 @@ def run_pipeline(
     with_analyses: bool = True,
     partition_transformed_by: Sequence[str] = (),
 ) -> PipelineResult:
-    """Raw request table -> Parquet layers + summaries (+ lazy analyses over the written table)."""
+    """Raw request table -> Parquet layers + summaries in one release (+ lazy analyses over the written table)."""
     out_dir = out_dir.rstrip("/")
-    cleaned_path, transformed_path = f"{out_dir}/cleaned", f"{out_dir}/transformed"
-    clean_metrics = clean_stage(raw, cleaned_path, spelling, roles)
+    version = new_version(out_dir)
+    at = f"{out_dir}/{version}"
+    clean_metrics = clean_stage(raw, f"{at}/cleaned", spelling, roles)
     transform_metrics = transform_stage(
-        spark, cleaned_path, transformed_path, clean_metrics["row_count"], roles, partition_transformed_by
+        spark, f"{at}/cleaned", f"{at}/transformed", clean_metrics["row_count"], roles, partition_transformed_by
     )
-    summary_paths = summary_stage(spark, transformed_path, out_dir, roles)
-    analyses = run_analyses(spark.read.parquet(transformed_path), roles=roles) if with_analyses else {}
-    return PipelineResult(cleaned_path, transformed_path, summary_paths, clean_metrics, transform_metrics, analyses)
+    summary_paths = summary_stage(spark, f"{at}/transformed", at, roles)
+    tables = {name: f"{version}/{name}" for name in ("cleaned", "transformed", *summary_paths)}
+    release = publish_release(spark, out_dir, version, tables)
+    analyses = run_analyses(release.read(spark, "transformed"), roles=roles) if with_analyses else {}
+    return PipelineResult(
+        f"{at}/cleaned", f"{at}/transformed", summary_paths, clean_metrics, transform_metrics, release, analyses
+    )
+
+
+def publish_cleaned(spark: SparkSession, raw: DataFrame, out_dir: str, roles: Roles = DEFAULT_ROLES) -> tuple[Release, dict]:
+    """The cleaned layer alone as a new release; other tables stay those of the last one."""
+    out_dir = out_dir.rstrip("/")
+    version = new_version(out_dir)
+    metrics = clean_stage(raw, f"{out_dir}/{version}/cleaned", roles=roles)
+    last = current_release(spark, out_dir)
+    return publish_release(spark, out_dir, version, {"cleaned": f"{version}/cleaned"}, keep=last), metrics
+
+
+def publish_transformed(spark: SparkSession, out_dir: str, roles: Roles = DEFAULT_ROLES) -> tuple[Release, dict]:
+    """Transformed layer and all summaries, from the current release's cleaned layer, as a new release."""
+    out_dir = out_dir.rstrip("/")
+    last = current_release(spark, out_dir)
+    if last is None:
+        raise FileNotFoundError(f"no release under {out_dir}")
+    version = new_version(out_dir)
+    at = f"{out_dir}/{version}"
+    expected = last.read(spark, "cleaned").count()  # Parquet footers: no column is read
+    metrics = transform_stage(spark, last.path("cleaned"), f"{at}/transformed", expected, roles)
+    names = ("transformed", *summary_stage(spark, f"{at}/transformed", at, roles))
+    return publish_release(spark, out_dir, version, {n: f"{version}/{n}" for n in names}, keep=last), metrics

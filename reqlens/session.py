@@ -6,6 +6,8 @@ configuration (shuffle partitions, checkpoint directory, ...) always wins.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -25,6 +27,20 @@ def configure(spark: SparkSession, checkpoint_dir: str | None = None) -> SparkSe
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the checkpoint directory that was set.
+
+    Where neither is set, a local session gets one below its warehouse; on a cluster there is no
+    folder to guess, so that is an error.
+    """
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if where:
+        return where.rstrip("/")
+    if re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):  # one machine; local-cluster is not
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
+
+
 def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: str = "reqlens") -> SparkSession:
     """A local session for tests and benchmarks (the UI stays off)."""
     builder = (

@@ -1,11 +1,12 @@
 """CSV / Parquet sources and sinks.
 
-The raw export is read **without** schema inference: inference is a full
-extra pass over the input (at 100 TB, a second read of everything) and it
-turns identifier columns such as ZIP codes into integers, dropping leading
-zeros.  Instead every column is read as text (the header alone names them),
-renamed to its role, and the few numeric roles are cast with ``try_cast`` so a
-stray bad value becomes NULL rather than failing the job.
+The raw export is read without the reader's schema inference, which turns
+identifier columns such as ZIP codes into integers, dropping leading zeros.
+Every column is read as text (the header alone names them), renamed to its
+role, and the few numeric roles are cast with ``try_cast`` so a stray bad value
+becomes NULL rather than failing the job.  ``infer=True`` types the other
+columns by :mod:`reqlens.sources.inference`; that is one more pass over the
+input, so it is not the default.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from reqlens.roles import (
     present,
     snake_case,
 )
+from reqlens.sources.inference import infer_types
 
 
 def rename_to_roles(df: DataFrame, header_roles: Mapping[str, str] = SOURCE_HEADER_ROLES) -> DataFrame:
@@ -94,12 +96,14 @@ def read_raw_csv(
     roles: Roles = DEFAULT_ROLES,
     validate: bool = True,
     multiline: bool = False,
+    infer: bool = False,
 ) -> DataFrame:
     """Raw request CSV -> role-named DataFrame.
 
     ``schema`` (source header names) may be given; otherwise all columns are
     text.  ``multiline=True`` allows line breaks inside quoted fields, at the price of
-    one task per file (such files cannot be split).  Numbers that do not parse
+    one task per file (such files cannot be split).  ``infer=True`` types the remaining text columns by
+    :mod:`reqlens.sources.inference`, at the price of one pass over the input.  Numbers that do not parse
     become NULL and short records keep NULL fields; :func:`csv_report` counts
     both.  Raises ``FileNotFoundError`` for a missing path and ``ValueError``
     when a required role is absent.
@@ -118,6 +122,8 @@ def read_raw_csv(
     df = cast_identifiers(df)
     if validate:
         validate_columns(df, roles)
+    if infer and schema is None:
+        df = infer_types(df)
     return df
 
 
@@ -197,35 +203,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: Iterable[str] | None =
     return path
 
 
-def publish_parquet(
+def write_gated(
     df: DataFrame,
     path: str,
     metrics: Iterable[Column],
     accept: Callable[[dict], dict],
     partition_by: Iterable[str] | None = None,
 ) -> dict:
-    """Write ``df`` beside ``path``, pass its ``metrics`` to ``accept``, and only then put it in place.
+    """Write ``df`` to ``path`` and pass its ``metrics``, observed by that write, to ``accept``: one read of the input.
 
-    The metrics are observed by the write itself, so the input is read once.
-    If ``accept`` raises, the new files go and ``path`` keeps its last good layer.
+    If ``accept`` raises, what was written must not be published: ``path`` should be part of a version
+    that no release names yet (see :mod:`reqlens.sources.release`).
     """
-    spark, path = df.sparkSession, path.rstrip("/")
-    tag = uuid.uuid4().hex[:12]
-    fresh, old = f"{path}.new-{tag}", f"{path}.old-{tag}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    observed = Observation(f"publish-{tag}")
-    try:
-        write_parquet(df.observe(observed, *metrics), fresh, partition_by)
-        found = accept(dict(observed.get))
-    except BaseException:
-        files.delete(hadoop(fresh), True)
-        raise
-    replaced = files.exists(hadoop(path)) and files.rename(hadoop(path), hadoop(old))
-    if not files.rename(hadoop(fresh), hadoop(path)):
-        if replaced:
-            files.rename(hadoop(old), hadoop(path))
-        raise OSError(f"could not put {fresh} in place of {path}")
-    if replaced:
-        files.delete(hadoop(old), True)
-    return found
+    observed = Observation(f"gates-{uuid.uuid4().hex[:12]}")
+    write_parquet(df.observe(observed, *metrics), path, partition_by)
+    return accept(dict(observed.get))

@@ -17,12 +17,14 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reqlens.functions.dates import format_raw_timestamp
 from reqlens.operators.clean import parse_timestamps
 from reqlens.roles import PLACEHOLDER_TOKENS, SOURCE_HEADER_ROLES
+from reqlens.session import shared_folder
 
 # Fixed values of the test tables: the event types in ``events``.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -172,23 +174,43 @@ def raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_csv_copy(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the request table as a raw CSV export (source headers), in the folder that all executors share.
+def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The request table under the headers of a raw export.
 
     Some numbers are no numbers in it, so that the ingest report has something to count.
     """
     raw = raw_requests(spark, sf_dir)
     e = F.col("unique_key")
     raw = raw.withColumn("latitude", F.when(_m(e, 53) == 4, "unknown").otherwise(F.col("latitude").cast("string")))
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{where.rstrip('/')}/raw-csv-{uuid.uuid4().hex}"
-    headers = {role: header for header, role in SOURCE_HEADER_ROLES.items()}
-    raw.withColumnsRenamed(headers).write.csv(
+    return raw.withColumnsRenamed({role: header for header, role in SOURCE_HEADER_ROLES.items()})
+
+
+def raw_csv_copy(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the request table as a raw CSV export (source headers), in the folder that all executors share."""
+    path = f"{shared_folder(spark)}/raw-csv-{uuid.uuid4().hex}"
+    _export(spark, sf_dir).write.csv(
         path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
     return path
 
 
+def faulty_csv_copy(spark: SparkSession, sf_dir: str) -> str:
+    """As :func:`raw_csv_copy`, with records cut short, with a field too many, and without a key."""
+    export = _export(spark, sf_dir)
+    e, header = F.col("`Unique Key`"), ",".join(export.columns)
+    line = F.to_csv(F.struct(*[f"`{c}`" for c in export.columns]), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    line = F.when(_m(e, 193) == 11, F.regexp_replace(line, "^[^,]*", "")).otherwise(line)
+    line = F.when(_m(e, 97) == 5, F.substring_index(line, ",", 5)).when(_m(e, 89) == 7, F.concat(line, F.lit(",extra"))).otherwise(line)
+
+    def headed(batches):
+        yield pa.record_batch([pa.array([header])], ["value"])  # each file begins with its header
+        yield from batches
+
+    path = f"{shared_folder(spark)}/faulty-csv-{uuid.uuid4().hex}"
+    export.select(line.alias("value")).mapInArrow(headed, "value string").write.text(path)
+    return path
+
+
 def ungated_cleaned(raw: DataFrame) -> DataFrame:
     """A cleaned-shaped table that breaks every cleaning gate: nothing normalised, and wrong flags."""
     return parse_timestamps(raw).withColumn("invalid_date_order", _m(F.col("unique_key"), 5) == 0)

@@ -14,6 +14,7 @@ under the cluster's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from reqlens.operators.clean import clean_requests
 from reqlens.operators.features import transform_requests
 from reqlens.operators.gates import check_cleaning, check_transform
 from reqlens.roles import CATEGORY_SPELLING, DEFAULT_ROLES, RAW_NUMERIC_TYPES, SOURCE_HEADER_ROLES, Roles
+from reqlens.session import shared_folder
 from reqlens.sources.files import cast_identifiers, csv_options, rename_to_roles, validate_columns
 
 
@@ -44,11 +46,9 @@ def raw_csv_stream(
     return cast_identifiers(df.withColumns({c: df[c].try_cast(t) for c, t in casts.items()}))
 
 
-def _default_checkpoint(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        raise ValueError("no checkpoint location given and spark.checkpoint.dir is unset")
-    return f"{base.rstrip('/')}/{name}"
+def _default_checkpoint(spark: SparkSession, name: str, out_dir: str) -> str:
+    """Below the shared folder, by query name and output: streams of other outputs never meet in one checkpoint."""
+    return f"{shared_folder(spark)}/{name}-{hashlib.sha256(out_dir.rstrip('/').encode()).hexdigest()[:12]}"
 
 
 def start_incremental_transform(
@@ -63,7 +63,7 @@ def start_incremental_transform(
     """Start the stream: raw -> cleaned -> transformed, gated per batch, one directory per batch."""
     validate_columns(raw_stream, roles)
     spark = raw_stream.sparkSession
-    checkpoint_location = checkpoint_location or _default_checkpoint(spark, query_name)
+    checkpoint_location = checkpoint_location or _default_checkpoint(spark, query_name, out_dir)
     transformed = transform_requests(clean_requests(raw_stream, spelling=spelling, roles=roles), roles=roles)
     out_dir = out_dir.rstrip("/")
 

@@ -23,6 +23,12 @@ def test_cli_stages(spark, tmp_path):
     text = _run(spark, "analyze", out, "--only", "peak_hours")
     assert "Analysis 1: Requests per hour of day" in text and "10:00" in text
     assert text.count("Analysis ") == 1
+    assert _run(spark, "sql", out).count("Query ") == 11
+    script = tmp_path / "own.sql"
+    script.write_text("-- title: Closed ones\nSELECT count(*) AS closed FROM requests WHERE status = 'Closed';")
+    assert "Query 1: Closed ones" in _run(spark, "sql", out, str(script))
+    assert f"'good': {ROW_COUNT}" in _run(spark, "split", raw, str(tmp_path / "split"))
+    assert f"|{ROW_COUNT}" in _run(spark, "--infer", "ingest", raw).replace(" ", "")
 
 
 def test_cli_pipeline(spark, tmp_path):
