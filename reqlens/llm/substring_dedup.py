@@ -24,12 +24,14 @@ no count from elsewhere (its segments join under keys of their own), and of
 equal segments within a task only the first can be the first of all.  So a
 passage that a third of all documents share reaches any one key, and its
 shard, once per task.  Texts cross the network twice at most,
-zstd-compressed, partitioned by document; both uses share one exchange.
-
-Defined cases: a NULL text has no words; a text of fewer words than a window
-keeps them all; rows that share a doc_id are one document (the text whose
-compressed form sorts last stands); a NULL doc_id is an id of its own that sorts
-last.  Other columns are ignored.  An empty table gives an empty result.
+zstd-compressed, partitioned by row; all uses share one exchange.
+
+Defined cases: each row is a document of its own and gives one row.  Rows that
+share a doc_id, or have none (they sort last), stand in the order of the input, so
+of repeated rows the later ones lose their words.  The input is a stored table, or
+one that comes out in the same order each time it is read.  A NULL text has no words; a text of
+fewer words than a window keeps them all.  Other columns are ignored.  An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -71,7 +73,7 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3).compress
     for b in batches:
         texts = [pack(t) for t in b.column("text").cast(pa.binary()).fill_null(b"").to_pylist()]
-        yield pa.record_batch({"doc": b.column("doc").cast(pa.int64()), "z": pa.array(texts, pa.binary())})
+        yield pa.record_batch({"doc": b.column("doc"), "row": b.column("row"), "z": pa.array(texts, pa.binary())})
 
 
 def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,11 +137,12 @@ def _anchors(window: int, gram: int, n_shards: int):
             w = find_words(*text_bytes(b.column("text")))
             begin, count, anchor = segments(hash_words(w), w.text, window, gram)
             of = w.text[begin]
-            docs = b.column("doc").to_numpy(zero_copy_only=False)
+            docs, rows = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "row"))
             found.append(
                 {
                     "anchor": anchor.view(np.int64),
                     "doc": docs[of].astype(np.int64),
+                    "row": rows[of].astype(np.int64),
                     "start": (begin - w.first[of]).astype(np.int32),
                     "n": count.astype(np.int32),
                     "shard": (anchor % np.uint64(n_shards)).astype(np.int32),
@@ -161,24 +164,24 @@ class _Outbox:
     def __init__(self, n_shards: int):
         self.n_shards, self.rows, self.spans, self.held, self.turn = n_shards, {}, [], 0, 0
 
-    def add(self, shard: int, doc: int, start: int, words: bytes) -> None:
-        self.rows.setdefault(shard, []).append((doc, start, words))
+    def add(self, shard: int, of: tuple[int, int], start: int, words: bytes) -> None:
+        self.rows.setdefault(shard, []).append((*of, start, words))
         self.held += len(words) + 16
 
     def flush(self) -> pa.RecordBatch:
         pack = zstandard.ZstdCompressor(level=3).compress
         out = {"shard": [], "ids": [], "starts": [], "words": []}
         for shard, rows in self.rows.items():
-            docs, starts, words = zip(*rows, strict=True)
+            docs, of, starts, words = zip(*rows, strict=True)
             out["shard"].append(shard)
-            out["ids"].append(pack(np.array(docs, np.int64).tobytes()))
+            out["ids"].append(pack(np.array([docs, of], np.int64).tobytes()))
             out["starts"].append(pack(np.array(starts, np.int32).tobytes()))
             out["words"].append(pack(b"\n".join(words)))
         for lo in range(0, len(self.spans), 4096):  # settled here: they only pass through, dealt out evenly
-            docs, starts, ends = zip(*self.spans[lo : lo + 4096], strict=True)
+            docs, of, starts, ends = zip(*self.spans[lo : lo + 4096], strict=True)
             self.turn += 1
             out["shard"].append((docs[0] + self.turn) % self.n_shards)
-            out["ids"].append(pack(np.array(docs, np.int64).tobytes()))
+            out["ids"].append(pack(np.array([docs, of], np.int64).tobytes()))
             out["starts"].append(pack(np.array([starts, ends], np.int32).tobytes()))
             out["words"].append(None)
         self.rows, self.spans, self.held = {}, [], 0
@@ -195,10 +198,11 @@ def _extract(window: int, n_shards: int):
             marks = b.column("marks")
             bounds = marks.offsets.to_pylist()
             begins, counts, shards = (marks.values.field(k).to_pylist() for k in ("start", "n", "shard"))
-            for i, (doc, text) in enumerate(zip(b.column("doc").to_pylist(), b.column("text").to_pylist(), strict=True)):
-                if last is not None and doc < last:
+            for i, (*of, text) in enumerate(zip(*(b.column(c).to_pylist() for c in ("doc", "row", "text")), strict=True)):
+                of = tuple(of)
+                if last is not None and of < last:
                     seen = set()  # what was seen must come earlier in document order
-                last = doc
+                last = of
                 words = text.split()
                 joined = b" ".join(words)
                 at = list(accumulate([len(x) + 1 for x in words], initial=0))
@@ -210,15 +214,15 @@ def _extract(window: int, n_shards: int):
                     key = xxhash.xxh3_128_digest(part)
                     if key not in seen:
                         seen.add(key)
-                        box.add(shards[j], doc, start, part)
+                        box.add(shards[j], of, start, part)
                     elif start <= hi:
                         hi = to
                     else:
                         if hi > lo:
-                            box.spans.append((doc, lo, hi))
+                            box.spans.append((*of, lo, hi))
                         lo, hi = start, to
                 if hi > lo:
-                    box.spans.append((doc, lo, hi))
+                    box.spans.append((*of, lo, hi))
             if box.held + 40 * len(box.spans) >= HELD_BYTES:
                 yield box.flush()
         yield box.flush()
@@ -292,16 +296,15 @@ def repeated_passages(ids: np.ndarray, rank: np.ndarray, n_words: int, window: i
 
 
 def _locate(window: int):
-    def spans(docs, starts, ends):
-        return pa.table(
-            {"doc": pa.array(docs, pa.int64()), "start": pa.array(starts, pa.int32()), "end": pa.array(ends, pa.int32())}
-        )
+    def spans(ids, starts, ends):
+        own = {"doc": pa.array(ids[0], pa.int64()), "row": pa.array(ids[1], pa.int64())}
+        return pa.table({**own, "start": pa.array(starts, pa.int32()), "end": pa.array(ends, pa.int32())})
 
     def run(table: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor().decompress
         out, docs, starts, texts = [], [], [], []
         for ids, at, words in zip(*(table.column(c).to_pylist() for c in ("ids", "starts", "words")), strict=True):
-            ids, at = np.frombuffer(unpack(ids), np.int64), np.frombuffer(unpack(at), np.int32)
+            ids, at = np.frombuffer(unpack(ids), np.int64).reshape(2, -1), np.frombuffer(unpack(at), np.int32)
             if words is None:
                 out.append(spans(ids, *at.reshape(2, -1)))
             else:
@@ -309,10 +312,10 @@ def _locate(window: int):
                 starts.append(at)
                 texts += unpack(words).split(b"\n")
         if texts:
-            docs, starts = np.concatenate(docs), np.concatenate(starts)
+            docs, starts = np.concatenate(docs, axis=1), np.concatenate(starts)
             number: dict[bytes, int] = {}
             ids, counts = [], []
-            order = np.lexsort((starts, docs))
+            order = np.lexsort((starts, docs[1], docs[0]))
             for r in order.tolist():
                 words = texts[r].split(b" ")
                 ids += [number.setdefault(x, len(number) + 1) for x in words]
@@ -323,8 +326,8 @@ def _locate(window: int):
             late, count = repeated_passages(np.array(ids, np.int64), rank, len(number), window)
             r = order[rank[late]]
             at = starts[r] + (late - begin[rank[late]])
-            out.append(spans(docs[r], at, at + count + window - 1))
-        return pa.concat_tables(out) if out else spans([], [], [])
+            out.append(spans(docs[:, r], at, at + count + window - 1))
+        return pa.concat_tables(out) if out else spans(([], []), [], [])
 
     return run
 
@@ -352,7 +355,7 @@ def _remove(batches):
         spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         yield pa.record_batch(
             {
-                "doc": b.column("doc").cast(pa.int64()),
+                "doc": b.column("doc"),
                 "n_words": pa.array(out["n_words"], pa.int64()),
                 "n_removed": pa.array(out["n_removed"], pa.int64()),
                 "removed": pa.array(out["removed"], spans_type),
@@ -368,24 +371,26 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_sh
     automata the recurring passages are dealt to.
     """
     shards = n_shards or 4 * shuffle_partitions(docs.sparkSession)
-    keyed = documents(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
-    texts = keyed.mapInArrow(_packed, "doc long, z binary").groupBy("doc").agg(F.max("z").alias("z"))
-    found = texts.mapInArrow(_anchors(window, gram, shards), "anchor long, doc long, start int, n int, shard int, times int")
+    # a row's key is its doc_id and its place in the input: rows that share an id, or have none, stay apart
+    keyed = documents(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.monotonically_increasing_id().alias("row"), "text")
+    texts = keyed.mapInArrow(_packed, "doc long, row long, z binary").repartition("doc", "row")
+    found = texts.mapInArrow(_anchors(window, gram, shards), "anchor long, doc long, row long, start int, n int, shard int, times int")
     recurring = found.where("times > 0").groupBy("anchor").agg(F.sum("times").alias("total")).where("total > 1")
     # segments whose anchor recurs within their task are settled; the join decides on the others
     settled = F.col("times") != 1
-    asked = found.withColumn("key", F.when(settled, F.xxhash64("doc", "start")).otherwise(F.col("anchor"))).withColumn("settled", settled)
+    spread = F.xxhash64("doc", "row", "start")
+    asked = found.withColumn("key", F.when(settled, spread).otherwise(F.col("anchor"))).withColumn("settled", settled)
     marks = (
-        asked.select("key", "doc", "start", "n", "shard", "settled")
+        asked.select("key", "doc", "row", "start", "n", "shard", "settled")
         .join(recurring.select(F.col("anchor").alias("key"), F.lit(True).alias("again")), "key", "left")
         .where("settled OR again")
-        .groupBy("doc")
+        .groupBy("doc", "row")
         .agg(F.sort_array(F.collect_list(F.struct("start", "n", "shard"))).alias("marks"))
     )
-    routed = texts.join(marks, "doc").mapInArrow(_extract(window, shards), "shard int, ids binary, starts binary, words binary")
-    spans = routed.groupBy("shard").applyInArrow(_locate(window), "doc long, start int, end int")
-    removed = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("removed"))
-    kept = texts.join(removed, "doc", "left").mapInArrow(
+    routed = texts.join(marks, ["doc", "row"]).mapInArrow(_extract(window, shards), "shard int, ids binary, starts binary, words binary")
+    spans = routed.groupBy("shard").applyInArrow(_locate(window), "doc long, row long, start int, end int")
+    removed = spans.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "end")).alias("removed"))
+    kept = texts.join(removed, ["doc", "row"], "left").mapInArrow(
         _remove, "doc long, n_words long, n_removed long, removed array<struct<start:int,end:int>>, kept_text string"
     )
     return kept.select(

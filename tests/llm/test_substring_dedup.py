@@ -49,17 +49,46 @@ def test_matches_brute_force(spark, seed):
     check(spark, rows, 6, 3, clashes=True)
 
 
+def brute_rows(rows, window):
+    """(doc_id, n_words, kept words) of every row; rows that share an id, or have none, in their order."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
+    seen, out = set(), []
+    for i in order:
+        words = (rows[i][1] or "").encode().split()
+        covered = [False] * len(words)
+        for at in range(len(words) - window + 1):
+            key = tuple(words[at : at + window])
+            if key in seen:
+                covered[at : at + window] = [True] * window
+            seen.add(key)
+        out.append((rows[i][0], len(words), b" ".join(w for w, c in zip(words, covered, strict=True) if not c).decode()))
+    return sorted(out, key=repr)
+
+
+def removed(spark, rows, window=20):
+    full = [(*r, *[None] * (5 - len(r))) for r in rows]
+    got = S.remove_repeats(documents(spark, full, clashes=True), window).collect()
+    return sorted(((r.doc_id, r.n_words, r.kept_text) for r in got), key=repr)
+
+
 def test_awkward_rows(spark):
     rows = awkward_rows()
-    got = S.remove_repeats(documents(spark, rows, clashes=True), 20).collect()
-    assert sorted(r.doc_id for r in got if r.doc_id is not None) == [1, 2, 3, 4, 5, 6, 7, 8, 9]
-    by = {r.doc_id: r for r in got}
-    assert by[1].n_removed == 0 and by[2].n_removed == by[2].n_words == 80
-    assert by[None].n_removed == 80  # no id sorts last
-    assert by[3].n_words == by[4].n_words == by[5].n_words == 0 and by[3].kept_text == ""
+    got = removed(spark, rows)
+    assert len(got) == len(rows) and got == brute_rows(rows, 20)
     assert S.remove_repeats(documents(spark, [])).count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none_stay_apart(spark):
+    vocab = vocabulary(200)
+    one, two = texts(2, 60, vocab, 3)
+    one, two = one + " " + " ".join(vocab[:30]), two + " " + " ".join(vocab[:30])
+    rows = [(1, one), (1, two), (None, two), (None, one), (2, "short"), (2, "short"), (None, None), (None, "short")]
+    assert removed(spark, rows) == brute_rows(rows, 20)
+    many = [(None, t) for t in texts(40, 80, vocab, 9)] + [(7, t) for t in texts(40, 80, vocab, 9)]  # an id on half of the rows
+    many += [(None, " ".join(vocab[:30]))] * 20
+    assert removed(spark, many) == brute_rows(many, 20)
+
+
 def test_local_settlement_needs_document_order():
     """Equal segments in one task: all but the first are spans, unless documents come out of order."""
     found = [{"anchor": np.array([5, 5, 7]), "doc": np.array([1, 2, 2]), "start": np.zeros(3, np.int32), "n": np.ones(3, np.int32), "shard": np.zeros(3, np.int32)}]
