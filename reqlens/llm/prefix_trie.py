@@ -162,17 +162,17 @@ def rollup(nodes: DataFrame, columns: list[str], band: int, depth: int) -> DataF
     heads = nodes.where((level == 0) & (F.col("depth") > 0)).select("key", "depth", "above")
     # staged: every round reads the roots, the last step all of them
     roots = staged(heads.join(local, "key"))
-    whole = None  # completed roots of the bands from the deepest up
+    whole, last = None, None  # completed roots of all bands so far, from the deepest up, and of the last one
     for number in range(depth // band, 0, -1):
         here = roots.where(F.col("depth") == number * band)
-        if whole is not None:
-            below = _summed(whole.where(F.col("depth") == (number + 1) * band).select(F.get("above", F.lit(band - 1)).alias("to"), *columns), columns, "to")
+        if last is not None:
+            below = _summed(last.select(F.get("above", F.lit(band - 1)).alias("to"), *columns), columns, "to")
             added = below.select("key", *[F.col(c).alias(f"_{c}") for c in columns])
             here = here.join(added, "key", "left").select(
                 "key", "depth", "above", *[(F.col(c) + F.coalesce(F.col(f"_{c}"), F.lit(0))).alias(c) for c in columns]
             )
-        done = staged(here)
-        whole = done if whole is None else whole.unionByName(done)
+        last = staged(here)
+        whole = last if whole is None else whole.unionByName(last)
     if whole is None:
         return local
     across = whole.select(F.explode("above").alias("to"), *columns)
