@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from reqlens.llm import chat_format as C
 from reqlens.llm import decontamination as D
 from reqlens.llm import mixing as M
@@ -150,17 +152,31 @@ def _uuid(*parts: str) -> str:
     )
 
 
+# every named reference with its semicolon, from the language's own table
+_NAMED = ", ".join(f"'&{k}': '{v.replace(chr(39), chr(39) * 2)}'" for k, v in html5.items() if k.endswith(";"))
+
+
+def _decoded(text: str) -> str:
+    """Named and numeric character references, each looked up by itself."""
+    one = """CASE WHEN x[1] <> '&' OR len(x) < 3 THEN x
+      WHEN regexp_full_match(x, '&#[0-9]+;') THEN chr(CAST(x[3:-2] AS INTEGER))
+      WHEN regexp_full_match(x, '&#[xX][0-9a-fA-F]+;') THEN chr(CAST('0x' || x[4:-2] AS INTEGER))
+      ELSE coalesce(named[x], x) END"""
+    parts = f"regexp_extract_all({text}, '&[#0-9A-Za-z]+;|&|[^&]+')"
+    return f"replace(array_to_string(list_transform({parts}, lambda x: {one}), ''), chr(160), ' ')"
+
+
 def _plain(html: str) -> str:
-    text = f"regexp_replace({html}, '(?s)<!--.*?-->', ' ', 'g')"
+    text = f"regexp_replace({html}, '(?s)<!--.*?(-->|\\z)', ' ', 'g')"
+    for tag in A.RAW_TEXT:
+        text = f"regexp_replace({text}, '(?is)<{tag}(\\s[^>]*)?>.*?(</{tag}\\s*>|\\z)', ' ', 'g')"
     for tag in A.HIDDEN:
         text = f"regexp_replace({text}, '(?is)<{tag}(\\s[^>]*)?>.*?</{tag}\\s*>', ' ', 'g')"
     text = f"regexp_replace({text}, '[ \\t\\r\\n\\f]+', ' ', 'g')"
     text = f"regexp_replace({text}, '(?i)</?({A.BREAKING})(\\s[^>]*)?/?>', chr(10), 'g')"
-    text = f"regexp_replace({text}, '<[!/?A-Za-z][^>]*>', '', 'g')"
-    for entity, char in A.ENTITIES.items():
-        text = f"replace({text}, '{entity}', chr({ord(char)}))"
-    text = f"regexp_replace({text}, ' *\\n[ \\n]*', chr(10), 'g')"
-    return f"regexp_replace(regexp_replace({text}, ' +', ' ', 'g'), '^[ \\n]+|[ \\n]+$', '', 'g')"
+    text = _decoded(f"regexp_replace({text}, '<[!/?A-Za-z][^>]*>', '', 'g')")
+    text = f"regexp_replace({text}, '[ \\t\\r\\f]*\\n[ \\t\\r\\n\\f]*', chr(10), 'g')"
+    return f"regexp_replace(regexp_replace({text}, '[ \\t\\r\\f]+', ' ', 'g'), '^[ \\n]+|[ \\n]+$', '', 'g')"
 
 
 def _fields(**fields: str) -> str:
@@ -172,10 +188,10 @@ def _fields(**fields: str) -> str:
 
 
 WARC_DERIVATIVES = f"""
-WITH p AS (SELECT *, chr(13) || chr(10) AS crlf, coalesce(html, '') AS h FROM pages),
+WITH p AS (SELECT *, chr(13) || chr(10) AS crlf, coalesce(html, '') AS h, MAP {{{_NAMED}}} AS named FROM pages),
 r AS (SELECT page_id, crlf, h, {_uuid("'response'", "CAST(page_id AS VARCHAR)", "coalesce(url, '')")} AS refers_to, url AS target_uri,
              'sha1:' || sha1(h) AS payload_digest, CAST(strlen(h) AS BIGINT) AS payload_length, {_plain("h")} AS text,
-             nullif(regexp_extract(h, '(?is)<title[^>]*>\\s*(.*?)\\s*</title', 1), '') AS title,
+             nullif({_decoded("regexp_extract(h, '(?is)<title[^>]*>\\s*(.*?)\\s*</title', 1)")}, '') AS title,
              nullif(regexp_extract(h, '(?i)<html[^>]*\\slang=["'']?([A-Za-z-]+)', 1), '') AS language,
              len(regexp_extract_all(h, '(?i)<a\\s[^>]*href=')) AS links FROM p),
 m AS (SELECT *, {_fields(title="title", language="language", outlinks="links", http_status="'200'", content_type="'text/html'", source_payload_length="payload_length", text_characters="len(text)")}

@@ -3,7 +3,7 @@
 For every response record the builder makes two more:
 
 * ``conversion``: the plain text of an HTML payload (scripts, styles, comments and
-  tags dropped, blocks on lines of their own, common entities decoded);
+  tags dropped, blocks on lines of their own, character references decoded);
 * ``metadata``: title, language and counts as ``application/warc-fields``, with the
   source's headers.
 
@@ -11,7 +11,9 @@ Both carry the response's target and date, ``WARC-Refers-To`` its record id,
 ``WARC-Refers-To-Target-URI`` and ``-Date``, a block digest, and the payload
 digest of their source; the metadata record repeats the source's HTTP
 headers.  Record ids are derived from the response's id, so a rerun writes the
-same ones.  All of it is row by row in DataFrame functions, with no shuffle.
+same ones.  All of it is row by row, with no shuffle: DataFrame functions, and HTML's own rules for
+character references (all named ones, decimal and hexadecimal numbers, also without their semicolon
+where HTML allows it) in a Pandas function.
 
 Defined cases: a NULL payload is an empty one (its digest is that of no
 bytes); a NULL record id or target is left out of the headers; records that share
@@ -22,8 +24,12 @@ empty result.
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from reqlens.llm.common import load
 
@@ -32,29 +38,38 @@ VERSION = "WARC/1.1"
 #: The date of records whose source has none.
 NO_DATE = "1970-01-01T00:00:00Z"
 
-# Markup whose content isn't text, tags that end a line, and the entities that are decoded.
-HIDDEN = ("script", "style", "noscript", "template", "head")
+# Markup whose content isn't text (left open, the first two hide all that follows), and tags that end a line.
+RAW_TEXT = ("script", "style")
+HIDDEN = ("noscript", "template", "head")
 BREAKING = "br|p|div|li|ul|ol|tr|table|section|article|header|footer|nav|aside|main|h[1-6]|blockquote|pre|dt|dd|dl|hr|form|figure"
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
 
 
-def plain_text(html: Column) -> Column:
-    """Text of an HTML payload: one line per block, single spaces."""
-    text = F.coalesce(html, F.lit(""))
-    text = F.regexp_replace(text, "(?s)<!--.*?-->", " ")
+@F.pandas_udf(StringType())
+def decoded(text: pd.Series) -> pd.Series:
+    """Character references as HTML reads them; a no-break space becomes a space."""
+    return text.map(lambda t: html.unescape(t).replace("\xa0", " ") if t and "&" in t else t)
+
+
+def _bare(payload: Column) -> Column:
+    """An HTML payload without markup, one line per block."""
+    text = F.coalesce(payload, F.lit(""))
+    text = F.regexp_replace(text, r"(?s)<!--.*?(?:-->|\z)", " ")
+    text = F.regexp_replace(text, rf"(?is)<({'|'.join(RAW_TEXT)})(?:\s[^>]*)?>.*?(?:</\1\s*>|\z)", " ")
     for tag in HIDDEN:
         text = F.regexp_replace(text, f"(?is)<{tag}(\\s[^>]*)?>.*?</{tag}\\s*>", " ")
     text = F.regexp_replace(text, "[ \\t\\r\\n\\f]+", " ")
     text = F.regexp_replace(text, f"(?i)</?({BREAKING})(\\s[^>]*)?/?>", "\n")
-    text = F.regexp_replace(text, "<[!/?A-Za-z][^>]*>", "")
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    text = F.regexp_replace(text, " *\n[ \n]*", "\n")
-    return F.regexp_replace(F.regexp_replace(text, " +", " "), "^[ \n]+|[ \n]+$", "")
+    return F.regexp_replace(text, "<[!/?A-Za-z][^>]*>", "")
+
+
+def plain_text(payload: Column) -> Column:
+    """Text of an HTML payload: one line per block, single spaces."""
+    text = F.regexp_replace(decoded(_bare(payload)), "[ \t\r\f]*\n[ \t\r\n\f]*", "\n")
+    return F.regexp_replace(F.regexp_replace(text, "[ \t\r\f]+", " "), "^[ \n]+|[ \n]+$", "")
 
 
-def _first(html: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(F.coalesce(html, F.lit("")), pattern, 1), F.lit(""))
+def _first(payload: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(F.coalesce(payload, F.lit("")), pattern, 1), F.lit(""))
 
 
 def record_id(*parts: Column) -> Column:
@@ -81,8 +96,7 @@ def _lines(**fields: Column) -> Column:
 
 def responses_of_pages(pages: DataFrame) -> DataFrame:
     """Response records (record_id, target_uri, date, http_headers, payload) of a page table (page_id, url, html)."""
-    html = F.coalesce(pages["html"].cast("string"), F.lit(""))
-    length = F.octet_length(html).cast("string")
+    length = F.octet_length(F.coalesce(pages["html"].cast("string"), F.lit(""))).cast("string")
     return pages.select(
         F.when(pages["page_id"].isNotNull(), record_id(F.lit("response"), pages["page_id"].cast("string"), F.coalesce(pages["url"], F.lit("")))).alias("record_id"),
         pages["url"].cast("string").alias("target_uri"),
@@ -103,7 +117,7 @@ def derivatives(responses: DataFrame, *carry: str) -> DataFrame:
         digest(F.col("payload")).alias("payload_digest"),
         F.octet_length(F.coalesce("payload", F.lit(""))).cast("long").alias("payload_length"),
         plain_text(F.col("payload")).alias("text"),
-        _first(F.col("payload"), "(?is)<title[^>]*>\\s*(.*?)\\s*</title").alias("title"),
+        decoded(_first(F.col("payload"), "(?is)<title[^>]*>\\s*(.*?)\\s*</title")).alias("title"),
         _first(F.col("payload"), "(?i)<html[^>]*\\slang=[\"']?([A-Za-z-]+)").alias("language"),
         F.size(F.regexp_extract_all(F.coalesce("payload", F.lit("")), F.lit("(?i)<a\\s[^>]*href="), F.lit(0))).cast("long").alias("links"),
     )

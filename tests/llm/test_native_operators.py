@@ -280,10 +280,37 @@ def test_warc_round_trip(spark, tmp_path):
     assert len({f["WARC-Refers-To"] for f in linked}) == 1 and len({f["WARC-Record-ID"] for f in linked}) == 2
     assert all(f["WARC-Source-Payload-Digest"] == "sha1:" + hashlib.sha1(b"").hexdigest() for f in linked)
     facts = next(b for f, b in records if f["WARC-Type"] == "metadata" and b"title" in b).decode()
-    assert "title: A &amp; B\r\n" in facts and "language: fr\r\n" in facts and "source-header: HTTP/1.1 200 OK\r\n" in facts
+    assert "title: A & B\r\n" in facts and "language: fr\r\n" in facts and "source-header: HTTP/1.1 200 OK\r\n" in facts
     assert W.derivatives(W.responses_of_pages(pages(spark, [(1, "u", "x")]).limit(0))).count() == 0
 
 
+def test_conversion_text(spark):
+    long = "<p>" + "é&mdash;x " * 60_000 + "</p>"
+    cases = {
+        "&copy;&middot;&eacute;&#8217;&#xE9;&#x1F600;&nbsp;end": "\u00a9\u00b7\u00e9\u2019\u00e9\U0001f600 end",
+        "&copy 2024 &amp;copy; &unknown; &; & &#; a&b": "\u00a9 2024 &copy; &unknown; &; & &#; a&b",
+        "&lt;b&gt;not a tag&lt;/b&gt;": "<b>not a tag</b>",
+        "a<script>if (x < 1) {</script >b<style>p{</style>c": "a b c",
+        "a<script>never closed <p>b</p>": "a",
+        "a<!-- never closed <p>b</p>": "a",
+        "a<!-- one --> b <!-- two -->c": "a b c",
+        "a&#10;b&#9;c": "a\nb c",
+        "<head><title>t</title><script>'</head>'</script></head><body>x</body>": "x",
+        long: " ".join(["\u00e9\u2014x"] * 60_000),
+    }
+    got = spark.createDataFrame([(k,) for k in cases], "h string").select("h", W.plain_text(F.col("h")).alias("t")).collect()
+    assert {r.h: r.t for r in got} == cases
+
+
+def test_no_known_reference_is_left_in_any_conversion(spark):
+    from html.entities import html5
+
+    got = QUERIES["op5_warc_derivatives"](spark, SF01).where("record_type = 'conversion'").select("page_id", "block").collect()
+    payloads = {r.page_id: r.html for r in spark.read.parquet(f"{SF01}/pages.parquet").collect()}
+    left = [r.page_id for r in got if any(x in html5 and f"&amp;{x}" not in payloads[r.page_id] for x in re.findall(r"&(\w+;)", r.block))]
+    assert len(got) == len(payloads) and not left
+
+
 def test_folds_are_crc32(spark):
     from reqlens.llm.common import fold
 
