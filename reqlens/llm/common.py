@@ -13,9 +13,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from reqlens.session import shared_folder
+
 #: Bytes of text handled at once in a task (a longer document is handled alone).
 CHUNK_BYTES = 4 << 20
 
@@ -149,15 +151,9 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[ \t-\r]+"), "")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share: spark.checkpoint.dir, or one under the warehouse where unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return where or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-
-
 def staged(df: DataFrame, *partition_by: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: cuts the lineage, outlives any executor."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -169,19 +165,33 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def bounded_sample(rows: DataFrame, by: str, most: int, seed: int = 42, classes: int = 1000) -> DataFrame:
-    """About ``most`` rows of each value of ``by``, or all it has: chosen by a hash of doc_id, the same on each run.
+def bounded_sample(rows: DataFrame, by: str, most: int, seed: int = 42) -> DataFrame:
+    """``most`` distinct rows of each value of ``by``, or all it has, the same on each run.
+
+    ``rows`` (doc_id, text, ``by`` and others) are drawn by a hash of doc_id and text, so ids may repeat or be NULL;
+    a row that repeats counts once.  One slim pass finds each value's highest hash that still belongs; a task sends
+    at most ``most`` hashes of a value, and the few rows below are read with their texts.
+    """
+    keyed = rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", F.coalesce("text", F.lit(""))))
+    place = F.row_number().over(Window.partitionBy(by).orderBy("_h"))
+    drawn = keyed.select(by, "_h").distinct().withColumn("_at", place).where(F.col("_at") <= most)
+    # staged, so that Spark knows its size: a row per value, joined as that allows
+    cuts = staged(drawn.groupBy(by).agg(F.max("_h").alias("_cut")))
+    return keyed.join(cuts, by).where("_h <= _cut").dropDuplicates([by, "_h"]).drop("_h", "_cut")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, seed: int = 42) -> DataFrame:
+    """doc_id, text, label of ``most`` distinct documents of each label (0 and 1), or all there are.
 
-    The values' counts reach the driver: over ``classes`` values are refused.
+    Of several labels of one id the larger holds; an id that documents share labels each of their texts; NULL ids have none.
     """
-    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).limit(classes + 1).collect()
-    if len(counts) > classes:
-        raise ValueError(f"{by} has over {classes} values")
-    dealt = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = F.lit(False)
-    for r in counts:
-        chosen = chosen | (F.col(by).eqNullSafe(F.lit(r[by])) & (dealt < most / r["n"]))
-    return rows.where(chosen)
+    known = labels.where("label IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label"))
+    keyed = documents(docs).withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", F.coalesce("text", F.lit(""))))
+    place = F.row_number().over(Window.partitionBy("label").orderBy("_h", "doc_id"))
+    drawn = keyed.select("doc_id", "_h").distinct().join(known, "doc_id").withColumn("_at", place).where(F.col("_at") <= most)
+    chosen = staged(drawn.select("doc_id", "_h", "label"))
+    # bounded: 2 x most rows
+    return keyed.join(F.broadcast(chosen), ["doc_id", "_h"]).dropDuplicates(["doc_id", "_h"]).select("doc_id", "text", "label")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqlens.llm.common import Words, bounded_sample, chunks, documents, find_words, fold, hash_words, lists, load, mix, text_bytes
+from reqlens.llm.common import Words, chunks, documents, find_words, fold, hash_words, labelled_sample, lists, load, mix, text_bytes
 
 WORDS = 8192
 SHAPES = 3 * 4 * 2 * 2 * 4
@@ -182,11 +182,8 @@ def _pool(vectors: np.ndarray):
 
 
 def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, per_label: int = PER_LABEL) -> Network | None:
-    """A network from labelled documents: labels (doc_id, label of 0 or 1), at most about ``per_label`` of each."""
-    sample = bounded_sample(labels.where("label IN (0, 1)").select("doc_id", F.col("label").cast("int").alias("label")), "label", per_label)
-    rows = documents(docs).join(F.broadcast(sample), "doc_id").mapInArrow(  # bounded: 2 x per_label
-        _pool(vectors), "doc_id long, label int, x array<float>"
-    ).collect()
+    """A network from labelled documents: labels (doc_id, label of 0 or 1), at most ``per_label`` of each."""
+    rows = labelled_sample(docs, labels, per_label).mapInArrow(_pool(vectors), "doc_id long, label int, x array<float>").collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, r.x))
     return train_network(np.array([r.x for r in rows]).reshape(-1, 2 * DIMS), np.array([r.label for r in rows]))
 

@@ -9,7 +9,7 @@
    it is itself the name that a value follows.
 3. **Forest.**  ``RandomForestClassifier`` of Spark ML, trained from labelled findings.
    :func:`labelled_findings` makes such a table from documents: known secret and
-   harmless formats, drawn from a hash of doc_id and set between words of that
+   harmless formats, drawn from a hash of doc_id and text and set between words of that
    document.  A table of reviewed findings with the same columns can be used instead
    (without ``lead`` and ``tail``, they are taken from around the value's first place).
 
@@ -26,9 +26,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqlens.llm.common import documents, load, staged, word_array
+from reqlens.llm.common import bounded_sample, documents, load, staged, word_array
 
-#: Documents that lend their words to labelled findings, at most about so many.
+#: Documents that lend their words to labelled findings, at most.
 FINDING_DOCS = 1500
 TREES = 40
 DEPTH = 8
@@ -140,13 +140,11 @@ def with_features(found: DataFrame) -> DataFrame:
 
 
 def labelled_findings(docs: DataFrame, most_docs: int = FINDING_DOCS) -> DataFrame:
-    """word, before, after, lead, tail, value, label: secrets (1) and harmless look-alikes (0) between words of about ``most_docs`` documents."""
-    rows = documents(docs).where("text IS NOT NULL")
-    share = most_docs / max(rows.count(), 1)
-    chosen = rows.where(F.pmod(F.xxhash64(F.lit("findings"), "doc_id"), F.lit(1 << 30)) < share * (1 << 30)).distinct()
-    worded = chosen.select("doc_id", F.explode(F.array(word_array(F.col("text")))).alias("words")).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "words"
-    )
+    """word, before, after, lead, tail, value, label: secrets (1) and harmless look-alikes (0) between words of ``most_docs`` documents."""
+    rows = documents(docs).where("text IS NOT NULL").withColumn("every", F.lit(0))
+    chosen = bounded_sample(rows, "every", most_docs)
+    # what is drawn hangs on id and text, as ids may repeat or be missing
+    worded = chosen.select(F.xxhash64("doc_id", "text").cast("string").alias("id"), F.explode(F.array(word_array(F.col("text")))).alias("words"))
     h = lambda salt: F.sha2(F.concat(F.lit(f"{salt}:"), F.col("id")), 256)
     b64 = lambda salt: F.regexp_replace(F.base64(F.unhex(h(salt))), "[+/=]", "x")
     upper = lambda salt: F.translate(F.upper(b64(salt)), "0189", "GHJK")
@@ -256,9 +254,9 @@ def scan(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def redacted(docs: DataFrame, found: DataFrame, mask: str = MASK) -> DataFrame:
-    """``docs`` with each secret of their doc_id masked in the text."""
-    values = found.where("is_secret").groupBy("doc_id").agg(F.sort_array(F.collect_set("value"), asc=False).alias("_values"))
-    joined = docs.join(values, "doc_id", "left")
+    """``docs`` with each secret found under their doc_id (also under none) masked in the text."""
+    values = found.where("is_secret").groupBy(F.col("doc_id").alias("_of")).agg(F.sort_array(F.collect_set("value"), asc=False).alias("_values"))
+    joined = docs.join(values, docs["doc_id"].eqNullSafe(values["_of"]), "left")
     text = F.when(
         F.col("_values").isNotNull(), F.aggregate("_values", F.col("text"), lambda t, v: F.replace(t, v, F.lit(mask)))
     ).otherwise(F.col("text"))

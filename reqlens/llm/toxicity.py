@@ -1,33 +1,38 @@
 """Toxicity: a subsequence string kernel, Nyström features and a support vector machine.
 
-*Kernel.*  A word is its letters (accents and marks inside it dropped, case
-ignored); a run of three or more single letters also counts as the word it
+*Kernel.*  A word is its letters (case ignored, accents dropped; letters of other scripts
+stand for themselves); a run of three or more single letters also counts as the word it
 spells.  Two words are compared by the subsequences of three letters that they
 share, letters up to ``SPAN`` places apart, each weighted ``DECAY`` to the power
 of its span, and the product is normalised.  A word with inserted letters keeps
 most of its subsequences and so stays near the word that it hides.
 
-*Landmarks.*  Words of labelled documents: those most typical of toxic ones, and
-the most frequent ones of the others.  A sentence is, for each landmark, the
+*Landmarks.*  Words of labelled documents: those typical of toxic ones, and the most frequent
+ones of the others.  A word is typical if it comes up in toxic documents more often than
+chance allows, among all words tested (false discovery rate ``FALSE_DISCOVERY``): a few
+accidental words of a few documents teach nothing.  A sentence is, for each landmark, the
 kernel value of its closest word; the inverse root of the landmarks' own kernel
 matrix turns that into Nyström features.
 
-*Training* on sentences: all of the sentences of documents that aren't toxic are
-negative; of a toxic document the sentence that scores highest is positive, and
-chosen again after each fit.  Positive sentences are added with their landmark
-spelled with inserted letters.  A document scores as its worst sentence, through
-a logistic curve fitted on the training documents.
+*Training* on sentences: of a document that isn't toxic the ``SENTENCES`` nearest to a typical
+landmark are negative (the others lie further from the plane); of a toxic document the sentence
+that scores highest is positive, and chosen again after each fit.  Positive sentences are added
+with their landmark spelled with inserted letters.  A document scores as its worst sentence, through
+a logistic curve whose slope and offset are fitted on documents that the machine did not see (each half
+by a machine trained on the other), weighing labels as often as they come up among all that are labelled, and
+toxic ones ``MISS_COST`` times.
 
-About ``per_label`` documents of each label are fitted on; all texts are scored whole.
+At most ``per_label`` documents of each label are fitted on; all texts are scored whole.
 
 Defined cases: an empty or NULL text has no sentence and scores as one without
-any landmark; NULL labels teach nothing; without both labels every score is 0.5;
+any landmark; NULL labels teach nothing; without both labels, or without any typical word, every score is 0.5;
 each row is judged alone; other columns are ignored; an empty table gives an
 empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -37,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqlens.llm.common import bounded_sample, chunks, documents, find_words, fold, lists, load, mix, powers, text_bytes
+from reqlens.llm.common import chunks, documents, find_words, fold, labelled_sample, lists, load, mix, powers, staged, text_bytes
 
 SPAN = 5
 DECAY = 0.7
@@ -45,31 +50,36 @@ DECAY = 0.7
 POWER = 3
 TYPICAL = 80
 FREQUENT = 24
-#: Times as many toxic as other documents have a typical word, at least.
-LIFT = 5
+#: Of the words taken for typical, the share that may be so by accident.
+FALSE_DISCOVERY = 0.01
 PER_LABEL = 2000
-#: Sentences that a training document can give: those nearest to a typical landmark.
+#: A toxic document missed costs as much as so many others taken for toxic: what a score of one half means.
+MISS_COST = 4
+#: Sentences that a training document gives at most: those nearest to a typical landmark.
 SENTENCES = 8
-#: Texts' bytes handled at once: a kernel matrix has a row per distinct word.
+#: Texts' bytes handled at once, and words whose kernel values a task remembers.
 BYTES = 2 << 20
+REMEMBERED = 1 << 17
 
-#: Letters a-z are 1 to 26, digits 27, other letters 28; marks and accents (after decomposition) are dropped.
+#: Letters a-z are 1 to 26, digits 27, other letters ``OTHER`` and their code point; marks (after decomposition) are dropped.
 #: The kernel also sees where a word begins (29) and ends (30).
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[0x61:0x7B] = _SYMBOL[0x41:0x5B] = np.arange(1, 27)
 _SYMBOL[0x30:0x3A] = 27
-_SYMBOL[0xC0:] = 28
-_SYMBOL[0xCC:0xCE] = 0
-BEGIN, END = 29, 30
+BEGIN, END, OTHER = 29, 30, 32
+MARKS = (0x300, 0x370)
+#: Codes of three letters: exact ones of the first 32 symbols, hashes of the others.
+CODES = 1 << 18
 _CLOSING = np.zeros(256, bool)
 _CLOSING[[ord(c) for c in ".!?"]] = True
 
 
 class Units(NamedTuple):
-    """Words of a chunk as symbols: distinct ones (flat symbols and sizes), each word's number, sentences and texts."""
+    """Words of a chunk as symbols: distinct ones (flat symbols, sizes, hashes), each word's number, sentences and texts."""
 
     symbols: np.ndarray
     sizes: np.ndarray
+    hashes: np.ndarray  # ascending
     number: np.ndarray
     sentence: np.ndarray  # first word of each sentence
     text: np.ndarray  # of each sentence
@@ -82,12 +92,27 @@ def _take(values: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return values[np.arange(to[-1] if len(to) else 0) + np.repeat(first - (to - sizes), sizes)]
 
 
+def _symbols(raw: np.ndarray) -> np.ndarray:
+    """A symbol for each byte of UTF-8 text: a letter's at its first byte, 0 for bytes that are none."""
+    out = _SYMBOL[raw]
+    lead = np.flatnonzero(raw >= 0xC0)
+    if len(lead):
+        byte = lambda k: raw[np.minimum(lead + k, len(raw) - 1)].astype(np.int64) & 0x3F
+        first = raw[lead].astype(np.int64)
+        two = ((first & 0x1F) << 6) | byte(1)
+        three = ((first & 0x0F) << 12) | (byte(1) << 6) | byte(2)
+        four = ((first & 0x07) << 18) | (byte(1) << 12) | (byte(2) << 6) | byte(3)
+        point = np.where(first < 0xE0, two, np.where(first < 0xF0, three, four))
+        out[lead] = np.where((point >= MARKS[0]) & (point < MARKS[1]), 0, OTHER + point)
+    return out
+
+
 def units(texts: pa.Array) -> Units:
-    data, at = text_bytes(pc.utf8_normalize(texts.cast(pa.large_string()), "NFKD"))
+    data, at = text_bytes(pc.utf8_normalize(pc.utf8_lower(texts.cast(pa.large_string())), "NFKD"))
     w = find_words(data, at)
     n = len(w.start)
     span = w.end - w.start
-    symbols = _SYMBOL[_take(data, w.start, span)]
+    symbols = _symbols(_take(data, w.start, span))
     word = np.repeat(np.arange(n), span)[symbols > 0]
     symbols = symbols[symbols > 0]
     sizes = np.bincount(word, minlength=n)
@@ -98,7 +123,7 @@ def units(texts: pa.Array) -> Units:
     if len(some):
         place = np.arange(len(symbols)) - first[word]
         hashes[some] = mix(np.add.reduceat((symbols.astype(np.uint64) + np.uint64(1)) * powers(int(sizes.max()))[place], first[some]))
-    _, keep, number = np.unique(hashes, return_index=True, return_inverse=True)
+    distinct, keep, number = np.unique(hashes, return_index=True, return_inverse=True)
     fresh = np.ones(n, bool)
     if n > 1:
         lines = np.cumsum(data == 10)
@@ -109,12 +134,12 @@ def units(texts: pa.Array) -> Units:
     long = end - begin >= 3
     spelled = [(int(b), symbols[first[b] : first[b] + e - b]) for b, e in zip(begin[long], end[long], strict=True)]
     spelled = [(b, s) for b, s in spelled if w.text[b] == w.text[b + len(s) - 1]]
-    return Units(_take(symbols, first[keep], sizes[keep]), sizes[keep], number, sentence, w.text[sentence], w.text, spelled)
+    return Units(_take(symbols, first[keep], sizes[keep]), sizes[keep], distinct, number, sentence, w.text[sentence], w.text, spelled)
 
 
 class Landmarks(NamedTuple):
     words: list[str]
-    row: np.ndarray  # of each subsequence code, in ``table`` (0: in no landmark)
+    row: np.ndarray  # of each of CODES, in ``table`` (0: in no landmark)
     table: np.ndarray
     typical: int  # the first so many are typical of toxic text
 
@@ -150,22 +175,32 @@ def bounded(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return marked, np.repeat(np.arange(len(sizes)), sizes + 2)
 
 
+def codes(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    exact = (a * 32 + b) * 32 + c
+    large = np.flatnonzero((a | b | c) >= OTHER)
+    if len(large):
+        three = ((a[large].astype(np.uint64) << np.uint64(42)) | (b[large].astype(np.uint64) << np.uint64(21)) | c[large].astype(np.uint64))
+        exact[large] = 32**3 + (mix(three * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(CODES - 32**3)).astype(np.int64)
+    return exact
+
+
 def subsequences(symbols: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """Codes, places and weight of the three-letter subsequences of each shape that lie within one word."""
     for last in range(2, SPAN + 1):
         at = np.flatnonzero(word[last:] == word[:-last]) if len(word) > last else np.zeros(0, np.int64)
         if len(at):
             for middle in range(1, last):
-                yield (symbols[at] * 32 + symbols[at + middle]) * 32 + symbols[at + last], at, DECAY**last
+                yield codes(symbols[at], symbols[at + middle], symbols[at + last]), at, DECAY**last
 
 
 def symbols_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and sizes of words written as :func:`names_of` does."""
-    return np.array([ord(c) - 96 for x in words for c in x], np.int64), np.array([len(x) for x in words], np.int64)
+    points = np.array([ord(c) for x in words for c in x], np.int64)
+    return np.where(points < 128, points - 96, points + OTHER), np.array([len(x) for x in words], np.int64)
 
 
 def names_of(symbols: np.ndarray, sizes: np.ndarray) -> list[str]:
-    text = (symbols + 96).astype(np.uint8).tobytes().decode()
+    text = np.where(symbols < OTHER, symbols + 96, symbols - OTHER).astype("<u4").tobytes().decode("utf-32-le")
     to = np.cumsum(sizes).tolist()
     return [text[b:e] for b, e in zip([0, *to[:-1]], to, strict=True)] if to else []
 
@@ -175,7 +210,7 @@ def landmarks(words: list[str], typical: int) -> Landmarks:
     entries = [(c, word[p], np.full(len(c), x)) for c, p, x in subsequences(symbols, word)]
     code, of, weight = (np.concatenate(x) for x in zip(*entries, strict=True))
     used, place = np.unique(code, return_inverse=True)
-    row = np.zeros(32**3, np.int64)
+    row = np.zeros(CODES, np.int64)
     row[used] = np.arange(1, len(used) + 1)
     table = np.zeros((len(used) + 1, len(words)), np.float32)
     np.add.at(table, (place + 1, of), weight)
@@ -183,11 +218,37 @@ def landmarks(words: list[str], typical: int) -> Landmarks:
     return Landmarks(words, row, table / np.maximum(norm, 1e-9).astype(np.float32), typical)
 
 
-def closest(u: Units, marks: Landmarks) -> np.ndarray:
+class Remembered:
+    """Kernel values of the words that a task met last, so that a word that comes up in batch after batch costs once."""
+
+    def __init__(self, marks: Landmarks):
+        self.marks, self.hashes, self.values = marks, np.zeros(0, np.uint64), np.zeros((0, len(marks.words)), np.float32)
+
+    def kernel(self, u: Units) -> np.ndarray:
+        at = np.searchsorted(self.hashes, u.hashes)
+        known = np.zeros(len(u.hashes), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == u.hashes[inside]
+        new = np.flatnonzero(~known)
+        out = np.empty((len(u.hashes), len(self.marks.words)), np.float32)
+        out[known] = self.values[at[known]]
+        first = np.cumsum(u.sizes) - u.sizes
+        out[new] = self.marks.kernel(_take(u.symbols, first[new], u.sizes[new]), u.sizes[new])
+        if len(self.hashes) + len(new) > REMEMBERED:
+            self.hashes, self.values = u.hashes, out
+        elif len(new):
+            hashes = np.concatenate([self.hashes, u.hashes[new]])
+            order = np.argsort(hashes, kind="stable")
+            self.hashes, self.values = hashes[order], np.concatenate([self.values, out[new]])[order]
+        return out
+
+
+def closest(u: Units, words: Remembered) -> np.ndarray:
     """For each sentence and landmark, the kernel value of the closest word."""
+    marks = words.marks
     if not len(u.sentence):
         return np.zeros((0, len(marks.words)), np.float32)
-    each = marks.kernel(u.symbols, u.sizes)
+    each = words.kernel(u)
     out = np.zeros((len(u.sentence), len(marks.words)), np.float32)
     bounds = np.append(u.sentence, len(u.number))
     lo = 0
@@ -206,12 +267,13 @@ class Model(NamedTuple):
     weight: np.ndarray  # on kernel values: Nyström map and separating plane in one
     bias: float
     slope: float
+    offset: float
 
     def margins(self, z: np.ndarray) -> np.ndarray:
         return z @ self.weight + self.bias
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -40, 40)))
 
 
 def support_vectors(x: np.ndarray, y: np.ndarray, cost: float = 10.0, steps: int = 30) -> tuple[np.ndarray, float]:
@@ -233,15 +295,47 @@ def support_vectors(x: np.ndarray, y: np.ndarray, cost: float = 10.0, steps: int
     return w[:-1], float(w[-1])
 
 
-def platt(margin: np.ndarray, y: np.ndarray) -> float:
-    """Slope of a logistic curve that is one half on the separating plane, targets drawn in as Platt does."""
-    up, down = (y == 1).sum(), (y == 0).sum()
-    target, slope = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2)), 0.0
-    for _ in range(50):
-        q = 1 / (1 + np.exp(-np.clip(slope * margin, -40, 40)))
-        step = (margin * (target - q)).sum() / ((margin * margin * q * (1 - q)).sum() + 1e-6)
-        slope += float(np.clip(step, -5, 5))
-    return max(slope, 1e-3)
+def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a logistic curve through weighted rows, targets drawn in as Platt does."""
+    up, down = weight[y == 1].sum(), weight[y == 0].sum()
+    target = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2))
+    x = np.stack([margin, np.ones(len(margin))], 1)
+    best = np.array([1.0, np.log((up + 1) / (down + 1))])
+    loss = lambda w: (weight * (np.logaddexp(0, x @ w) - target * (x @ w))).sum()
+    for _ in range(100):
+        q = 1 / (1 + np.exp(-np.clip(x @ best, -40, 40)))
+        gradient = x.T @ (weight * (q - target))
+        step = np.linalg.solve((x * (weight * q * (1 - q))[:, None]).T @ x + 1e-6 * np.eye(2), gradient)
+        size = 1.0
+        while size > 1e-6 and loss(best - size * step) > loss(best) - 1e-4 * size * (gradient @ step):
+            size /= 2
+        best = best - size * step
+        if np.abs(size * step).max() < 1e-6:
+            break
+    return max(float(best[0]), 1e-3), float(best[1])
+
+
+def typical_words(counts: list[tuple[str, int, int]], toxic: int, other: int, tested: int, rate: float = FALSE_DISCOVERY) -> list[str]:
+    """Words of ``counts`` (word, documents of each label) that toxic documents have too often to be chance, surest first.
+
+    One-sided binomial tails, and of ``tested`` words as many as the false discovery rate allows (Benjamini and Hochberg).
+    """
+    share = toxic / (toxic + other)
+
+    def tail(k: int, n: int) -> float:
+        """Logarithm of the chance of k or more of n."""
+        at = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log(1 - share)
+        term = total = 1.0
+        for i in range(k, n):
+            term *= (n - i) / (i + 1) * share / (1 - share)
+            total += term
+            if term < 1e-12 * total:
+                break
+        return at + math.log(total)
+
+    rated = sorted((tail(k, k + o), word) for word, k, o in counts)
+    last = max((i for i, (p, _) in enumerate(rated, 1) if p <= math.log(rate * i / max(tested, 1))), default=0)
+    return [word for _, word in rated[:last]]
 
 
 def _labelled_units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,9 +353,10 @@ def _labelled_units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _sentences(marks: Landmarks, most: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Remembered(marks)
         for b in chunks(batches, most=BYTES):
             u = units(b.column("text"))
-            z = closest(u, marks)
+            z = closest(u, words)
             top = z[:, : marks.typical].max(1, initial=0)
             order = np.lexsort((-top, u.text))
             rank = np.arange(len(order)) - np.searchsorted(u.text[order], u.text[order])
@@ -289,12 +384,8 @@ def disguised(words: list[str], seed: int = 42) -> list[str]:
     return out
 
 
-def fit(marks: Landmarks, sure: list[str], doc: np.ndarray, label: np.ndarray, z: np.ndarray) -> Model:
-    symbols, sizes = symbols_of(marks.words)
-    own = marks.kernel(symbols, sizes).astype(np.float64)
-    value, vector = np.linalg.eigh((own + own.T) / 2 + 1e-3 * np.eye(len(own)))
-    nystroem = (vector / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    hidden = marks.kernel(*symbols_of(disguised(sure))) if sure else z[:0]
+def machine(marks: Landmarks, nystroem: np.ndarray, hidden: np.ndarray, doc: np.ndarray, label: np.ndarray, z: np.ndarray) -> Model:
+    """A separating plane between sentences, each toxic document's worst one against those of the others."""
     clean = np.flatnonzero(label == 0)
     hidden = np.maximum(hidden, z[clean[np.arange(len(hidden)) % len(clean)]])  # each in a clean sentence
     score = z[:, : marks.typical].max(1, initial=0)
@@ -302,56 +393,84 @@ def fit(marks: Landmarks, sure: list[str], doc: np.ndarray, label: np.ndarray, z
     for _ in range(3):
         order = np.lexsort((-score, doc))
         worst = order[np.unique(doc[order], return_index=True)[1]]
-        picked = np.concatenate([np.flatnonzero(label == 0), worst[label[worst] == 1]])
+        picked = np.concatenate([clean, worst[label[worst] == 1]])
         x = np.vstack([z[picked], hidden])
         y = np.concatenate([label[picked], np.ones(len(hidden), int)])
         w, bias = support_vectors(x.astype(np.float64) @ nystroem, y)
-        model = Model(marks, nystroem @ w, bias, 1.0)
+        model = Model(marks, nystroem @ w, bias, 1.0, 0.0)
         score = model.margins(z)
-    of, worst = np.unique(doc, return_inverse=True)
-    margin = np.full(len(of), -np.inf)
-    np.maximum.at(margin, worst, score)
-    truth = np.zeros(len(of), int)
-    truth[worst] = label
-    return model._replace(slope=platt(margin, truth))
+    return model
+
+
+def fit(marks: Landmarks, sure: list[str], doc: np.ndarray, label: np.ndarray, z: np.ndarray, counts: tuple[int, int]) -> Model:
+    """A calibrated machine; ``counts`` tells how many labelled documents there are of label 0 and 1."""
+    own = marks.kernel(*symbols_of(marks.words)).astype(np.float64)
+    value, vector = np.linalg.eigh((own + own.T) / 2 + 1e-3 * np.eye(len(own)))
+    nystroem = (vector / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
+    hidden = marks.kernel(*symbols_of(disguised(sure))) if sure else z[:0]
+    docs, of = np.unique(doc, return_inverse=True)
+    truth = np.zeros(len(docs), int)
+    truth[of] = label
+    # documents of each label in turn go to one half or the other
+    half = np.zeros(len(docs), int)
+    for y in (0, 1):
+        half[truth == y] = np.arange((truth == y).sum()) % 2
+    margin = np.full(len(docs), -np.inf)
+    whole = machine(marks, nystroem, hidden, doc, label, z)
+    split = all(((half == h) & (truth == y)).any() for h in (0, 1) for y in (0, 1))
+    for h in (0, 1) if split else (None,):  # with one document of a label there is nothing to hold out
+        seen, held = (half[of] != h, half[of] == h) if split else (np.ones(len(of), bool),) * 2
+        model = machine(marks, nystroem, hidden, doc[seen], label[seen], z[seen]) if split else whole
+        np.maximum.at(margin, of[held], model.margins(z[held]))
+    weight = np.array([counts[y] * (1, MISS_COST)[y] / (truth == y).sum() for y in (0, 1)])[truth]
+    slope, offset = platt(margin, truth, weight)
+    return whole._replace(slope=slope, offset=offset)
 
 
 def train(docs: DataFrame, labels: DataFrame, typical: int = TYPICAL, frequent: int = FREQUENT, per_label: int = PER_LABEL) -> Model | None:
-    """A model from labels (doc_id, label of 0 or 1) and at most about ``per_label`` documents of each."""
-    known = labels.where("label IN (0, 1)").select("doc_id", F.col("label").cast("int").alias("label"))
-    sample = documents(docs).join(F.broadcast(bounded_sample(known, "label", per_label)), "doc_id")  # bounded: 2 x per_label
-    words = sample.mapInArrow(_labelled_units, "label int, word string").groupBy("word").agg(
-        F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other")
+    """A model from labels (doc_id, label of 0 or 1) and at most ``per_label`` documents of each."""
+    # staged: the bounded sample is read for words and for sentences, its words for two lists and a count
+    sample = staged(labelled_sample(docs, labels, per_label).withColumn("doc_id", F.monotonically_increasing_id()))
+    words = staged(
+        sample.mapInArrow(_labelled_units, "label int, word string").groupBy("word").agg(
+            F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other")
+        )
     )
     n = sample.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
     if not n[0] or not n[1]:
         return None
+    every = labels.where("label IN (0, 1) AND doc_id IS NOT NULL").agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)).first()
+    tested = words.where("toxic + other >= 3").count()
+    # the strongest ones suffice: the list is short, and of words with one lift the commoner is surer
     p, q = (F.col("toxic") + 0.5) / (n[0] + 1), (F.col("other") + 0.5) / (n[1] + 1)
-    rated = words.select("word", "toxic", "other", (p / q).alias("lift"), (p * F.log(p / q)).alias("weight"))
-    found = rated.where((F.col("toxic") >= 3) & (F.col("lift") >= LIFT)).orderBy(F.desc("weight"), "word").limit(typical).collect()
-    common = rated.where("other > toxic").orderBy(F.desc("other"), "word").limit(frequent).collect()
-    if not found:
+    rated = words.where(F.col("toxic") >= 3).withColumn("weight", p * F.log(p / q)).where("weight > 0")
+    found = rated.orderBy(F.desc("weight"), "word").limit(20 * typical).collect()
+    chosen = typical_words([(r.word, r.toxic, r.other) for r in found], n[0], n[1], tested)[:typical]
+    common = words.where("other > toxic").orderBy(F.desc("other"), "word").limit(frequent).collect()
+    if not chosen:
         return None
-    marks = landmarks([r.word for r in found] + [r.word for r in common], len(found))
-    sure = [r.word for r in found if r.other * n[0] <= 0.02 * r.toxic * n[1]]
+    marks = landmarks([*chosen, *[r.word for r in common if r.word not in chosen]], len(chosen))
+    by = {r.word: r for r in found}
+    sure = [w for w in chosen if by[w].other * n[0] <= 0.02 * by[w].toxic * n[1]]
     rows = sample.mapInArrow(_sentences(marks, SENTENCES), "doc_id long, label int, z array<float>").collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, r.z))
     of, label = np.array([r.doc_id for r in rows]), np.array([r.label for r in rows])
     if not len(label) or label.min() == label.max():
         return None
-    return fit(marks, sure, 2 * of + label, label, np.array([r.z for r in rows], np.float32))
+    return fit(marks, sure, of, label, np.array([r.z for r in rows], np.float32), (every[0], every[1]))
 
 
 def _score(model: Model | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Remembered(model.marks) if model else None
         for b in chunks(batches, most=BYTES):
             out = np.full(b.num_rows, 0.5)
-            if model:
+            if words:
                 u = units(b.column("text"))
                 margin = np.full(b.num_rows, model.bias)
                 if len(u.sentence):
                     first = np.flatnonzero(np.diff(u.text, prepend=-1))
-                    margin[u.text[first]] = np.maximum.reduceat(model.margins(closest(u, model.marks)), first)
+                    margin[u.text[first]] = np.maximum.reduceat(model.margins(closest(u, words)), first)
                 out = model.probability(margin)
             yield pa.record_batch({"doc_id": b.column("doc_id"), "score": pa.array(out, pa.float64())})
 

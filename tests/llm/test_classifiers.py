@@ -8,10 +8,14 @@ import pytest
 from reqlens.llm import language_id as L
 from reqlens.llm import quality_classifier as Q
 from reqlens.llm import toxicity as T
+from reqlens.llm.common import bounded_sample, labelled_sample
 from tests.conftest import SF01, SF001
 from tests.llm.fixtures import awkward_rows, documents, texts, vocabulary
 
 
+SF1 = "/root/testdata/sf0.1"
+
+
 def held_out(got, truth, column):
     rows = [(r, truth[r.doc_id]) for r in got if r.held_out and truth.get(r.doc_id) is not None]
     return [(r[column], y) for r, y in rows]
@@ -200,3 +204,78 @@ def test_toxicity_without_both_labels(spark, pairs):
 def test_toxicity_query_folds(spark):
     got = T.op10_toxicity(spark, SF001).collect()
     assert len(got) == 200 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+
+
+@pytest.mark.parametrize("sf, caught", [(SF01, 0.5), (SF1, 0.85)])
+def test_toxicity_held_out(spark, sf, caught):
+    """Clean documents are left alone; most toxic ones are found (sf0.01 has six that are held out, and teaches English only)."""
+    got = T.op10_toxicity(spark, sf).collect()
+    pairs = held_out(got, labels(spark, sf, "toxic"), "predicted")
+    clean, toxic = [p for p, y in pairs if y == 0], [p for p, y in pairs if y == 1]
+    assert sum(clean) <= 0.05 * len(clean) and sum(toxic) >= caught * len(toxic)
+    assert len(toxic) >= 5
+
+
+def test_accidental_words_are_not_typical():
+    counts = [("insult", 15, 0), ("often", 30, 200), ("chance", 3, 0)]
+    assert T.typical_words(counts, 40, 280, 10_000) == ["insult"]
+    assert T.typical_words(counts, 40, 280, 3) == ["insult", "chance"]
+    assert T.typical_words([], 40, 280, 0) == []
+
+
+CYRILLIC = "абвгдежзиклмнопрстуфхцчшщыэюя"
+
+
+def test_other_scripts_are_learned(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices(CYRILLIC, k=rng.randint(3, 8))) for _ in range(300)]
+    bad = ["придурок", "мерзавец"]
+    rows = []
+    for d in range(240):
+        parts = [" ".join(rng.choices(words, k=12)).capitalize() + "." for _ in range(4)]
+        if d % 4 == 0:
+            parts[rng.randrange(4)] = " ".join([*rng.choices(words, k=5), rng.choice(bad), *rng.choices(words, k=5)]).upper() + "!"
+        rows.append((d, " ".join(parts), None, None, None))
+    taught = spark.createDataFrame([(r[0], int(r[0] % 4 == 0)) for r in rows[:160]], "doc_id long, label int")
+    got = {r.doc_id: r.score >= 0.5 for r in T.score(documents(spark, rows), T.train(documents(spark, rows), taught)).collect()}
+    assert sum(got[r[0]] == (r[0] % 4 == 0) for r in rows[160:]) >= 77
+    same_length = T.landmarks(["придурок", "мерзавец"], 1).kernel(*T.symbols_of(["придурок", "караваны"]))
+    assert same_length[0, 0] == pytest.approx(1) and same_length[1].max() < 0.1
+
+
+def test_remembered_words_change_nothing(monkeypatch):
+    monkeypatch.setattr(T, "REMEMBERED", 60)
+    marks = T.landmarks(["idiot", "banana", "the"], 1)
+    known = T.Remembered(marks)
+    for k in range(6):
+        u = T.units(pa.array(texts(5, 40, vocabulary(80), k)))
+        assert np.array_equal(known.kernel(u), marks.kernel(u.symbols, u.sizes))
+
+
+# --- samples --------------------------------------------------------------------
+
+
+def test_samples_are_drawn_by_row(spark):
+    rows = [(None, t, lang, None, None) for lang in ("aa", "bb", "cc") for t in texts(100, 30, vocabulary(80), len(lang) + ord(lang[0]))]
+    rows += [(7, t, "dd", None, None) for t in texts(100, 30, vocabulary(80), 99)] + [(7, "one text", "dd", None, None)] * 200 + [(8, "only", "ee", None, None)]
+    df = documents(spark, rows).select("doc_id", "text", "lang")
+    got = bounded_sample(df, "lang", 20).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in got} == {"aa": 20, "bb": 20, "cc": 20, "dd": 20, "ee": 1}
+    again = lambda: sorted(map(tuple, bounded_sample(df.repartition(7), "lang", 20).collect()), key=str)
+    assert again() == again()
+
+
+def test_labelled_samples_never_multiply(spark):
+    rows = [(d % 40, t, None, None, None) for d, t in enumerate(texts(120, 30, vocabulary(80), 3))]
+    rows += [(1, "hot", None, None, None)] * 300 + [(None, "no id", None, None, None)]
+    taught = spark.createDataFrame([(d, int(d < 20)) for d in range(40)] * 5 + [(1, 0), (None, 1), (2, None)], "doc_id long, label int")
+    got = labelled_sample(documents(spark, rows), taught, 30).collect()
+    assert sorted({r.label for r in got}) == [0, 1] and len(got) == 60 and len({(r.doc_id, r.text) for r in got}) == 60
+    assert all(r.label == int(r.doc_id < 20) for r in got)
+    everything = labelled_sample(documents(spark, rows), taught, 10_000).collect()
+    assert len(everything) == len({(r[0], r[1]) for r in rows if r[0] is not None})
+
+
+def test_any_number_of_languages_is_learned(spark):
+    rows = [(None, " ".join(random.Random(k).choices(vocabulary(40, k), k=12)), f"l{k}", None, None) for k in range(1100)]
+    assert len(set(L.train(documents(spark, rows), centroids=1, per_language=2).langs)) == 1100
