@@ -2,9 +2,8 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next one's documents.  All but the last return the
-columns of documents.  Decontamination and masking decide row by row, also where
-rows share a doc_id or have none; near-dedup decides by doc_id, so that rows that
-share one go or stay together.  No stage drops a row for a NULL.
+columns of documents.  All stages decide row by row, also where rows share a doc_id or
+have none.  No stage drops a row for a NULL.
 """
 
 from __future__ import annotations
@@ -41,9 +40,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component one document stays, the one with the smallest doc_id."""
-    found = simhash_dedup.near_duplicates(docs)
-    return _without(docs, found.where("doc_id != component_id"))
+    """Of each component one row stays: the one with the smallest doc_id, of those that share it the first."""
+    rows = _by_row(docs)
+    found = simhash_dedup.near_duplicates(rows)
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "doc_id")
+    stays = rows.select("_id", "doc_id").join(found, "doc_id").groupBy("component_id").agg(F.min(order).alias("first"))
+    return _own_ids(rows.join(stays.select(F.col("first.doc_id").alias("doc_id")), "doc_id", "left_semi"), docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
