@@ -29,6 +29,7 @@ from reqlens.operators.gates import (
 )
 from reqlens.operators.summaries import split_summary_groups, summary_groups
 from reqlens.plans.analyses import run_analyses
+from reqlens.plans.profile import fused_profile
 from reqlens.roles import CATEGORY_SPELLING, DEFAULT_ROLES, Roles
 from reqlens.sources.files import write_gated, write_parquet
 from reqlens.sources.release import Release, current_release, new_version, publish_release
@@ -146,13 +147,14 @@ def profile_stage(spark: SparkSession, raw: DataFrame, out_dir: str, roles: Role
     """The whole quality profile over one columnar copy of the raw table.
 
     The raw source (typically CSV) is parsed once and written as Parquet under
-    ``out_dir/raw``; every check then reads only the columns it needs from
-    that copy instead of re-parsing the text (the source cached the frame in
-    memory, which does not scale).  Returns lazy DataFrames, one per check.
+    ``out_dir/raw``; three scans of that copy give the parts that all checks are
+    made from (:mod:`reqlens.plans.profile`).  Returns lazy DataFrames, one per
+    check, over those parts.  Row duplicates are counted from the rows themselves.
     """
-    raw_path = write_parquet(raw, f"{out_dir.rstrip('/')}/raw")
-    staged = spark.read.parquet(raw_path)
-    return {name: check(staged, roles=roles) for name, check in PROFILE_CHECKS.items()}
+    out_dir = out_dir.rstrip("/")
+    staged = spark.read.parquet(write_parquet(raw, f"{out_dir}/raw"))
+    found = fused_profile(spark, staged, f"{out_dir}/parts", roles)
+    return {**{name: found[name] for name in PROFILE_CHECKS}, "full_row_duplicates": Q.full_row_duplicates(staged, roles)}
 
 
 def run_pipeline(

@@ -27,6 +27,7 @@ from reqlens.operators.gates import check_cleaning, check_transform
 from reqlens.roles import CATEGORY_SPELLING, DEFAULT_ROLES, RAW_NUMERIC_TYPES, SOURCE_HEADER_ROLES, Roles
 from reqlens.session import shared_folder
 from reqlens.sources.files import cast_identifiers, csv_options, rename_to_roles, validate_columns
+from reqlens.streaming.partials import add_summary_batch, summary_store
 
 
 def raw_csv_stream(
@@ -59,8 +60,13 @@ def start_incremental_transform(
     roles: Roles = DEFAULT_ROLES,
     available_now: bool = True,
     query_name: str = "reqlens_incremental_transform",
+    summaries_dir: str | None = None,
 ) -> StreamingQuery:
-    """Start the stream: raw -> cleaned -> transformed, gated per batch, one directory per batch."""
+    """Start the stream: raw -> cleaned -> transformed, gated per batch, one directory per batch.
+
+    With ``summaries_dir`` each batch also adds its part of the four summaries there
+    (:func:`reqlens.streaming.partials.stored_summaries` reads them).
+    """
     validate_columns(raw_stream, roles)
     spark = raw_stream.sparkSession
     checkpoint_location = checkpoint_location or _default_checkpoint(spark, query_name, out_dir)
@@ -74,6 +80,8 @@ def start_incremental_transform(
             check_cleaning(batch, spelling=spelling, roles=roles)
             check_transform(batch, roles=roles)
             batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+            if summaries_dir:
+                add_summary_batch(summary_store(summaries_dir), batch, batch_id, roles)
         finally:
             batch.unpersist()
 
