@@ -165,16 +165,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _first(rows: DataFrame, by: str, most: int) -> DataFrame:
+    """The ``most`` rows of each value of ``by`` with the least ``_h``, a hash.
+
+    Spark trims a window to its first rows in each task where it asks for 1,000 of them at most, so values are ranked in slices of
+    the hash first, of 500 expected rows each; then a value is left with a bounded number of rows.
+    """
+    slices = -(-most // 500)
+    inner = Window.partitionBy(by, "_slice").orderBy("_h")
+    few = rows.withColumn("_slice", F.pmod(F.shiftright("_h", 20), F.lit(slices))).withColumn("_at", F.row_number().over(inner)).where(F.col("_at") <= 1000)
+    return few.withColumn("_at", F.row_number().over(Window.partitionBy(by).orderBy("_h"))).where(F.col("_at") <= most).drop("_slice", "_at")
+
+
 def bounded_sample(rows: DataFrame, by: str, most: int, seed: int = 42) -> DataFrame:
     """``most`` distinct rows of each value of ``by``, or all it has, the same on each run.
 
     ``rows`` (doc_id, text, ``by`` and others) are drawn by a hash of doc_id and text, so ids may repeat or be NULL;
-    a row that repeats counts once.  One slim pass finds each value's highest hash that still belongs; a task sends
-    at most ``most`` hashes of a value, and the few rows below are read with their texts.
+    a row that repeats counts once.  One slim pass finds each value's highest hash that still belongs, and the few rows
+    below are read with their texts.
     """
     keyed = rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", F.coalesce("text", F.lit(""))))
-    place = F.row_number().over(Window.partitionBy(by).orderBy("_h"))
-    drawn = keyed.select(by, "_h").distinct().withColumn("_at", place).where(F.col("_at") <= most)
+    drawn = _first(keyed.select(by, "_h").distinct(), by, most)
     # staged, so that Spark knows its size: a row per value, joined as that allows
     cuts = staged(drawn.groupBy(by).agg(F.max("_h").alias("_cut")))
     return keyed.join(cuts, by).where("_h <= _cut").dropDuplicates([by, "_h"]).drop("_h", "_cut")
@@ -187,8 +198,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, seed: int = 4
     """
     known = labels.where("label IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label"))
     keyed = documents(docs).withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", F.coalesce("text", F.lit(""))))
-    place = F.row_number().over(Window.partitionBy("label").orderBy("_h", "doc_id"))
-    drawn = keyed.select("doc_id", "_h").distinct().join(known, "doc_id").withColumn("_at", place).where(F.col("_at") <= most)
+    drawn = _first(keyed.select("doc_id", "_h").distinct().join(known, "doc_id"), "label", most)
     chosen = staged(drawn.select("doc_id", "_h", "label"))
     # bounded: 2 x most rows
     return keyed.join(F.broadcast(chosen), ["doc_id", "_h"]).dropDuplicates(["doc_id", "_h"]).select("doc_id", "text", "label")
