@@ -74,10 +74,9 @@ _BINS = {"chars": 6, "common": R.COMMON + 1}
 _SUMS = ", ".join(f"[{', '.join(f'CAST(sum({c}[{i + 1}]) AS DOUBLE)' for i in range(n))}] AS ref_{c}" for c, n in _BINS.items())
 
 QUALITY_RULES = f"""
-WITH keys AS (SELECT lang, lang AS key FROM documents WHERE lang IS NOT NULL GROUP BY lang ORDER BY count(*) DESC, lang LIMIT {R.MOST_LANGUAGES}),
-d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(key, '') AS key, {WORDS.format("text")} AS words,
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS key, {WORDS.format("text")} AS words,
              list_transform(list_filter({WORDS.format("text")}, lambda x: len(x) <= {R.WORD_LENGTH}), lambda x: lower(x)) AS lowered
-      FROM documents LEFT JOIN keys ON documents.lang = keys.lang),
+      FROM documents),
 short AS (SELECT key, word, count(*) AS n FROM (SELECT key, unnest(lowered) AS word FROM d) GROUP BY ALL),
 common AS (SELECT key, list(word ORDER BY n DESC, word) AS common FROM (
   SELECT * FROM short QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, word) <= {R.COMMON}) GROUP BY key),
@@ -98,11 +97,18 @@ histograms AS (
          list_append(heads, n_words - list_sum(heads)) AS common,
          n_words < {R.LEAST_WORDS} OR 100 * n_repeat_words > {R.MOST_REPEATED} * n_words AS base_failed FROM counted),
 refs AS (SELECT key, {_SUMS} FROM histograms WHERE NOT base_failed GROUP BY key),
-judged AS (SELECT h.*, {_divergence("CAST(chars AS DOUBLE[])", "ref_chars")} AS dc, {_divergence("CAST(common AS DOUBLE[])", "ref_common")} AS dw
-           FROM histograms h LEFT JOIN refs ON h.key = refs.key)
+judged AS (SELECT h.*, len(bin(n_words)) AS class, {_divergence("CAST(chars AS DOUBLE[])", "ref_chars")} AS dc,
+                  CAST(floor(1000 * {_divergence("CAST(common AS DOUBLE[])", "ref_common")}) AS BIGINT) AS dw
+           FROM histograms h LEFT JOIN refs ON h.key = refs.key),
+usual AS (SELECT key, class, dw, row_number() OVER (PARTITION BY key, class ORDER BY dw) AS place, count(*) OVER (PARTITION BY key, class) AS total
+          FROM judged WHERE NOT base_failed AND n_words >= {R.MIN_WORDS}),
+marks AS (SELECT key, class, min(dw) FILTER (2 * place >= total) AS median, min(dw) FILTER (4 * place >= total) AS lower
+          FROM usual WHERE total >= {R.ENOUGH} GROUP BY ALL),
+limits AS (SELECT key, class, median + {R.SPREADS} * greatest(median - lower, {R.LEAST_GAP}) AS most FROM marks)
 SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT coalesce((n_chars >= {R.MIN_CHARS} AND dc > {R.CHAR_LIMIT}) OR (n_words >= {R.MIN_WORDS} AND dw > {R.WORD_LIMIT}), false) AS kept
-FROM judged
+       NOT base_failed AND NOT coalesce(n_chars >= {R.MIN_CHARS} AND dc > {R.CHAR_LIMIT}, false)
+       AND NOT coalesce(n_words >= {R.MIN_WORDS} AND dw > (SELECT max_by(most, l.class) FROM limits l WHERE l.key = j.key AND l.class <= j.class), false) AS kept
+FROM judged j
 """
 
 # Seats are found by ranking all quotients; the query ranks only those around the last seat.

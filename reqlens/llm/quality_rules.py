@@ -9,15 +9,17 @@ if it is long enough for that histogram (``min_chars``, ``min_words``).
 References are built from the whole corpus: common words are the ``COMMON`` most
 frequent words of at most ``WORD_LENGTH`` characters of a language (function
 words are short, and so few that they are counted exactly); a reference sums
-the histograms of the language's documents that pass the base rule.  The
-``MOST_LANGUAGES`` languages with most documents have references of their own, all
-others (and NULL) share a pooled one, so references are a small table of bounded
-size whatever the languages.
+the histograms of the language's documents that pass the base rule.
+
+The limit of characters is fixed.  That of words comes from the reference itself, as short texts stray further:
+among a language's documents of one length class (powers of two) that pass the base rule, the median distance plus
+``SPREADS`` times its gap to the lower quartile.  Both say nothing of the upper half, so documents that do diverge don't
+lift their own limit.  A class of under ``ENOUGH`` documents takes the limit of the next shorter one that has enough.
 
 Defined cases: a NULL or blank text has zero counts and fails the base rule;
 each row is judged alone, also with a repeated or NULL doc_id; a language
 without any passing document has no reference, and its documents pass the
-method; other columns are ignored; an empty table gives an empty result.
+method; NULL languages (and the empty one) share a reference; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,10 +32,12 @@ from reqlens.llm.common import documents, load, staged, word_array
 MIN_WORDS = 50
 MIN_CHARS = 200
 CHAR_LIMIT = 0.25
-WORD_LIMIT = 0.60
+SPREADS = 5
+ENOUGH = 20
 COMMON = 16
 WORD_LENGTH = 4
-MOST_LANGUAGES = 200
+#: Distances are told apart by thousandths; a gap is so many at least.
+LEAST_GAP = 20
 REPEAT_WINDOW = 5
 #: Words below which a document fails, and the percentage of repeated words above which it does.
 LEAST_WORDS = 10
@@ -76,30 +80,17 @@ def _repeated(hashes: Column, k: int = REPEAT_WINDOW) -> Column:
     return F.when(F.size(hashes) > k, F.coalesce(held[0], F.lit(0))).otherwise(F.lit(0)).cast("long")
 
 
-def _language(langs: DataFrame) -> DataFrame:
-    """lang, key: the languages with references of their own (others are pooled)."""
-    ranked = langs.where("lang IS NOT NULL").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    return ranked.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).select("lang", F.col("lang").alias("key"))
-
-
-def common_words(docs: DataFrame, keys: DataFrame, k: int = COMMON) -> DataFrame:
-    """key, common: each language's most frequent short words (the pooled ones under ``POOLED``)."""
+def common_words(docs: DataFrame, k: int = COMMON) -> DataFrame:
+    """key, common: each language's most frequent short words (those without a language under ``POOLED``)."""
     short = F.transform(F.filter(word_array(F.col("text")), lambda w: F.length(w) <= WORD_LENGTH), lambda w: F.lower(w))
-    counted = docs.select("lang", F.explode(short).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    # bounded: MOST_LANGUAGES rows
-    keyed = counted.join(F.broadcast(keys), "lang", "left").groupBy(F.coalesce("key", F.lit(POOLED)).alias("key"), "word").agg(F.sum("n").alias("n"))
-    top = keyed.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= k)
+    counted = docs.select("key", F.explode(short).alias("word")).groupBy("key", "word").agg(F.count(F.lit(1)).alias("n"))
+    top = counted.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= k)
     return top.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "word"))), lambda x: x["word"]).alias("common"))
 
 
-def features(docs: DataFrame, keys: DataFrame, common: DataFrame) -> DataFrame:
-    """Base counts, language key and both histograms of every row (doc_id, text, lang)."""
-    # bounded broadcasts: MOST_LANGUAGES rows, and one more of COMMON short words
-    known = (
-        docs.join(F.broadcast(keys), "lang", "left")
-        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("key", F.lit(POOLED)).alias("key"))
-        .join(F.broadcast(common), "key", "left")
-    )
+def features(docs: DataFrame, common: DataFrame) -> DataFrame:
+    """Base counts and both histograms of every row (doc_id, text, key)."""
+    known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "key").join(common, "key", "left")
     # exploding one array holds it, so that no expression below splits the text again
     worded = known.select(
         "*",
@@ -152,37 +143,56 @@ def _distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
 
 
+def word_limits(measured: DataFrame, spreads: int = SPREADS, enough: int = ENOUGH) -> DataFrame:
+    """key, limits: (length class, limit in thousandths) of each class with enough documents, ascending.
+
+    ``measured``: key, size (length class) and d (distance in thousandths) of the reference's documents.
+    """
+    counts = measured.groupBy("key", "size", "d").agg(F.count(F.lit(1)).alias("n"))
+    of = Window.partitionBy("key", "size")  # a row per distance: 1,001 at most
+    summed = counts.select("*", F.sum("n").over(of.orderBy("d")).alias("upto"), F.sum("n").over(of).alias("total"))
+    at = lambda part: F.min(F.when(part * F.col("upto") >= F.col("total"), F.col("d")))
+    marks = summed.groupBy("key", "size").agg(at(2).alias("median"), at(4).alias("lower"), F.max("total").alias("total"))
+    limit = F.col("median") + spreads * F.greatest(F.col("median") - F.col("lower"), F.lit(LEAST_GAP))
+    kept = marks.where(F.col("total") >= enough).select("key", F.struct("size", limit.alias("limit")).alias("x"))
+    return kept.groupBy("key").agg(F.sort_array(F.collect_list("x")).alias("limits"))
+
+
 def judge(
     docs: DataFrame,
     min_words: int = MIN_WORDS,
     min_chars: int = MIN_CHARS,
     char_limit: float = CHAR_LIMIT,
-    word_limit: float = WORD_LIMIT,
+    spreads: int = SPREADS,
 ) -> DataFrame:
-    """Base counts, char_distance, word_distance, base_failed and kept of every row."""
-    rows = documents(docs, "lang").withColumn("lang", F.col("lang").cast("string"))
-    keys = _language(rows.select("lang"))
-    counted = staged(features(rows, keys, common_words(rows, keys)))  # read for the references and for the verdicts
+    """Base counts, char_distance, word_distance, word_limit, base_failed and kept of every row."""
+    rows = documents(docs, "lang").withColumn("key", F.coalesce(F.col("lang").cast("string"), F.lit(POOLED))).drop("lang")
+    # the tables of languages are staged, so that Spark knows their size and joins them as it allows
+    counted = staged(features(rows, staged(common_words(rows))))  # read for the references, the limits and the verdicts
     bins = {"chars": 6, "common": COMMON + 1}
     sums = [F.sum(F.get(c, F.lit(i))).cast("double").alias(f"{c}{i}") for c, n in bins.items() for i in range(n)]
     named = [F.filter(F.array(*[f"{c}{i}" for i in range(n)]), lambda x: x.isNotNull()).alias(f"ref_{c}") for c, n in bins.items()]
-    references = counted.where("NOT base_failed").groupBy("key").agg(*sums).select("key", *named)
-    # bounded: one row per key, MOST_LANGUAGES + 1 at most
-    judged = counted.join(F.broadcast(references), "key", "left").withColumns(
+    references = staged(counted.where("NOT base_failed").groupBy("key").agg(*sums).select("key", *named))
+    measured = counted.join(references, "key", "left").withColumns(
         {
             "char_distance": _distance(F.col("chars").cast("array<double>"), F.col("ref_chars")),
             "word_distance": _distance(F.col("common").cast("array<double>"), F.col("ref_common")),
+            "size": F.length(F.bin("n_words")),
         }
-    )
+    ).withColumn("d", F.floor(F.col("word_distance") * 1000))
+    usual = measured.where(~F.col("base_failed") & (F.col("n_words") >= min_words))
+    limits = staged(word_limits(usual.select("key", "size", "d"), spreads))
+    reached = F.filter("limits", lambda x: x["size"] <= F.col("size"))
+    judged = measured.join(limits, "key", "left").withColumn("word_limit", F.get(reached, F.size(reached) - 1)["limit"])
     odd = ((F.col("n_chars") >= min_chars) & (F.col("char_distance") > char_limit)) | (
-        (F.col("n_words") >= min_words) & (F.col("word_distance") > word_limit)
+        (F.col("n_words") >= min_words) & F.coalesce(F.col("d") > F.col("word_limit"), F.lit(False))
     )
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select(
-        "doc_id", *counts, "char_distance", "word_distance", "base_failed",
+        "doc_id", *counts, "char_distance", "word_distance", (F.col("word_limit") / 1000).alias("word_limit"), "base_failed",
         (~F.col("base_failed") & ~F.coalesce(odd, F.lit(False))).alias("kept"),
     )
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(load(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
+    return judge(load(spark, sf_dir, "documents")).drop("char_distance", "word_distance", "word_limit")

@@ -86,6 +86,34 @@ def test_divergent_documents_fail_and_short_ones_do_not(spark):
     assert got[101].kept  # too short for the method
 
 
+def test_word_distance_alone_fails_texts_without_common_words(spark):
+    """Word salads and texts of another language fail by words; the corpus itself is left alone."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").collect()
+    long = {lang: [r.text for r in docs if r.lang == lang and r.text and 130 <= len(r.text.split()) and "|" not in r.text] for lang in ("en", "de")}
+    frequent = {"the", "of", "and", "to", "a", "in", "is", "that", "it", "for", "was", "as", "with", "on", "be", "he", "are", "this", "or", "by", "at", "an", "i"}
+    rng = random.Random(3)
+    rare = [w for t in long["en"] for w in t.split() if len(w) > 4 and w.lower().strip(".,") not in frequent]
+    salads = [(100_000 + k, " ".join(rng.choices(rare, k=150)), "en", "s", 1) for k in range(20)]
+    wrong = [(200_000 + k, t, "en", "s", 1) for k, t in enumerate(long["de"][:20])]
+    got = {r.doc_id: r for r in R.judge(documents(spark, [tuple(r) for r in docs] + salads + wrong)).collect()}
+    assert not any(got[r[0]].kept for r in salads)
+    assert sum(got[r[0]].kept for r in wrong) <= 1  # one of them quotes an English passage
+    by_words = [r for r in salads + wrong if got[r[0]].char_distance <= R.CHAR_LIMIT and not got[r[0]].base_failed and not got[r[0]].kept]
+    assert len(by_words) >= 35 and all(got[r[0]].word_distance > got[r[0]].word_limit for r in by_words)
+    plain = [r.doc_id for r in docs if r.lang == "en" and r.text in set(long["en"]) and not got[r.doc_id].base_failed and got[r.doc_id].char_distance <= R.CHAR_LIMIT]
+    assert sum(got[d].kept for d in plain) >= 0.98 * len(plain)
+
+
+def test_verdicts_do_not_hang_on_other_languages(spark):
+    vocab = ["the", "of", "and", *vocabulary(200)]
+    rng = random.Random(2)
+    rows = [(k, " ".join(rng.choices(vocab, weights=[40, 30, 20] + [1] * 200, k=150)), "en", None, None) for k in range(60)]
+    more = [(1000 + k, f"lang {k} " * 20, f"l{k}", None, None) for k in range(300)] + [(2000, rows[0][1], None, None, None)]
+    alone = {r.doc_id: (r.kept, r.word_distance) for r in R.judge(documents(spark, rows)).collect()}
+    beside = {r.doc_id: (r.kept, r.word_distance) for r in R.judge(documents(spark, rows + more)).collect()}
+    assert alone == {d: beside[d] for d in alone} and len(beside) == 361
+
+
 # --- mixing ----------------------------------------------------------------------
 
 
