@@ -1,7 +1,9 @@
 """Secret scan with a random forest that removes false findings, with DataFrame functions only.
 
 1. **Candidates.**  Every run of twelve or more key characters (letters, digits,
-   `+/_-`, with dots in web tokens) of every word; a word can hold several.
+   `+/_-`, with dots in web tokens) of every word; a word can hold several.  And whatever stands in a
+   credential's place, of any characters and four of them at least: the quoted or bare value after a credential's
+   name and `=` or `:`, also when that name is the word before, and the password of an address.
 2. **Features** of a candidate: its length; transitions between character classes;
    shares of digits, capitals and distinct characters; coverage by dictionary words;
    whether the word looks like a path or an address; whether the words before
@@ -43,6 +45,11 @@ RUN = r"(?:(?<![A-Za-z0-9])(?:eyJ[A-Za-z0-9_-]{5,}|SG(?=\.))(?:\.[A-Za-z0-9_-]*)
 NEXT = r"(?s)\G(.*?)(" + RUN + ")"
 CREDENTIAL = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private|signature)"
 HARMLESS = r"(?i)(commit|sha-?\d+|md5|digest|checksum|hash|uuid|guid|isbn|issn|doi|card|phone|tel|order|invoice|ticket|version|build|rev)"
+_NAME = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credentials?|private[_-]?key|signature)[A-Za-z0-9_-]*"
+#: A name of a credential and its value (one group per way of quoting); the same name as a word before; an address's password.
+PAIR = "(?i)" + _NAME + r"""[\"']?(?:=>|:=|[=:])(?:"([^"]{4,})"|'([^']{4,})'|([^\s"'`,;&<>{}()]{4,}))"""
+NAMED_BEFORE = "(?i)" + _NAME + r"""[\"']?(?:=>|:=|[=:]| [=:])$"""
+USERINFO = r"://[^\s:/@]+:([^\s/@]{4,})@"
 KNOWN = r"^(AKIA|ASIA|AIza|ghp_|gho_|ghs_|glpat-|sk-|sk_live_|rk_live_|xox[abpr]-|eyJ|npm_|SG_|hf_)"
 DICTIONARY = (
     "about access account address admin again and application array back base book build call change class client "
@@ -61,7 +68,7 @@ DICTIONARY = (
 FEATURES = [
     "length", "runs", "digit_share", "upper_share", "lower_share", "distinct_share", "hex_only", "digits_only",
     "rises", "coverage", "slashes", "path", "address", "credential_near", "credential_here", "harmless_near",
-    "assigned", "quoted", "known", "dashes", "named",
+    "assigned", "quoted", "known", "dashes", "named", "marks",
 ]
 
 
@@ -81,12 +88,33 @@ def _values(words: DataFrame) -> DataFrame:
     )
 
 
+def _in_place(words: DataFrame) -> DataFrame:
+    """``words`` (word, before and others) with a row for each value in a credential's place that is no run: lead, tail, value."""
+    kept = words.columns
+    word = F.col("word")
+    bare = F.regexp_replace(word, r"""^["'`(\[]+|["'`)\],;.]+$""", "")
+    pairs = F.concat(*[F.regexp_extract_all(word, F.lit(PAIR), F.lit(g)) for g in (1, 2, 3)], F.regexp_extract_all(word, F.lit(USERINFO), F.lit(1)))
+    after_name = F.when(F.col("before").rlike(NAMED_BEFORE) & ~word.rlike(PAIR), F.array(bare)).otherwise(F.array().cast("array<string>"))
+    values = F.array_distinct(F.filter(F.concat(pairs, after_name), lambda v: F.length(v) >= 4))
+    runs = F.regexp_extract_all(word, F.lit(NEXT), F.lit(2))
+    rows = words.withColumn("runs", runs).select(*kept, "runs", F.explode(values).alias("value")).where(~F.array_contains("runs", F.col("value")))
+    lead = F.regexp_extract(F.expr("substring_index(word, value, 1)"), r"[^,;&?{}|]*$", 0)
+    return rows.select(*kept, lead.alias("lead"), F.expr("substring(word, instr(word, value) + length(value))").alias("tail"), "value")
+
+
+def _all_values(words: DataFrame) -> DataFrame:
+    return _values(words).unionByName(_in_place(words))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, word_no, word, before (three words), after, lead, tail, value of every candidate."""
     # exploding one array holds the words, so that no expression below splits the text again
     worded = documents(docs).select("doc_id", F.explode(F.array(word_array(F.col("text")))).alias("words"))
-    likely = lambda w: (F.length(w) >= 12) & w.rlike(RUN)
-    places = F.filter(F.transform("words", lambda w, i: F.when(likely(w), i)), lambda i: i.isNotNull())
+    likely = lambda w: ((F.length(w) >= 12) & w.rlike(RUN)) | (w.rlike("[=:]") & (w.rlike(PAIR) | w.rlike(USERINFO)))
+    # the word after one that ends in = or : may be the value of a name
+    follows = lambda i: F.coalesce(F.get("words", i - 1).rlike("[=:]$"), F.lit(False)) & (F.length(F.get("words", i)) >= 4)
+    named = lambda i: follows(i) & F.concat_ws(" ", F.get("words", i - 2), F.get("words", i - 1)).rlike(NAMED_BEFORE)
+    places = F.filter(F.transform("words", lambda w, i: F.when(likely(w) | named(i), i)), lambda i: i.isNotNull())
     found = F.transform(
         places,
         lambda i: F.struct(
@@ -96,7 +124,7 @@ def candidates(docs: DataFrame) -> DataFrame:
             F.coalesce(F.get("words", i + 1), F.lit("")).alias("after"),
         ),
     )
-    return _values(worded.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*"))
+    return _all_values(worded.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*"))
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -134,6 +162,7 @@ def with_features(found: DataFrame) -> DataFrame:
             "quoted": flag(prefix.rlike("[\"']")),
             "known": flag(v.rlike(KNOWN)),
             "dashes": F.size(F.regexp_extract_all(v, F.lit("[-_]"), F.lit(0))) / n,
+            "marks": 1 - without("[^A-Za-z0-9]") / n,
             "named": flag(F.col("tail").rlike("^[\"'\\])]*[=:]")),
         }
     )
@@ -202,6 +231,19 @@ def labelled_findings(docs: DataFrame, most_docs: int = FINDING_DOCS) -> DataFra
         (0, None, (join(plain_name("ne"), F.lit("=")), ""), join(plain("qv", "qw"), F.lit("description"))),
         (0, None, (join(F.lit("https://www.example.com/search/"), plain("qx"), F.lit("?"), plain_name("nf"), F.lit("=")), ""), join(plain("qy"), F.lit("-"), plain("qz"), F.lit("-example-page"))),
         (0, None, ("", ""), F.lit("www.example.com/international-news/")),
+        # whatever characters a password has, in a credential's place
+        (1, None, (join(secret_name("o1"), F.lit("=")), ""), join(F.initcap(plain("r1")), one_of("o2", "@", "!", "#", "$", "&", "."), digits("u1", 4), F.substring(b64("u2"), 1, 2))),
+        (1, None, (one_of("o3", "password=", "passwd:", "pwd="), ""), join(F.substring(b64("u3"), 1, 4), one_of("o4", "@", "!", "$", "&"), F.substring(b64("u4"), 1, 6), one_of("o5", "", "!", "9"))),
+        (1, one_of("o6", "password:", "token =", "secret:", "passwd:", "my password:"), ("", ""), join(F.substring(plain("r2", "r3"), 1, 6), digits("u5", 1), F.substring(plain("r4", "r5"), 1, 3))),
+        (1, one_of("o7", "password:", "pwd =", "secret:"), ("", one_of("o8", "", ",", ".")), join(F.substring(b64("u6"), 1, 5), one_of("o9", "!", "%", "*", "?"), F.substring(b64("u7"), 1, 4))),
+        (1, None, (one_of("p3", 'api_key="', 'secret="', 'auth_token:"'), '"'), join(F.substring(b64("u8"), 1, 4), F.lit("."), F.substring(b64("u9"), 1, 3), one_of("p4", "$", "!", "~", "^"), F.substring(b64("ua"), 1, 6))),
+        (1, None, (one_of("p5", "postgres://admin:", "https://user:", "mysql://root:"), "@db.example.com/main"), join(F.substring(b64("ub"), 1, 6), digits("uc", 2), one_of("p6", "", "!", "$"), F.substring(b64("ud"), 1, 3))),
+        (0, one_of("p7", "password:", "token:", "secret:", "a password:", "auth ="), ("", one_of("p8", "", ",", ".")), pick("r6")),
+        (0, one_of("p9", "password:", "token =", "secret:"), ("", ""), F.initcap(plain("r7", "r8"))),
+        (0, None, (one_of("pa", "password=", "token=", "secret:", "api_key=", "auth="), ""), one_of("pb", "none", "null", "true", "false", "required", "changeme", "disabled", "optional", "basic", "unknown", "example")),
+        (0, None, (one_of("pc", "password=", "token=", "secret="), ""), one_of("pd", "********", "xxxxxxxx", "$PASSWORD", "$TOKEN", "[hidden]", "....", "%s%s", "----", "[SECRET]")),
+        (0, None, (one_of("pe", "password=", "token:", "auth="), ""), plain("r9", "ra")),
+        (0, None, (one_of("pf", 'password="', 'token="', "secret='"), one_of("pf", '"', '"', "'")), one_of("pg", "enter password", "password", "your token", "value")),
     ]
     several = [  # label of each value, texts around the values, values
         ((1, 1), ('{"access_token":"', '","client_secret":"', '"}'), (key40("t1"), part("t2", 32))),
@@ -227,7 +269,7 @@ def labelled_findings(docs: DataFrame, most_docs: int = FINDING_DOCS) -> DataFra
     ]
     rows = worded.select("id", F.explode(F.array(*made)).alias("f")).select("id", "f.*")
     # every run of a made word is a finding: its secrets are, names and all else are not
-    return _values(rows).withColumn("label", F.exists("secrets", lambda v: F.coalesce(v == F.col("value"), F.lit(False))).cast("int")).drop("secrets")
+    return _all_values(rows).withColumn("label", F.exists("secrets", lambda v: F.coalesce(v == F.col("value"), F.lit(False))).cast("int")).drop("secrets")
 
 
 def train(findings: DataFrame, trees: int = TREES, depth: int = DEPTH):
@@ -243,24 +285,28 @@ def train(findings: DataFrame, trees: int = TREES, depth: int = DEPTH):
 
 
 def scan(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, word_no, value, score, is_secret of every candidate."""
+    """doc_id, word_no, word, value, score, is_secret of every candidate."""
     found = with_features(candidates(docs))
     if model is None:
         scored = found.withColumn("score", F.lit(0.5))
     else:
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)
         scored = model.transform(vectors).withColumn("score", vector_to_array("probability")[1])
-    return scored.select("doc_id", "word_no", "value", "score", (F.col("score") > threshold).alias("is_secret"))
+    return scored.select("doc_id", "word_no", "word", "value", "score", (F.col("score") > threshold).alias("is_secret"))
 
 
 def redacted(docs: DataFrame, found: DataFrame, mask: str = MASK) -> DataFrame:
-    """``docs`` with each secret found under their doc_id (also under none) masked in the text."""
-    values = found.where("is_secret").groupBy(F.col("doc_id").alias("_of")).agg(F.sort_array(F.collect_set("value"), asc=False).alias("_values"))
-    joined = docs.join(values, docs["doc_id"].eqNullSafe(values["_of"]), "left")
+    """``docs`` with each secret found under their doc_id (also under none) masked in the words that hold it."""
+    longest = lambda c: F.sort_array(F.collect_set(c), asc=False)
+    sized = lambda c: F.struct(F.length(c).alias("n"), F.col(c).alias("v"))
+    words = found.where("is_secret").groupBy(F.col("doc_id").alias("_of"), "word").agg(longest(sized("value")).alias("_values"))
+    hidden = words.withColumn("_new", F.aggregate("_values", F.col("word"), lambda w, x: F.replace(w, x["v"], F.lit(mask))))
+    of_doc = hidden.groupBy("_of").agg(longest(F.struct(F.length("word").alias("n"), "word", "_new")).alias("_words"))
+    joined = docs.join(of_doc, docs["doc_id"].eqNullSafe(of_doc["_of"]), "left")
     text = F.when(
-        F.col("_values").isNotNull(), F.aggregate("_values", F.col("text"), lambda t, v: F.replace(t, v, F.lit(mask)))
-    ).otherwise(F.col("text"))
-    return joined.withColumn("text", text).select(*docs.columns)
+        F.col("_words").isNotNull(), F.aggregate("_words", docs["text"], lambda t, x: F.replace(t, x["word"], x["_new"]))
+    ).otherwise(docs["text"])
+    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
