@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from reqlens.operators import clean as C
 from reqlens.operators import gates as G
 from reqlens.operators import summaries as S
+from reqlens.operators.spelling import apply_spelling, spelling_map, spelling_review
 from reqlens.operators.features import add_date_features, transform_requests
 from reqlens.plans import analyses as A
 from reqlens.plans.pipeline import PROFILE_CHECKS, run_pipeline
@@ -121,6 +122,12 @@ def _published_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, counts)
 
 
+def _reviewed_gates(raw: DataFrame) -> DataFrame:
+    """Cleaning by the derived spelling map, held to the same map by its gate."""
+    spelling = spelling_map(spelling_review(raw))
+    return G.cleaning_metrics(C.clean_requests(raw, spelling=spelling), spelling=spelling)
+
+
 ARRIVING = (
     "date_range", "missing_profile", "placeholder_counts", "status_counts", "full_row_duplicates", "duplicate_keys", "quality_counts",
     "invalid_date_rows", "complaint_case_variants",
@@ -219,6 +226,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "standardize_complaints": _on_raw(
             lambda df: C.standardize_categories(df, CATEGORY_SPELLING).select("unique_key", "complaint_type")
         ),
+        "spelling_review": _on_raw(spelling_review),
+        "standardize_by_review": _on_raw(lambda df: apply_spelling(df, spelling_review(df)).select("unique_key", "complaint_type")),
+        "cleaning_gates_by_review": _on_raw(_reviewed_gates),
         "cleaning_gates": _on_cleaned(lambda df: G.cleaning_metrics(df, spelling=CATEGORY_SPELLING)),
         "cleaning_gates_violated": _on_raw(lambda df: G.cleaning_metrics(ungated_cleaned(df), spelling=CATEGORY_SPELLING)),
         "cleaned_requests": _cleaned,

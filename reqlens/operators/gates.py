@@ -73,28 +73,20 @@ def transform_metrics(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     return df.agg(*transform_metric_columns(df, roles))
 
 
-def _raise_on(metrics: dict, labels: Mapping[str, str]) -> None:
-    problems = [f"{labels[k]}: {metrics[k]}" for k in labels if metrics.get(k)]
-    if problems:
-        raise ValueError("gate failed: " + "; ".join(problems))
+def _raise_on(metrics: dict, gates: Iterable[str]) -> None:
+    broken = {g: metrics[g] for g in gates if metrics.get(g)}
+    if broken:
+        raise ValueError(f"gate failed: {broken}")
 
 
-CLEANING_LABELS = {
-    "flag_mismatch_rows": "records with incorrect invalid-date-order flags",
-    "remaining_placeholders": "remaining N/A placeholders",
-    "unstandardized_categories": "unstandardized categories",
-}
-TRANSFORM_LABELS = {
-    "flagged_with_resolution": "invalid date-order records with resolution times",
-    "unresolved_with_resolution": "unresolved records with resolution times",
-    "non_closed_with_resolution": "non-closed records with resolution times",
-    "negative_resolution": "negative resolution times",
-}
+#: Metrics that must be zero.
+CLEANING_GATES = ("flag_mismatch_rows", "remaining_placeholders", "unstandardized_categories")
+TRANSFORM_GATES = ("flagged_with_resolution", "unresolved_with_resolution", "non_closed_with_resolution", "negative_resolution")
 
 
 def evaluate_cleaning(metrics: dict) -> dict:
     """Raise ``ValueError`` if cleaning metrics (from ``agg`` or an ``Observation``) show a violation."""
-    _raise_on(metrics, CLEANING_LABELS)
+    _raise_on(metrics, CLEANING_GATES)
     return metrics
 
 
@@ -104,7 +96,7 @@ def evaluate_transform(metrics: dict, expected_row_count: int | None = None) ->
         raise ValueError(
             f"gate failed: {metrics['row_count']} rows after the transform, {expected_row_count} before"
         )
-    _raise_on(metrics, TRANSFORM_LABELS)
+    _raise_on(metrics, TRANSFORM_GATES)
     return metrics
 
 

@@ -9,8 +9,8 @@ Plan shape, chosen for scale:
   a second scan, and the first/last date bounds from the daily aggregate.
 * Partial (map-side) aggregation means a category holding a third of all rows
   still contributes one row per task to the shuffle.
-* Windows without a partition key (global ranks, ``sum() over ()``) only ever
-  see aggregated rows.
+* Windows without a partition key (ranks of hours and days, ``sum() over ()``) only ever
+  see aggregated rows, of bounded domains; handlers are ranked without one.
 * Means, shares and percentage differences use exact integer arithmetic
   (:mod:`reqlens.functions.exact`), so results do not depend on partitioning.
 
@@ -29,7 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reqlens.functions.dates import hour_label
-from reqlens.functions.exact import from_hundredths, half_up_div, ratio_2dp, share_pct, signed_pct_change
+from reqlens.functions.exact import from_hundredths, half_up_div, mean_hundredths, ratio_2dp, share_pct, signed_pct_change
+from reqlens.operators.ranking import value_ranks
 from reqlens.operators.summaries import hours_sum_hundredths, mean_hours, resolved_count
 from reqlens.roles import DEFAULT_ROLES, WEEK_ORDER, WEEKEND_DAYS, Roles
 
@@ -111,19 +112,17 @@ def high_volume_categories(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataF
 
 
 def handler_workload_speed(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """Workload rank (requests desc) against speed rank (rounded mean hours asc)."""
+    """Workload rank (requests desc) against speed rank (rounded mean hours asc), both without a task that holds all handlers."""
     handler = roles.handler
     per = _resolution_agg(df, [handler], "total_requests", "resolved_requests").select(
-        handler, "total_requests", "resolved_requests", mean_hours("_sum_h", "resolved_requests").alias(
-            "avg_resolution_hours"
-        )
+        handler, "total_requests", "resolved_requests", mean_hundredths(F.col("_sum_h"), F.col("resolved_requests")).alias("_mean")
     )
-    speed = F.rank().over(_all_rows().orderBy(F.asc_nulls_last("avg_resolution_hours")))
-    return per.select(
-        "*",
-        F.rank().over(_all_rows().orderBy(F.desc("total_requests"))).alias("workload_rank"),
-        F.when(F.col("avg_resolution_hours").isNotNull(), speed).alias("speed_rank"),
-    ).orderBy("workload_rank", F.asc_nulls_first(handler))
+    workload = value_ranks(per, "total_requests", "workload_rank", descending=True)
+    speed = value_ranks(per, "_mean", "speed_rank")
+    return per.join(workload, "total_requests").join(speed, "_mean", "left").select(
+        handler, "total_requests", "resolved_requests", from_hundredths(F.col("_mean")).alias("avg_resolution_hours"),
+        "workload_rank", "speed_rank",
+    ).orderBy("workload_rank", F.asc_nulls_first(handler))
 
 
 def region_coverage(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:

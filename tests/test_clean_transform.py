@@ -70,11 +70,11 @@ def test_cleaning_gates_pass(cleaned):
 @pytest.mark.parametrize(
     "corrupt, label",
     [
-        (lambda df: df.withColumn("invalid_date_order", F.lit(False)), "invalid-date-order"),
-        (lambda df: df.withColumn("detail", F.lit("N/A")), "N/A"),
+        (lambda df: df.withColumn("invalid_date_order", F.lit(False)), "flag_mismatch_rows"),
+        (lambda df: df.withColumn("detail", F.lit("N/A")), "remaining_placeholders"),
         (lambda df: df.withColumn("complaint_type", F.lit("ELEVATOR")), "unstandardized"),
         # stricter than the source: a true flag with a NULL date is caught too
-        (lambda df: df.withColumn("invalid_date_order", F.col("unique_key") == 4), "invalid-date-order"),
+        (lambda df: df.withColumn("invalid_date_order", F.col("unique_key") == 4), "flag_mismatch_rows"),
     ],
 )
 def test_cleaning_gates_fail(cleaned, corrupt, label):
