@@ -8,6 +8,8 @@ the better buckets (a table of at most 4,096 rows, whatever the input) plus a ru
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,15 +26,27 @@ def bucket(value: Column) -> Column:
     return F.when(value < 0, -number).otherwise(number)
 
 
-def value_ranks(rows: DataFrame, value: str, rank: str, descending: bool = False) -> DataFrame:
-    """``value, rank`` of each distinct non-NULL value of a long column: ties share the least rank, as ``rank()`` has it."""
-    counts = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", bucket(F.col(value)))
-    if descending:
-        counts = counts.withColumn("_b", -F.col("_b"))
+def value_ranks(rows: DataFrame, descending: Mapping[str, bool]) -> DataFrame:
+    """``column, value, rank`` of each distinct non-NULL value of some long columns of ``rows``.
+
+    ``descending`` names the columns and whether their largest value comes first.  Ties share the least rank, as
+    ``rank()`` has it.  All columns are ranked at once, so ``rows`` are computed once.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("value")) for c in descending])
+    # a value's complement falls as the value grows, without overflow
+    falls = F.col("column").isin([c for c, down in descending.items() if down])
+    counts = (
+        rows.select(F.inline(pairs))
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_key", F.when(falls, F.bitwise_not("value")).otherwise(F.col("value")))
+        .withColumn("_b", bucket(F.col("_key")))
+    )
     # one row: an array of the buckets' sizes
-    sizes = counts.groupBy("_b").agg(F.sum("_n").alias("_of")).agg(F.collect_list(F.struct("_b", "_of")).alias("_sizes"))
-    order = F.desc(value) if descending else F.asc(value)
-    inside = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    better = F.aggregate(F.filter("_sizes", lambda x: x["_b"] < F.col("_b")), F.lit(0).cast("long"), lambda n, x: n + x["_of"])
-    placed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    return placed.join(F.broadcast(sizes)).select(value, (1 + better + F.col("_before")).cast("int").alias(rank))
+    sizes = counts.groupBy("column", "_b").agg(F.sum("_n").alias("_of")).agg(F.collect_list(F.struct("column", "_b", "_of")).alias("_sizes"))
+    inside = Window.partitionBy("column", "_b").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    better = F.filter("_sizes", lambda x: (x["column"] == F.col("column")) & (x["_b"] < F.col("_b")))
+    return counts.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(F.broadcast(sizes)).select(
+        "column", "value", (1 + F.aggregate(better, F.col("_inside"), lambda n, x: n + x["_of"])).cast("int").alias("rank")
+    )

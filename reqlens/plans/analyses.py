@@ -117,8 +117,9 @@ def handler_workload_speed(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataF
     per = _resolution_agg(df, [handler], "total_requests", "resolved_requests").select(
         handler, "total_requests", "resolved_requests", mean_hundredths(F.col("_sum_h"), F.col("resolved_requests")).alias("_mean")
     )
-    workload = value_ranks(per, "total_requests", "workload_rank", descending=True)
-    speed = value_ranks(per, "_mean", "speed_rank")
+    ranks = value_ranks(per, {"total_requests": True, "_mean": False})
+    of = lambda c, name: ranks.where(F.col("column") == c).select(F.col("value").alias(c), F.col("rank").alias(name))
+    workload, speed = of("total_requests", "workload_rank"), of("_mean", "speed_rank")
     return per.join(workload, "total_requests").join(speed, "_mean", "left").select(
         handler, "total_requests", "resolved_requests", from_hundredths(F.col("_mean")).alias("avg_resolution_hours"),
         "workload_rank", "speed_rank",
