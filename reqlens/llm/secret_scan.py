@@ -73,37 +73,29 @@ FEATURES = [
 
 
 def _values(words: DataFrame) -> DataFrame:
-    """``words`` (word and other columns) with a row for each run in the word: lead (what stands before it), tail (after it), value."""
-    kept = words.columns
-    runs = words.withColumns({"gaps": F.regexp_extract_all("word", F.lit(NEXT), F.lit(1)), "runs": F.regexp_extract_all("word", F.lit(NEXT), F.lit(2))})
-    runs = runs.withColumn("rest", F.regexp_replace("word", NEXT, ""))
-    at = runs.select(*kept, "gaps", "runs", "rest", F.posexplode("runs").alias("i", "value"))
-    # a name can be a run too, so the lead begins at the run before and ends its pair there
-    lead = F.concat(F.when(F.col("i") > 0, F.get("runs", F.col("i") - 1)).otherwise(""), F.get("gaps", F.col("i")))
-    return at.select(
-        *kept,
-        F.regexp_extract(lead, r"[^,;&?{}|]*$", 0).alias("lead"),
-        F.coalesce(F.get("gaps", F.col("i") + 1), F.col("rest")).alias("tail"),
-        "value",
-    )
-
+    """``words`` (word, before and other columns) with a row for each candidate in the word: lead (what stands before it), tail (after it), value.
 
-def _in_place(words: DataFrame) -> DataFrame:
-    """``words`` (word, before and others) with a row for each value in a credential's place that is no run: lead, tail, value."""
-    kept = words.columns
-    word = F.col("word")
+    Candidates are the word's runs, and values in a credential's place that are no run.
+    """
+    kept, word = words.columns, F.col("word")
+    runs = words.withColumns({"gaps": F.regexp_extract_all("word", F.lit(NEXT), F.lit(1)), "runs": F.regexp_extract_all("word", F.lit(NEXT), F.lit(2))})
     bare = F.regexp_replace(word, r"""^["'`(\[]+|["'`)\],;.]+$""", "")
     pairs = F.concat(*[F.regexp_extract_all(word, F.lit(PAIR), F.lit(g)) for g in (1, 2, 3)], F.regexp_extract_all(word, F.lit(USERINFO), F.lit(1)))
     after_name = F.when(F.col("before").rlike(NAMED_BEFORE) & ~word.rlike(PAIR), F.array(bare)).otherwise(F.array().cast("array<string>"))
-    values = F.array_distinct(F.filter(F.concat(pairs, after_name), lambda v: F.length(v) >= 4))
-    runs = F.regexp_extract_all(word, F.lit(NEXT), F.lit(2))
-    rows = words.withColumn("runs", runs).select(*kept, "runs", F.explode(values).alias("value")).where(~F.array_contains("runs", F.col("value")))
-    lead = F.regexp_extract(F.expr("substring_index(word, value, 1)"), r"[^,;&?{}|]*$", 0)
-    return rows.select(*kept, lead.alias("lead"), F.expr("substring(word, instr(word, value) + length(value))").alias("tail"), "value")
+    in_place = F.filter(F.array_distinct(F.concat(pairs, after_name)), lambda v: (F.length(v) >= 4) & ~F.array_contains("runs", v))
+    last = lambda text: F.regexp_extract(text, r"[^,;&?{}|]*$", 0)
+    rest = F.regexp_replace(word, NEXT, "")
+
+    def run(v: Column, i: Column) -> Column:
+        # a name can be a run too, so the lead begins at the run before and ends its pair there
+        lead = F.concat(F.when(i > 0, F.get("runs", i - 1)).otherwise(""), F.get("gaps", i))
+        return F.struct(last(lead).alias("lead"), F.coalesce(F.get("gaps", i + 1), rest).alias("tail"), v.alias("value"))
 
+    def placed(v: Column) -> Column:
+        after = F.call_function("substring", word, F.call_function("instr", word, v) + F.length(v))
+        return F.struct(last(F.call_function("substring_index", word, v, F.lit(1))).alias("lead"), after.alias("tail"), v.alias("value"))
 
-def _all_values(words: DataFrame) -> DataFrame:
-    return _values(words).unionByName(_in_place(words))
+    return runs.select(*kept, F.inline(F.concat(F.transform("runs", run), F.transform(in_place, placed))))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -124,7 +116,7 @@ def candidates(docs: DataFrame) -> DataFrame:
             F.coalesce(F.get("words", i + 1), F.lit("")).alias("after"),
         ),
     )
-    return _all_values(worded.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*"))
+    return _values(worded.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*"))
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -267,9 +259,10 @@ def labelled_findings(docs: DataFrame, most_docs: int = FINDING_DOCS) -> DataFra
         )
         for i, (labels, around, values, lead) in enumerate(parts)
     ]
-    rows = worded.select("id", F.explode(F.array(*made)).alias("f")).select("id", "f.*")
+    # staged: a bounded table, whose many formats are made once
+    rows = staged(worded.select("id", F.explode(F.array(*made)).alias("f")).select("id", "f.*"))
     # every run of a made word is a finding: its secrets are, names and all else are not
-    return _all_values(rows).withColumn("label", F.exists("secrets", lambda v: F.coalesce(v == F.col("value"), F.lit(False))).cast("int")).drop("secrets")
+    return _values(rows).withColumn("label", F.exists("secrets", lambda v: F.coalesce(v == F.col("value"), F.lit(False))).cast("int")).drop("secrets")
 
 
 def train(findings: DataFrame, trees: int = TREES, depth: int = DEPTH):
