@@ -141,10 +141,19 @@ def _batches(df: DataFrame) -> list[tuple[int, DataFrame]]:
     return [(k, dealt[k]) for k in (3, 0, 2, 0, 1)]
 
 
-@functools.lru_cache(maxsize=8)
-def _arrived(app: str, sf_dir: str) -> tuple[str, Layout]:
-    """The profile of the raw table as it arrives in batches, compacted half-way: built once for all its keys."""
-    spark = SparkSession.getActiveSession()
+#: Stores that several keys read, by application, kind and tables: each is built once.
+_STORES: dict[tuple[str, str, str], tuple] = {}
+
+
+def _built(spark: SparkSession, kind: str, sf_dir: str, build: Callable[[SparkSession, str], tuple]) -> tuple:
+    key = (spark.sparkContext.applicationId, kind, sf_dir)
+    if key not in _STORES:
+        _STORES[key] = build(spark, sf_dir)
+    return _STORES[key]
+
+
+def _arrived(spark: SparkSession, sf_dir: str) -> tuple[str, Layout]:
+    """The profile of the raw table as it arrives in batches, compacted half-way."""
     root, raw = f"{shared_folder(spark)}/arriving-{uuid.uuid4().hex}", _raw(spark, sf_dir)
     raw.write.parquet(f"{root}/raw")
     raw = spark.read.parquet(f"{root}/raw")
@@ -159,26 +168,25 @@ def _arrived(app: str, sf_dir: str) -> tuple[str, Layout]:
 
 def _arriving(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root, at = _arrived(spark.sparkContext.applicationId, sf_dir)
+        root, at = _built(spark, "profile", sf_dir, _arrived)
         return stored_profile(spark, profile_store(root, at), at)[name]
 
     return run
 
 
-@functools.lru_cache(maxsize=8)
-def _summarised(app: str, sf_dir: str) -> str:
-    spark = SparkSession.getActiveSession()
+def _summarised(spark: SparkSession, sf_dir: str) -> tuple[str]:
     store = summary_store(f"{shared_folder(spark)}/summarised-{uuid.uuid4().hex}")
     for i, (batch_id, batch) in enumerate(_batches(_transformed(spark, sf_dir))):
         add_summary_batch(store, batch, batch_id)
         if i == 2:
             store.compact(spark)
-    return store.root
+    return (store.root,)
 
 
 def _maintained(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return stored_summaries(spark, summary_store(_summarised(spark.sparkContext.applicationId, sf_dir)))[name]
+        (root,) = _built(spark, "summaries", sf_dir, _summarised)
+        return stored_summaries(spark, summary_store(root))[name]
 
     return run
 
