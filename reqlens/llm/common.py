@@ -20,6 +20,8 @@ from reqlens.session import shared_folder
 
 #: Bytes of text handled at once in a task (a longer document is handled alone).
 CHUNK_BYTES = 4 << 20
+#: Bytes of words hashed at once (a longer word is hashed alone): a pass holds some fifty bytes for each.
+HASH_BYTES = 1 << 18
 
 #: Stands for a NULL doc_id inside shuffles: such rows sort last.
 NO_ID = 2**63 - 1
@@ -98,18 +100,27 @@ def find_words(data: np.ndarray, at: np.ndarray, word_bytes: np.ndarray = PLAIN_
     return Words(data, start, end, text, first)
 
 
-def hash_words(w: Words, value: np.ndarray = AS_IS) -> np.ndarray:
-    """A 64-bit hash of each word's bytes (after the byte mapping ``value``)."""
-    if not len(w.start):
-        return np.zeros(0, np.uint64)
-    n = w.end - w.start
+def _hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
+    n = end - start
     to = np.cumsum(n)
     inside = np.arange(to[-1]) - np.repeat(to - n, n)
-    at = inside + np.repeat(w.start, n)
-    parts = (value[w.data[at]].astype(np.uint64) + np.uint64(1)) * powers(int(n.max()))[inside]
+    at = inside + np.repeat(start, n)
+    parts = (value[data[at]].astype(np.uint64) + np.uint64(1)) * powers(int(n.max()))[inside]
     return mix(np.add.reduceat(parts, to - n) + n.astype(np.uint64))
 
 
+def hash_words(w: Words, value: np.ndarray = AS_IS, most: int = HASH_BYTES) -> np.ndarray:
+    """A 64-bit hash of each word's bytes (after the byte mapping ``value``)."""
+    out = np.zeros(len(w.start), np.uint64)
+    to = np.cumsum(w.end - w.start)
+    lo = 0
+    while lo < len(out):
+        hi = max(lo + 1, int(np.searchsorted(to, (to[lo - 1] if lo else 0) + most, "right")))
+        out[lo:hi] = _hash(w.data, w.start[lo:hi], w.end[lo:hi], value)
+        lo = hi
+    return out
+
+
 def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``most`` bytes of text, or of one row."""
     for batch in batches:

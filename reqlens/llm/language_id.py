@@ -44,7 +44,7 @@ SLACK = 0.3
 LOW = 0.05
 ENOUGH = 20
 #: Texts whose vectors are held at once in a task.
-ROWS = 256
+ROWS = 64
 UNKNOWN = "und"
 
 _KEEP = np.full(256, 0x20, np.uint8)

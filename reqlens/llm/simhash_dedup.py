@@ -47,7 +47,7 @@ SEED = 42
 PARTS = 4
 #: Fingerprints of one side of a comparison task, and the rows compared at once inside it.
 BLOCK = 16_384
-ROWS = 256
+ROWS = 64
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
