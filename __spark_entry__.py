@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from reqlens.operators import clean as C
 from reqlens.operators import gates as G
+from reqlens.operators import quality as Q
 from reqlens.operators import summaries as S
 from reqlens.operators.spelling import apply_spelling, spelling_map, spelling_review
 from reqlens.operators.features import add_date_features, transform_requests
@@ -37,6 +38,7 @@ from reqlens.roles import CLEANED_PLACEHOLDER_COLUMNS, DEFAULT_ROLES, DERIVED_FE
 from reqlens.session import shared_folder
 from reqlens.sources.files import cast_identifiers, contract_report, csv_report, read_raw_csv, register_parquet_view
 from reqlens.sources.inference import inferred_schema
+from reqlens.sources.order_lines import LINE_ROLES, LINE_SPELLING, raw_lines
 from reqlens.sources.quarantine import good_records, quarantine_summary, quarantined_records, split_raw_csv
 from reqlens.sources.release import current_release
 from reqlens.sources.testdata import (
@@ -98,6 +100,18 @@ def _csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_csv(spark, raw_csv_copy(spark, sf_dir), numeric_types={})
 
 
+def _cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.clean_requests(raw_lines(spark, sf_dir), spelling=LINE_SPELLING, roles=LINE_ROLES)
+
+
+def _transformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transform_requests(_cleaned_lines(spark, sf_dir), roles=LINE_ROLES)
+
+
+def _on_lines(fn, source: Callable[[SparkSession, str], DataFrame] = _transformed_lines) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: fn(source(spark, sf_dir), roles=LINE_ROLES)
+
+
 def _split_csv(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
     out = f"{shared_folder(spark)}/split-{uuid.uuid4().hex}"
     split_raw_csv(spark, faulty_csv_copy(spark, sf_dir), out)
@@ -272,6 +286,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_spikes": _on_transformed(A.daily_spikes),
         "peak_hour_by_complaint": _on_transformed(A.peak_hour_by_category),
         "complaint_resolution_by_borough": _on_transformed(A.category_resolution_by_region),
+        # the same operators on a second table, under its own column names
+        "lines_duplicate_keys": _on_lines(Q.duplicate_keys, raw_lines),
+        "lines_status_counts": _on_lines(Q.status_counts, raw_lines),
+        "lines_missing_closed_by_status": _on_lines(Q.missing_closed_by_status, raw_lines),
+        "lines_invalid_date_rows": _on_lines(Q.invalid_date_rows, raw_lines),
+        "lines_type_ranking": _on_lines(Q.category_ranking, raw_lines),
+        "lines_cleaning_gates": _on_lines(functools.partial(G.cleaning_metrics, spelling=LINE_SPELLING), _cleaned_lines),
+        "lines_transform_gates": _on_lines(G.transform_metrics),
+        "lines_transformed": _transformed_lines,
+        "lines_type_summary": _on_lines(S.category_summary),
+        "lines_region_summary": _on_lines(S.region_summary),
+        "lines_supplier_summary": _on_lines(S.handler_summary),
+        "lines_date_summary": _on_lines(S.date_summary),
+        "lines_top_types_by_region": _on_lines(A.top_categories_by_region),
+        "lines_high_volume_types": _on_lines(A.high_volume_categories),
+        "lines_supplier_workload_speed": _on_lines(A.handler_workload_speed),
+        "lines_region_coverage": _on_lines(A.region_coverage),
+        "lines_weekday_pattern": _on_lines(A.weekday_pattern),
+        "lines_daily_spikes": _on_lines(A.daily_spikes),
+        "lines_type_resolution_by_region": _on_lines(A.category_resolution_by_region),
         # corpus operators and their pipeline
         **CORPUS_QUERIES,
     }
