@@ -22,6 +22,8 @@ candidates score 0.5; other columns are ignored; an empty table gives an empty r
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -32,6 +34,8 @@ from reqlens.llm.common import bounded_sample, documents, load, staged, word_arr
 
 #: Documents that lend their words to labelled findings, at most.
 FINDING_DOCS = 1500
+#: Formats of findings that one plan makes.
+PORTION = 12
 TREES = 40
 DEPTH = 8
 THRESHOLD = 0.5
@@ -259,8 +263,10 @@ def labelled_findings(docs: DataFrame, most_docs: int = FINDING_DOCS) -> DataFra
         )
         for i, (labels, around, values, lead) in enumerate(parts)
     ]
-    # staged: a bounded table, whose many formats are made once
-    rows = staged(worded.select("id", F.explode(F.array(*made)).alias("f")).select("id", "f.*"))
+    # staged: a bounded table, whose many formats are made once, and in portions, as one plan of all takes much of the driver's memory
+    worded = staged(worded)
+    portions = [made[i : i + PORTION] for i in range(0, len(made), PORTION)]
+    rows = reduce(DataFrame.unionByName, [staged(worded.select("id", F.explode(F.array(*x)).alias("f")).select("id", "f.*")) for x in portions])
     # every run of a made word is a finding: its secrets are, names and all else are not
     return _values(rows).withColumn("label", F.exists("secrets", lambda v: F.coalesce(v == F.col("value"), F.lit(False))).cast("int")).drop("secrets")
 
