@@ -60,6 +60,9 @@ SENTENCES = 8
 #: Texts' bytes handled at once, and words whose kernel values a task remembers.
 BYTES = 2 << 20
 REMEMBERED = 1 << 17
+#: Words whose kernel values are computed at once, and of a sentence, words compared in one piece.
+WORDS = 1 << 12
+PIECE = 32
 
 #: Letters a-z are 1 to 26, digits 27, other letters ``OTHER`` and their code point; marks (after decomposition) are dropped.
 #: The kernel also sees where a word begins (29) and ends (30).
@@ -139,32 +142,42 @@ def units(texts: pa.Array) -> Units:
 
 class Landmarks(NamedTuple):
     words: list[str]
-    row: np.ndarray  # of each of CODES, in ``table`` (0: in no landmark)
-    table: np.ndarray
+    row: np.ndarray  # of each of CODES, in ``first`` (0: in no landmark)
+    first: np.ndarray  # entry of each row in ``of`` and ``weight``, and their number
+    of: np.ndarray  # landmarks that the row's subsequence is in
+    weight: np.ndarray  # and its normalised weight there
     typical: int  # the first so many are typical of toxic text
 
     def kernel(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Normalised kernel values of words (flat symbols, sizes) with each landmark."""
-        out = np.zeros((len(sizes), self.table.shape[1]), np.float32)
+        out = np.empty((len(sizes), len(self.words)), np.float32)
+        to = np.concatenate([[0], np.cumsum(sizes)])
+        for lo in range(0, len(sizes), WORDS):
+            hi = min(lo + WORDS, len(sizes))
+            out[lo:hi] = self._kernel(symbols[to[lo] : to[hi]], sizes[lo:hi])
+        return out
+
+    def _kernel(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         symbols, word = bounded(symbols, sizes)
-        square, words, rows, weights = np.zeros(len(sizes)), [], [], []
+        square, cells, values = np.zeros(len(sizes)), [], []
         for code, at, weight in subsequences(symbols, word):
-            square += weight * weight * np.bincount(word[at], minlength=len(sizes))
+            of = word[at]
+            square += weight * weight * np.bincount(of, minlength=len(sizes))
             row = self.row[code]
             hit = np.flatnonzero(row)
-            words.append(word[at[hit]])
-            rows.append(row[hit])
-            weights.append(np.full(len(hit), weight, np.float32))
-        if not words:
-            return out
-        words, rows, weights = np.concatenate(words), np.concatenate(rows), np.concatenate(weights)
-        order = np.argsort(words, kind="stable")
-        words, rows, weights = words[order], rows[order], weights[order]
-        for lo in range(0, len(words), 1 << 15):
-            part = slice(lo, lo + (1 << 15))
-            cut = np.flatnonzero(np.diff(words[part], prepend=-1))
-            out[words[part][cut]] += np.add.reduceat(self.table[rows[part]] * weights[part, None], cut, axis=0)
-        return np.minimum(out / np.maximum(np.sqrt(square), 1e-9)[:, None].astype(np.float32), 1) ** POWER
+            row = row[hit]
+            # a subsequence is in few landmarks: only those have something added
+            first, n = self.first[row], self.first[row + 1] - self.first[row]
+            to = np.cumsum(n)
+            entry = np.arange(to[-1] if len(to) else 0) + np.repeat(first - (to - n), n)
+            cells.append(np.repeat(of[hit] * len(self.words), n) + self.of[entry])
+            values.append(weight * self.weight[entry])
+        shape = len(sizes), len(self.words)
+        if not cells:
+            return np.zeros(shape, np.float32)
+        out = np.bincount(np.concatenate(cells), np.concatenate(values), shape[0] * shape[1]).reshape(shape)
+        out = np.minimum(out / np.maximum(np.sqrt(square), 1e-9)[:, None], 1).astype(np.float32)
+        return math.prod([out] * POWER)
 
 
 def bounded(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,51 +223,88 @@ def landmarks(words: list[str], typical: int) -> Landmarks:
     entries = [(c, word[p], np.full(len(c), x)) for c, p, x in subsequences(symbols, word)]
     code, of, weight = (np.concatenate(x) for x in zip(*entries, strict=True))
     used, place = np.unique(code, return_inverse=True)
-    row = np.zeros(CODES, np.int64)
+    row = np.zeros(CODES, np.int32)
     row[used] = np.arange(1, len(used) + 1)
-    table = np.zeros((len(used) + 1, len(words)), np.float32)
-    np.add.at(table, (place + 1, of), weight)
+    cells, place = np.unique((place + 1) * len(words) + of, return_inverse=True)
     norm = np.sqrt(np.bincount(of, weight * weight, minlength=len(words)))
-    return Landmarks(words, row, table / np.maximum(norm, 1e-9).astype(np.float32), typical)
+    at, of = np.divmod(cells, len(words))
+    first = np.searchsorted(at, np.arange(len(used) + 2))
+    return Landmarks(words, row, first, of, np.bincount(place, weight) / np.maximum(norm, 1e-9)[of], typical)
 
 
 class Remembered:
     """Kernel values of the words that a task met last, so that a word that comes up in batch after batch costs once."""
 
     def __init__(self, marks: Landmarks):
-        self.marks, self.hashes, self.values = marks, np.zeros(0, np.uint64), np.zeros((0, len(marks.words)), np.float32)
+        self.marks, self.hashes, self.rows = marks, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.values = np.zeros((0, len(marks.words)), np.float32)
 
-    def kernel(self, u: Units) -> np.ndarray:
+    def places(self, u: Units) -> np.ndarray:
+        """The row in ``values`` of each distinct word, new ones added."""
         at = np.searchsorted(self.hashes, u.hashes)
         known = np.zeros(len(u.hashes), bool)
         inside = at < len(self.hashes)
         known[inside] = self.hashes[at[inside]] == u.hashes[inside]
         new = np.flatnonzero(~known)
-        out = np.empty((len(u.hashes), len(self.marks.words)), np.float32)
-        out[known] = self.values[at[known]]
         first = np.cumsum(u.sizes) - u.sizes
-        out[new] = self.marks.kernel(_take(u.symbols, first[new], u.sizes[new]), u.sizes[new])
+        fresh = self.marks.kernel(_take(u.symbols, first[new], u.sizes[new]), u.sizes[new])
+        out = np.empty(len(u.hashes), np.int64)
+        out[known] = self.rows[at[known]]
         if len(self.hashes) + len(new) > REMEMBERED:
-            self.hashes, self.values = u.hashes, out
+            self.values = np.concatenate([self.values[out[known]], fresh])
+            out[known] = np.arange(len(out) - len(new))
+            out[new] = np.arange(len(out) - len(new), len(out))
+            self.hashes, self.rows = u.hashes, out
         elif len(new):
-            hashes = np.concatenate([self.hashes, u.hashes[new]])
-            order = np.argsort(hashes, kind="stable")
-            self.hashes, self.values = hashes[order], np.concatenate([self.values, out[new]])[order]
+            out[new] = np.arange(len(self.values), len(self.values) + len(new))
+            self.values = np.concatenate([self.values, fresh])
+            self.hashes, self.rows = np.insert(self.hashes, at[new], u.hashes[new]), np.insert(self.rows, at[new], out[new])
         return out
 
+    def kernel(self, u: Units) -> np.ndarray:
+        places = self.places(u)
+        return self.values[places]
+
+
+def highest(values: np.ndarray, number: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each run of ``number`` (rows of ``values``; runs begin at ``first``), the highest of each column.
+
+    Runs are cut in pieces of at most ``PIECE`` rows, and the k-th rows of all pieces are taken at once, longest pieces first.
+    """
+    n = np.diff(first, append=len(number))
+    pieces = -(-n // PIECE)
+    to = np.cumsum(pieces)
+    at = np.arange(to[-1]) - np.repeat(to - pieces, pieces)
+    start = np.repeat(first, pieces) + PIECE * at
+    size = np.minimum(np.repeat(first + n, pieces) - start, PIECE)
+    order = np.argsort(-size, kind="stable")
+    start, size = start[order], size[order]
+    top = values[number[start]]
+    for k in range(1, int(size[0])):
+        m = int(np.searchsorted(-size, -k))  # pieces of more than k rows
+        np.maximum(top[:m], values[number[start[:m] + k]], out=top[:m])
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    out = top[back[to - pieces]]
+    long = np.flatnonzero(pieces > 1)
+    if len(long):
+        rest = _take(back, (to - pieces)[long], pieces[long])
+        out[long] = np.maximum.reduceat(top[rest], np.cumsum(pieces[long]) - pieces[long], axis=0)
+    return out
+
 
 def closest(u: Units, words: Remembered) -> np.ndarray:
     """For each sentence and landmark, the kernel value of the closest word."""
     marks = words.marks
     if not len(u.sentence):
         return np.zeros((0, len(marks.words)), np.float32)
-    each = words.kernel(u)
+    number = words.places(u)[u.number]
     out = np.zeros((len(u.sentence), len(marks.words)), np.float32)
-    bounds = np.append(u.sentence, len(u.number))
+    bounds = np.append(u.sentence, len(number))
     lo = 0
     while lo < len(u.sentence):  # about 64,000 words at once, or one sentence
         hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + (1 << 16), "right")) - 1)
-        out[lo:hi] = np.maximum.reduceat(each[u.number[bounds[lo] : bounds[hi]]], bounds[lo:hi] - bounds[lo], axis=0)
+        out[lo:hi] = highest(words.values, number[bounds[lo] : bounds[hi]], bounds[lo:hi] - bounds[lo])
         lo = hi
     if u.spelled:
         own = marks.kernel(np.concatenate([s for _, s in u.spelled]), np.array([len(s) for _, s in u.spelled]))

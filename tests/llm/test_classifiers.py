@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -252,6 +253,32 @@ def test_remembered_words_change_nothing(monkeypatch):
         assert np.array_equal(known.kernel(u), marks.kernel(u.symbols, u.sizes))
 
 
+def test_highest_matches_a_plain_loop(monkeypatch):
+    monkeypatch.setattr(T, "PIECE", 4)
+    rng = np.random.default_rng(6)
+    sizes = np.array([1, 4, 5, 1, 37, 8, 2])
+    values, number, first = rng.random((50, 3)).astype(np.float32), rng.integers(0, 50, sizes.sum()), np.cumsum(sizes) - sizes
+    want = [values[number[a : a + n]].max(0) for a, n in zip(first, sizes, strict=True)]
+    assert np.array_equal(T.highest(values, number, first), want)
+
+
+def test_a_kernel_value_costs_what_words_share():
+    """Landmarks that have none of a word's subsequences cost nothing: no row of all landmarks for each subsequence."""
+    marks = T.landmarks(vocabulary(400, 7), 80)
+    symbols, sizes = T.symbols_of(vocabulary(6000, 8))
+
+    def least(run):
+        took = []
+        for _ in range(3):
+            began = time.process_time()
+            run()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    alone = least(lambda: list(T.subsequences(*T.bounded(symbols, sizes))))
+    assert least(lambda: marks.kernel(symbols, sizes)) < 45 * alone
+
+
 # --- samples --------------------------------------------------------------------
 
 
