@@ -394,6 +394,28 @@ def test_conversion_text(spark):
     assert {r.h: r.t for r in got} == cases
 
 
+def test_conversion_of_white_space_and_hidden_elements(spark):
+    cases = {
+        " a \t b\r\n c\f\f d&#9;&#9;e &#13; f ": "a b c d e f",
+        "a \n <p> \n b <br> <br/>c&#10; &#10;d ": "a\nb\nc\nd",
+        "a<NoScript >x</noscript> b<template>y</template>c<head>z</head>": "a b c",
+        "a<template>b<noscript>c</template>d</noscript>e": "ab e",
+        "<noscript>left open": "left open",
+        "a \n\u2028": "a\u2028",
+        "a \u2028 ": "a \u2028",
+        " \n ": "",
+    }
+    got = spark.createDataFrame([(k,) for k in cases], "h string").select("h", W.plain_text(F.col("h")).alias("t")).collect()
+    assert {r.h: r.t for r in got} == cases
+
+
+def test_no_pass_over_a_page_replaces_each_space(spark, monkeypatch):
+    used, replace = [], F.regexp_replace
+    monkeypatch.setattr(F, "regexp_replace", lambda text, pattern, by: used.append(pattern) or replace(text, pattern, by))
+    W.plain_text(F.col("h"))
+    assert used and not [p for p in used if re.search(p.replace("\\z", "\\Z"), "a b c")]
+
+
 def test_no_known_reference_is_left_in_any_conversion(spark):
     from html.entities import html5
 
