@@ -60,8 +60,7 @@ SENTENCES = 8
 #: Texts' bytes handled at once, and words whose kernel values a task remembers.
 BYTES = 2 << 20
 REMEMBERED = 1 << 17
-#: Words whose kernel values are computed at once, and of a sentence, words compared in one piece.
-WORDS = 1 << 12
+#: Words of a sentence that are compared in one piece.
 PIECE = 32
 
 #: Letters a-z are 1 to 26, digits 27, other letters ``OTHER`` and their code point; marks (after decomposition) are dropped.
@@ -142,42 +141,38 @@ def units(texts: pa.Array) -> Units:
 
 class Landmarks(NamedTuple):
     words: list[str]
-    row: np.ndarray  # of each of CODES, in ``first`` (0: in no landmark)
-    first: np.ndarray  # entry of each row in ``of`` and ``weight``, and their number
-    of: np.ndarray  # landmarks that the row's subsequence is in
-    weight: np.ndarray  # and its normalised weight there
+    row: np.ndarray  # of each of CODES, in ``table`` (0: in no landmark)
+    table: np.ndarray  # a line for each landmark
     typical: int  # the first so many are typical of toxic text
 
     def kernel(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Normalised kernel values of words (flat symbols, sizes) with each landmark."""
-        out = np.empty((len(sizes), len(self.words)), np.float32)
-        to = np.concatenate([[0], np.cumsum(sizes)])
-        for lo in range(0, len(sizes), WORDS):
-            hi = min(lo + WORDS, len(sizes))
-            out[lo:hi] = self._kernel(symbols[to[lo] : to[hi]], sizes[lo:hi])
-        return out
-
-    def _kernel(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self.table), len(sizes)), np.float32)
         symbols, word = bounded(symbols, sizes)
-        square, cells, values = np.zeros(len(sizes)), [], []
+        square, words, rows, weights = np.zeros(len(sizes)), [], [], []
         for code, at, weight in subsequences(symbols, word):
-            of = word[at]
-            square += weight * weight * np.bincount(of, minlength=len(sizes))
+            square += weight * weight * np.bincount(word[at], minlength=len(sizes))
             row = self.row[code]
             hit = np.flatnonzero(row)
-            row = row[hit]
-            # a subsequence is in few landmarks: only those have something added
-            first, n = self.first[row], self.first[row + 1] - self.first[row]
-            to = np.cumsum(n)
-            entry = np.arange(to[-1] if len(to) else 0) + np.repeat(first - (to - n), n)
-            cells.append(np.repeat(of[hit] * len(self.words), n) + self.of[entry])
-            values.append(weight * self.weight[entry])
-        shape = len(sizes), len(self.words)
-        if not cells:
-            return np.zeros(shape, np.float32)
-        out = np.bincount(np.concatenate(cells), np.concatenate(values), shape[0] * shape[1]).reshape(shape)
-        out = np.minimum(out / np.maximum(np.sqrt(square), 1e-9)[:, None], 1).astype(np.float32)
-        return math.prod([out] * POWER)
+            words.append(word[at[hit]])
+            rows.append(row[hit])
+            weights.append(np.full(len(hit), weight, np.float32))
+        if not words:
+            return out.T
+        words, rows, weights = np.concatenate(words), np.concatenate(rows), np.concatenate(weights)
+        order = np.argsort(words, kind="stable")
+        words, rows, weights = words[order], rows[order], weights[order]
+        for lo in range(0, len(words), 1 << 15):
+            part = slice(lo, lo + (1 << 15))
+            cut = np.flatnonzero(np.diff(words[part], prepend=-1))
+            at, row, weight = words[part][cut], rows[part], weights[part]
+            # landmark by landmark, each word's values side by side: sums over columns of a table cost several times as much
+            for line, to in zip(self.table, out, strict=True):
+                to[at] += np.add.reduceat(line[row] * weight, cut)
+        out /= np.maximum(np.sqrt(square), 1e-9).astype(np.float32)
+        np.minimum(out, 1, out=out)
+        np.power(out, POWER, out=out)
+        return np.ascontiguousarray(out.T)
 
 
 def bounded(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,13 +218,12 @@ def landmarks(words: list[str], typical: int) -> Landmarks:
     entries = [(c, word[p], np.full(len(c), x)) for c, p, x in subsequences(symbols, word)]
     code, of, weight = (np.concatenate(x) for x in zip(*entries, strict=True))
     used, place = np.unique(code, return_inverse=True)
-    row = np.zeros(CODES, np.int32)
+    row = np.zeros(CODES, np.int64)
     row[used] = np.arange(1, len(used) + 1)
-    cells, place = np.unique((place + 1) * len(words) + of, return_inverse=True)
+    table = np.zeros((len(used) + 1, len(words)), np.float32)
+    np.add.at(table, (place + 1, of), weight)
     norm = np.sqrt(np.bincount(of, weight * weight, minlength=len(words)))
-    at, of = np.divmod(cells, len(words))
-    first = np.searchsorted(at, np.arange(len(used) + 2))
-    return Landmarks(words, row, first, of, np.bincount(place, weight) / np.maximum(norm, 1e-9)[of], typical)
+    return Landmarks(words, row, np.ascontiguousarray((table / np.maximum(norm, 1e-9).astype(np.float32)).T), typical)
 
 
 class Remembered:
